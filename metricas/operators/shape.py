@@ -66,11 +66,20 @@ def last_wins_pivot(df: DataFrame, keys: Sequence[str], name_col: str, value: Co
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq_col: str = "seq",
                   keep_first: bool = False) -> DataFrame:
-    """Deduplicate on ``keys`` keeping the row with the greatest (or smallest) ``seq``."""
-    others = [c for c in df.columns if c not in keys]
-    pick = F.min_by if keep_first else F.max_by
-    row = pick(F.struct(*[F.col(c) for c in others]), F.col(seq_col)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+    """Deduplicate on ``keys`` keeping the row with the greatest (or smallest) ``seq``.
+
+    ``seq`` is unique per row (a landing position). The winner per key is found
+    with a hash aggregate over (keys, seq) only -- map-side partial aggregation
+    absorbs a key holding a large share of the rows -- and the rows are then
+    kept with a semi-join on (keys, seq), which has no hot key because seq is
+    unique. No sort of the full rows, and Catalyst still prunes unused columns.
+    Keys may be NULL (null-safe match).
+    """
+    pick = F.min if keep_first else F.max
+    winners = df.groupBy(*keys).agg(pick(seq_col).alias("_win"))
+    w = winners.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_win")
+    cond = [df[k].eqNullSafe(w[f"_k{i}"]) for i, k in enumerate(keys)] + [df[seq_col] == w["_win"]]
+    return df.join(w, cond, "left_semi")
 
 
 # ---- A1 / A2 / A3 / A4 ----
