@@ -22,8 +22,10 @@ def _columns(schema) -> list[str]:
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
-    """Select and cast to a table schema, in table order."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select and cast to a table schema, in table order; absent nullable columns are NULL."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have or not f.nullable else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
