@@ -55,14 +55,14 @@ def insert_ignore(current: DataFrame | None, batch: DataFrame, keys: Sequence[st
 
 # ---- K1 ----
 
-def upsert_posts(current: DataFrame | None, posts: DataFrame) -> DataFrame:
-    batch = posts.select(*_columns(S.T1_POSTS), "seq")
-    return upsert(None if current is None else conform(current, S.T1_POSTS),
-                  conform_keep_seq(batch, S.T1_POSTS), S.POST_KEY)
+def post_rows(posts: DataFrame) -> DataFrame:
+    """Normalised posts -> T1 columns (keeping ``seq`` when present, for last-wins)."""
+    seq = ["seq"] if "seq" in posts.columns else []
+    return posts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.T1_POSTS.fields], *seq)
 
 
-def conform_keep_seq(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], "seq")
+def upsert_posts(current: DataFrame | None, posts: DataFrame) -> DataFrame:
+    return upsert(None if current is None else conform(current, S.T1_POSTS), post_rows(posts), S.POST_KEY)
 
 
 # ---- K2 ----

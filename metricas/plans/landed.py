@@ -49,7 +49,7 @@ def facebook(pages: DataFrame, as_of) -> dict[str, DataFrame]:
     page_pts = L.series_points(L.graph_page_items(_ep(pages, "page_insights"), S.FB_SERIES))
     demo = L.series_points(L.graph_page_items(_ep(pages, "page_demographics"), S.FB_DEMOGRAPHICS)) \
         .withColumnRenamed("name", "serie")
-    return {"publicaciones": K.upsert_posts(None, posts), "metricas_publicaciones_diarias": daily,
+    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
             "estadisticas_pagina_semanal": jobs.facebook_page_week(page_pts),
             "segmentacion_seguidores_semanal": jobs.facebook_audience(demo)}
 
@@ -65,7 +65,7 @@ def instagram(pages: DataFrame, as_of) -> dict[str, DataFrame]:
     responses = demo_first.select("plataforma", "pagina_id", F.lower("variant").alias("variant"), "seq",
                                   F.get(F.col("data"), 0).alias("d")).where(F.col("d").isNotNull()) \
         .select("plataforma", "pagina_id", "variant", "seq", "d.breakdowns", "d.values")
-    return {"publicaciones": K.upsert_posts(None, posts), "metricas_publicaciones_diarias": daily,
+    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
             "estadisticas_pagina_semanal": jobs.instagram_account_week(account, as_of),
             "segmentacion_seguidores_semanal": jobs.instagram_audience(responses, as_of)}
 
@@ -80,7 +80,7 @@ def linkedin(pages: DataFrame, as_of) -> dict[str, DataFrame]:
                                              status, social, as_of)
     followers = L.offset_page_items(_ep(pages, "follower_statistics"), S.LI_FOLLOWER_STAT)
     countries = L.offset_page_items(_ep(pages, "follower_countries"), S.LI_FOLLOWER_STAT)
-    return {"publicaciones": K.upsert_posts(None, posts), "metricas_publicaciones_diarias": daily,
+    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
             "estadisticas_pagina_semanal": jobs.linkedin_account_week(followers, as_of),
             "segmentacion_seguidores_semanal": jobs.linkedin_audience(countries, as_of)}
 
@@ -98,7 +98,7 @@ def tiktok(pages: DataFrame, as_of) -> dict[str, DataFrame]:
     buckets = reduce(DataFrame.unionByName, [
         L.series_points(aud.select("plataforma", "pagina_id", "seq", F.col(lst).alias("values")))
         .withColumn("dim", F.lit(dim)) for lst, dim in TT_AUDIENCE_LISTS])
-    return {"publicaciones": K.upsert_posts(None, posts), "metricas_publicaciones_diarias": daily,
+    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
             "estadisticas_pagina_semanal": jobs.tiktok_account_week(acct_pts, as_of),
             "segmentacion_seguidores_semanal": jobs.tiktok_audience(buckets, as_of)}
 
