@@ -99,10 +99,18 @@ def _truthy_text(c: str) -> Column:
 
 
 def linkedin_post_metrics(posts: DataFrame, counts: DataFrame) -> DataFrame:
-    """LinkedIn posts (P7) left-join social counts on the activity urn (empty urn never matches)."""
+    """LinkedIn posts (P7) left-join social counts on the activity urn (empty urn never matches).
+
+    Posts without an activity urn join on a key that cannot match (built from
+    the post id), so they spread over the join partitions instead of all
+    hashing to one (a hot empty key).
+    """
     p = latest_by_key(posts, PK)
-    c = counts.where(F.col("activity_urn") != "")
-    df = p.join(c, ["plataforma", "activity_urn"], "left")
+    urn = F.coalesce(F.col("activity_urn"), F.lit(""))
+    key = F.when(urn != "", urn).otherwise(F.concat(F.lit("\u0000none:"), F.col("pagina_id"),
+                                                     F.lit("/"), F.col("publicacion_id")))
+    c = counts.where(F.col("activity_urn") != "").withColumnRenamed("activity_urn", "_urn_key")
+    df = p.withColumn("_urn_key", key).join(c, ["plataforma", "_urn_key"], "left")
     return daily_rows(
         df.withColumnRenamed("dia", "fecha_descarga"),
         reacciones=_nz("likes"), me_gusta=_nz("likes"),
