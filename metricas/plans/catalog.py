@@ -595,3 +595,51 @@ def q_campaign_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     return QUERIES[name](spark, sf_dir)
+
+
+@query("upsert_campaigns", _ctes({"j": "F_J"}, final=(
+    "SELECT campania_id, 'facebook' AS plataforma, 'act_1' AS cuenta_id, "
+    "max_by('Campaña ' || campania_id || ' #' || CAST(seq AS VARCHAR), date_start) AS nombre_campania "
+    "FROM j GROUP BY campania_id")))
+def q_upsert_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 (T5): one listing item per campaign-day row, the latest listing wins."""
+    fj = _fx(spark, sf_dir, "F_J")
+    order = E.iso_local_date("date_start")
+    items = fj.select(F.lit("facebook").alias("plataforma"), F.lit("act_1").alias("pagina_id"),
+                      F.col("campania_id").alias("id"),
+                      F.concat(F.lit("Campaña "), F.col("campania_id"), F.lit(" #"), F.col("seq").cast("string"))
+                      .alias("name"),
+                      F.unix_date(order).cast("bigint").alias("seq"))
+    return K.conform(K.upsert_campaigns(None, N.campaign_rows(items)), S.T5_CAMPAIGNS)
+
+
+def _pages(df: DataFrame, endpoint: str, payload, entity=None, variant=None, page_seq="seq") -> DataFrame:
+    return df.select(F.col("plataforma"), F.col("pagina_id"), F.lit(endpoint).alias("endpoint"),
+                     (entity if entity is not None else F.lit(None).cast("string")).alias("entity_id"),
+                     (variant if variant is not None else F.lit(None).cast("string")).alias("variant"),
+                     F.col(page_seq).cast("bigint").alias("page_seq"), F.to_json(payload).alias("payload"))
+
+
+def fb_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph-API-shaped JSON pages built from F-C (posts, 50 per page), F-B (one insight
+    response per point) and F-D (one reactions response per row)."""
+    posts = SH.fb_post_items(_fx(spark, sf_dir, "F_C"))
+    post_obj = F.struct(*[c for c in posts.columns if c not in ("plataforma", "pagina_id", "seq")])
+    by_page = (posts.groupBy("plataforma", "pagina_id", F.floor(F.col("seq") / 50).alias("page"))
+               .agg(F.sort_array(F.collect_list(F.struct(F.col("seq"), post_obj.alias("p")))).alias("items")))
+    post_pages = _pages(by_page, "posts", F.struct(F.transform("items", lambda x: x["p"]).alias("data")),
+                        page_seq="page")
+    ins = SH.fb_insight_points(_fx(spark, sf_dir, "F_B"), pagina_id="page_fb")
+    series = F.array(F.struct(F.col("name"), F.array(F.struct("end_time", "value")).alias("values")))
+    ins_pages = _pages(ins, "post_insights", F.struct(series.alias("data")), entity=F.col("publicacion_id"))
+    rx = SH.fb_reaction_items(_fx(spark, sf_dir, "F_D"))
+    rx_pages = _pages(rx, "reactions", F.struct(F.struct(F.col("total_count")).alias("summary")),
+                      entity=F.col("publicacion_id"), variant=F.col("tipo"))
+    return post_pages.unionByName(ins_pages).unionByName(rx_pages)
+
+
+@query("facebook_ingest_from_pages", _SQL_FB_J1)
+def q_facebook_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 from landed JSON pages: S1 explode -> P1 -> A1, A3 -> J1 (same result as facebook_daily_metrics)."""
+    from metricas.plans import landed
+    return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS)["metricas_publicaciones_diarias"]
