@@ -1,0 +1,20 @@
+"""Small helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup tables at most this many rows may be broadcast (a few MB of keys).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    Used for per-page lookup tables (one row per page/source), whose join key on
+    the big side can be hot. Above the bound the join stays a shuffle join and
+    AQE's skew-join handling splits hot partitions.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

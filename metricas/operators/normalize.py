@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricas.functions import exprs as E
+from metricas.operators.common import broadcast_if_bounded
 
 POST_COLS = ["plataforma", "pagina_id", "publicacion_id", "url_publicacion",
              "fecha_hora_publicacion", "texto_publicacion", "formato"]
@@ -156,13 +157,14 @@ def linkedin_source_fallback(li_items: DataFrame, status: DataFrame) -> DataFram
 
     ``status`` has (pagina_id, source, ok). Rows of sources tried before the
     first successful one are kept (they were yielded before the failure);
-    a page with no successful source yields nothing. The per-page cutoff is one
-    row per page, joined on the page key.
+    a page with no successful source yields nothing.
     """
     prio = F.array_position(F.array(*[F.lit(s) for s in LINKEDIN_SOURCES]), F.col("source"))
     cutoff = (status.where(F.col("ok")).groupBy("pagina_id")
               .agg(F.min(prio).alias("_cutoff")))
-    return (li_items.join(cutoff, "pagina_id", "inner")
+    # one row per page: broadcast after a size check, so a page with most of the
+    # posts is not one hot join partition
+    return (li_items.join(broadcast_if_bounded(cutoff), "pagina_id", "inner")
             .where(prio <= F.col("_cutoff")).drop("_cutoff"))
 
 

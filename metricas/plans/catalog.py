@@ -643,3 +643,77 @@ def q_facebook_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 from landed JSON pages: S1 explode -> P1 -> A1, A3 -> J1 (same result as facebook_daily_metrics)."""
     from metricas.plans import landed
     return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS)["metricas_publicaciones_diarias"]
+
+
+def _item_pages(items: DataFrame, endpoint: str, wrap, group=("plataforma", "pagina_id"), size: int = 50) -> DataFrame:
+    """Pack item rows into JSON pages of ``size`` items, keeping their ``seq`` order."""
+    fields = [c for c in items.columns if c not in ("plataforma", "pagina_id", "seq", "source")]
+    by_page = (items.groupBy(*group, F.floor(F.col("seq") / size).alias("page"))
+               .agg(F.sort_array(F.collect_list(F.struct(F.col("seq"), F.struct(*fields).alias("it"))))
+                    .alias("items")))
+    return _pages(by_page, endpoint, wrap(F.transform("items", lambda x: x["it"]), F.col("page")),
+                  page_seq="page")
+
+
+def li_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fe = _fx(spark, sf_dir, "F_E")
+    posts, ugc, shares = SH.li_items(fe)
+    lists = [_item_pages(df, src, lambda items, _: F.struct(items.alias("elements")))
+             for src, df in (("posts", posts), ("ugcPosts", ugc), ("shares", shares))]
+    status = SH.li_source_status(fe).select(F.lit("linkedin").alias("plataforma"), "pagina_id", "source", "ok",
+                                            F.lit(0).alias("seq"))
+    status_pages = _pages(status, "source_status", F.struct("source", "ok"))
+    social = SH.li_social_actions(_fx(spark, sf_dir, "F_D"))
+    social_pages = _pages(social.withColumn("pagina_id", F.lit("org_0")), "socialActions",
+                          F.struct("likesSummary", "commentsSummary", "totalShareStatistics", "shares"),
+                          entity=F.col("entity_id"))
+    out = status_pages
+    for df in [*lists, social_pages]:
+        out = out.unionByName(df)
+    return out
+
+
+@query("linkedin_ingest_from_pages", ORACLE["linkedin_post_metrics"])
+def q_linkedin_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 for LinkedIn from landed JSON pages: S2 explode -> P3-P5 -> U2 -> P7 -> J3."""
+    from metricas.plans import landed
+    return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+
+
+def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ff = _fx(spark, sf_dir, "F_F")
+    videos = SH.tt_video_items(ff)
+
+    def wrap(items, page):  # even pages under data.creatives, odd pages fall through to data.items
+        return F.struct(F.when(page % 2 == 0, F.struct(items.alias("creatives"), F.lit(None).alias("items")))
+                        .otherwise(F.struct(F.lit(None).alias("creatives"), items.alias("items"))).alias("data"))
+    video_pages = _item_pages(videos, "videos", wrap)
+    ins = SH.tt_insight_items(ff)
+    ins_pages = _pages(ins, "video_insights",
+                       F.struct(F.struct(F.struct("views", "likes", "comments", "shares", "saves", "reach")
+                                         .alias("insights")).alias("data")),
+                       entity=F.col("publicacion_id"))
+    return video_pages.unionByName(ins_pages)
+
+
+@query("tiktok_ingest_from_pages", ORACLE["tiktok_video_metrics"])
+def q_tiktok_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 for TikTok from landed JSON pages: S3 cursor pages -> P6 -> J4."""
+    from metricas.plans import landed
+    return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+
+
+def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = SH.ig_media_items(_fx(spark, sf_dir, "F_C"))
+    media_pages = _item_pages(media, "media", lambda items, _: F.struct(items.alias("data")))
+    ins = SH.ig_insight_items(_fx(spark, sf_dir, "F_D"))
+    ins_pages = _pages(ins, "media_insights", F.struct(F.array(F.struct("name", "values")).alias("data")),
+                       entity=F.col("publicacion_id"))
+    return media_pages.unionByName(ins_pages)
+
+
+@query("instagram_ingest_from_pages", ORACLE["instagram_media_metrics"])
+def q_instagram_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 for Instagram from landed JSON pages: S1 -> P2 -> A4 -> J2."""
+    from metricas.plans import landed
+    return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]

@@ -57,3 +57,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="metricas-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch
+
+
+# Settings a cluster deployment is expected to carry (spark-defaults or submit
+# flags); listed here so the jobs' assumptions are written down in one place.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": SESSION_TZ,
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # initial shuffle width for ~100 TB inputs; AQE coalesces small partitions
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> SparkSession:
+    """Set the runtime-settable entries of ``CLUSTER_CONF`` that the session does not set yet."""
+    for k, v in CLUSTER_CONF.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    return spark
