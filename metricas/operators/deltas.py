@@ -53,7 +53,8 @@ def ingest_deltas(batch: DataFrame, history: DataFrame | None = None) -> DataFra
              .where(F.col("fecha_descarga") < F.col("_maxd"))
              .select(*cols, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in extra],
                      F.lit(0).alias("_src")))
-        u = h.unionByName(b)
+        # one shuffle by the post key serves both windows below ((post, day) and post)
+        u = h.unionByName(b).repartition(*PK)
         # a stored row at the same date as an incoming row is overwritten by it
         same_day = Window.partitionBy(*PK, "fecha_descarga")
         u = (u.withColumn("_has_new", F.max("_src").over(same_day))
