@@ -104,24 +104,53 @@ class KeyedTable:
         return df.select(*self.schema.fieldNames())
 
     # ---- writing ----
-    def write(self, rows: DataFrame) -> None:
+    def write(self, rows: DataFrame, touched: list[dict] | None = None) -> None:
+        """Overwrite the partitions present in ``rows``; then drop the ``touched``
+        partitions left without rows (dynamic overwrite never clears those).
+        Dropping after the write keeps a failure recoverable: a re-run finds the
+        stale keys again and rewrites them."""
         ensure_checkpoint_dir(self.spark)
         out = self._with_partitions(K.conform(rows, self.schema)).checkpoint(eager=True)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
+        if touched and self.partitions:
+            parts = list(self.partitions)
+            written = {tuple(r) for r in out.select(*parts).distinct().limit(self.max_partitions + 1).collect()}
+            for t in touched:
+                if tuple(t[p] for p in parts) not in written:
+                    self._drop_partition(t)
+
+    def _drop_partition(self, values: dict) -> None:
+        jvm = self.spark.sparkContext._jvm
+        sub = "/".join(f"{p}={_partition_text(values[p])}" for p in self.partitions)
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{sub}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def merge(self, batch: DataFrame, how: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         """Merge ``batch`` with ``how(current_touched, batch)`` and write the touched partitions."""
         touched = self.touched(batch)
-        self.write(how(self.read_partitions(touched), batch))
+        self.write(how(self.read_partitions(touched), batch), touched)
+
+
+def _partition_text(v) -> str:
+    """Partition folder value as Spark writes it (NULL -> default partition name)."""
+    if v is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = v.isoformat() if hasattr(v, "isoformat") else str(v)
+    return "".join(c if c.isalnum() or c in "-_." else f"%{ord(c):02X}" for c in text)
 
 
 # ---- the tables of the data model ----
 
 def tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
     return {
+        # posts are ingested year-to-date: partitioning by publication month bounds a
+        # run's rewrite to recent months; the month is not part of the key, so the
+        # partitions currently holding the run's keys are found by a key-only scan
         "publicaciones": KeyedTable(spark, os.path.join(root, "publicaciones"), S.T1_POSTS, S.POST_KEY,
-                                    {"plataforma": lambda: F.col("plataforma")}),
+                                    {"plataforma": lambda: F.col("plataforma"),
+                                     "mes": lambda: F.trunc(F.to_date("fecha_hora_publicacion"), "month")},
+                                    partition_from_key=False),
         "metricas_publicaciones_diarias": KeyedTable(
             spark, os.path.join(root, "metricas_publicaciones_diarias"), S.T2_DAILY, S.DAILY_KEY,
             {"plataforma": lambda: F.col("plataforma"), "mes": _month("fecha_descarga")}),

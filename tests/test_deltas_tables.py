@@ -112,3 +112,18 @@ def test_posts_table_upsert_last_wins(spark):
     assert [r.texto_publicacion for r in t1.read().collect()] == ["b"]
     TB.merge_posts(t1, mk("c", 1))
     assert [r.texto_publicacion for r in t1.read().collect()] == ["c"]
+
+
+def test_posts_table_moves_a_post_whose_month_changed(spark):
+    root = tempfile.mkdtemp(prefix="metricas-tables-")
+    t1 = TB.tables(spark, root)["publicaciones"]
+    mk = lambda pid, ts, seq: spark.createDataFrame(
+        [("facebook", "pg", pid, "u", ts, "t", "video", seq)],
+        "plataforma string, pagina_id string, publicacion_id string, url_publicacion string, "
+        "fecha_hora_publicacion timestamp, texto_publicacion string, formato string, seq bigint")
+    TB.merge_posts(t1, mk("p1", dt.datetime(2024, 1, 5), 1).unionByName(mk("p2", dt.datetime(2024, 2, 5), 2)))
+    TB.merge_posts(t1, mk("p1", dt.datetime(2024, 3, 1), 3))
+    got = sorted((r.publicacion_id, r.fecha_hora_publicacion.month) for r in t1.read().collect())
+    assert got == [("p1", 3), ("p2", 2)]
+    months = sorted(os.listdir(os.path.join(root, "publicaciones", "plataforma=facebook")))
+    assert "mes=2024-03-01" in months
