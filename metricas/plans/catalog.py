@@ -717,3 +717,42 @@ def q_instagram_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame
     """L1 for Instagram from landed JSON pages: S1 -> P2 -> A4 -> J2."""
     from metricas.plans import landed
     return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+
+
+_LI_NORM_COLS = ("pagina_id", "publicacion_id", "created_ms", "texto_publicacion", "url_publicacion",
+                 "media_type", "activity_urn")
+
+
+def _sql_li_source(source: str) -> str:
+    media = {"posts": "CASE media_status WHEN 'P' THEN 'VIDEO' WHEN 'F' THEN 'IMAGE' ELSE 'POST' END",
+             "ugcPosts": "CASE media_status WHEN 'F' THEN 'READY' ELSE 'POST' END",
+             "shares": "'POST'"}[source]
+    return _ctes({"fe": "F_E"}, ("li", _SQL_LI), final=(
+        "SELECT pagina_id, publicacion_id, cms AS created_ms, texto_publicacion, url_publicacion, "
+        f"{media} AS media_type, activity_urn FROM li WHERE source = '{source}' AND cms IS NOT NULL AND cms <> 0"))
+
+
+def _li_source_query(source: str):
+    def run_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+        posts, ugc, shares = SH.li_items(_fx(spark, sf_dir, "F_E"))
+        fn = {"posts": (N.linkedin_posts, posts), "ugcPosts": (N.linkedin_ugc_posts, ugc),
+              "shares": (N.linkedin_shares, shares)}[source]
+        return fn[0](fn[1]).select(*_LI_NORM_COLS)
+    return run_source
+
+
+for _name, _src in (("linkedin_posts_source", "posts"), ("linkedin_ugc_posts_source", "ugcPosts"),
+                    ("linkedin_shares_source", "shares")):
+    query(_name, _sql_li_source(_src))(_li_source_query(_src))
+
+
+@query("linkedin_source_fallback", _ctes(
+    {"fe": "F_E"}, ("li", _SQL_LI), ("cut", _SQL_LI_CUT),
+    final=("SELECT li.pagina_id, li.publicacion_id, li.source FROM li JOIN cut ON cut.pagina_id = li.pagina_id "
+           "WHERE li.prio <= cut.cutoff AND li.cms IS NOT NULL AND li.cms <> 0")))
+def q_linkedin_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 alone: rows of the sources tried up to the first one that completed, per org."""
+    fe = _fx(spark, sf_dir, "F_E")
+    posts, ugc, shares = SH.li_items(fe)
+    li = N.linkedin_posts(posts).unionByName(N.linkedin_ugc_posts(ugc)).unionByName(N.linkedin_shares(shares))
+    return N.linkedin_source_fallback(li, SH.li_source_status(fe)).select("pagina_id", "publicacion_id", "source")
