@@ -642,7 +642,7 @@ def fb_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_facebook_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 from landed JSON pages: S1 explode -> P1 -> A1, A3 -> J1 (same result as facebook_daily_metrics)."""
     from metricas.plans import landed
-    return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS)["metricas_publicaciones_diarias"]
+    return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 def _item_pages(items: DataFrame, endpoint: str, wrap, group=("plataforma", "pagina_id"), size: int = 50) -> DataFrame:
@@ -677,7 +677,7 @@ def li_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_linkedin_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for LinkedIn from landed JSON pages: S2 explode -> P3-P5 -> U2 -> P7 -> J3."""
     from metricas.plans import landed
-    return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+    return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -700,7 +700,7 @@ def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tiktok_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for TikTok from landed JSON pages: S3 cursor pages -> P6 -> J4."""
     from metricas.plans import landed
-    return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+    return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -716,7 +716,7 @@ def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_instagram_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for Instagram from landed JSON pages: S1 -> P2 -> A4 -> J2."""
     from metricas.plans import landed
-    return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS)["metricas_publicaciones_diarias"]
+    return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 _LI_NORM_COLS = ("pagina_id", "publicacion_id", "created_ms", "texto_publicacion", "url_publicacion",

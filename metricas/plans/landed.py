@@ -13,7 +13,8 @@ Landing conventions (``endpoint`` values of ``schemas.LANDED_PAGE``):
   tiktok     videos (data.creatives[] else data.items[]) | video_insights (data.insights;
              entity_id = video) | account_insights (data.values[]) | audience (data.by_*)
 
-Every adapter returns a dict of frames named after the target tables.
+Every adapter returns a dict of frames named after the target tables (``only`` limits
+which ones are built).
 """
 
 from __future__ import annotations
@@ -37,76 +38,105 @@ def _ep(pages: DataFrame, endpoint: str) -> DataFrame:
     return pages.where(F.col("endpoint") == endpoint)
 
 
-def facebook(pages: DataFrame, as_of) -> dict[str, DataFrame]:
-    post_items = L.graph_page_items(_ep(pages, "posts"), S.FB_POST)
-    reactions = L.page_object(_ep(pages, "reactions"), S.FB_REACTION_SUMMARY).select(
-        "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"),
-        F.upper("variant").alias("tipo"), F.col("summary.total_count").alias("total_count"), "seq")
-    insights = L.series_points(L.graph_page_items(_ep(pages, "post_insights"), S.FB_SERIES)).select(
-        "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "name", "end_time",
-        "value", "seq")
-    posts, daily = jobs.facebook_post_ingest(post_items, reactions, insights, as_of)
-    page_pts = L.series_points(L.graph_page_items(_ep(pages, "page_insights"), S.FB_SERIES))
-    demo = L.series_points(L.graph_page_items(_ep(pages, "page_demographics"), S.FB_DEMOGRAPHICS)) \
-        .withColumnRenamed("name", "serie")
-    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
-            "estadisticas_pagina_semanal": jobs.facebook_page_week(page_pts),
-            "segmentacion_seguidores_semanal": jobs.facebook_audience(demo)}
-
-
-def instagram(pages: DataFrame, as_of) -> dict[str, DataFrame]:
-    media = L.graph_page_items(_ep(pages, "media"), S.IG_MEDIA)
-    ins = L.graph_page_items(_ep(pages, "media_insights"), S.IG_INSIGHT).select(
-        "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "name", "values", "seq")
-    posts, daily = jobs.instagram_media_ingest(media, ins, as_of)
-    account = L.series_points(L.graph_page_items(_ep(pages, "account_insights"), S.IG_ACCOUNT_SERIES)) \
-        .withColumnRenamed("name", "serie")
-    demo_first = L.page_object(_ep(pages, "demographics"), f"data ARRAY<STRUCT<{S.IG_DEMOGRAPHICS}>>")
-    responses = demo_first.select("plataforma", "pagina_id", F.lower("variant").alias("variant"), "seq",
-                                  F.get(F.col("data"), 0).alias("d")).where(F.col("d").isNotNull()) \
-        .select("plataforma", "pagina_id", "variant", "seq", "d.breakdowns", "d.values")
-    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
-            "estadisticas_pagina_semanal": jobs.instagram_account_week(account, as_of),
-            "segmentacion_seguidores_semanal": jobs.instagram_audience(responses, as_of)}
-
-
-def linkedin(pages: DataFrame, as_of) -> dict[str, DataFrame]:
-    items = {src: L.offset_page_items(_ep(pages, src), ddl) for src, ddl in
-             (("posts", S.LI_POST), ("ugcPosts", S.LI_UGC_POST), ("shares", S.LI_SHARE))}
-    status = L.page_object(_ep(pages, "source_status"), "source STRING, ok BOOLEAN") \
-        .select("pagina_id", "source", F.coalesce("ok", F.lit(False)).alias("ok"))
-    social = L.page_object(_ep(pages, "socialActions"), S.LI_SOCIAL_ACTIONS)
-    posts, daily = jobs.linkedin_post_ingest(items["posts"], items["ugcPosts"], items["shares"],
-                                             status, social, as_of)
-    followers = L.offset_page_items(_ep(pages, "follower_statistics"), S.LI_FOLLOWER_STAT)
-    countries = L.offset_page_items(_ep(pages, "follower_countries"), S.LI_FOLLOWER_STAT)
-    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
-            "estadisticas_pagina_semanal": jobs.linkedin_account_week(followers, as_of),
-            "segmentacion_seguidores_semanal": jobs.linkedin_audience(countries, as_of)}
-
-
-def tiktok(pages: DataFrame, as_of) -> dict[str, DataFrame]:
-    videos = L.cursor_page_items(_ep(pages, "videos"), S.TT_VIDEO, "creatives")
-    ins = L.page_object(_ep(pages, "video_insights"), f"insights STRUCT<{S.TT_VIDEO_INSIGHTS}>", at="data") \
-        .select("plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "seq", "insights.*")
-    posts, daily = jobs.tiktok_video_ingest(videos, ins, as_of)
-    acct = L.page_object(_ep(pages, "account_insights"), f"values ARRAY<STRUCT<{S.TT_ACCOUNT_POINT}>>",
-                         at="data")
-    acct_pts = L.series_points(acct)
-    aud = L.page_object(_ep(pages, "audience"),
-                        ", ".join(f"{lst} ARRAY<STRUCT<{S.TT_BUCKET}>>" for lst, _ in TT_AUDIENCE_LISTS), at="data")
-    buckets = reduce(DataFrame.unionByName, [
-        L.series_points(aud.select("plataforma", "pagina_id", "seq", F.col(lst).alias("values")))
-        .withColumn("dim", F.lit(dim)) for lst, dim in TT_AUDIENCE_LISTS])
-    return {"publicaciones": K.post_rows(posts), "metricas_publicaciones_diarias": daily,
-            "estadisticas_pagina_semanal": jobs.tiktok_account_week(acct_pts, as_of),
-            "segmentacion_seguidores_semanal": jobs.tiktok_audience(buckets, as_of)}
+POSTS, DAILY, WEEKLY, SEGMENTS = ("publicaciones", "metricas_publicaciones_diarias",
+                                  "estadisticas_pagina_semanal", "segmentacion_seguidores_semanal")
+TABLES = (POSTS, DAILY, WEEKLY, SEGMENTS)
+
+
+def _wants(only):
+    return lambda *names: only is None or any(n in only for n in names)
+
+
+def facebook(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
+    want, out = _wants(only), {}
+    if want(POSTS, DAILY):
+        post_items = L.graph_page_items(_ep(pages, "posts"), S.FB_POST)
+        reactions = L.page_object(_ep(pages, "reactions"), S.FB_REACTION_SUMMARY).select(
+            "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"),
+            F.upper("variant").alias("tipo"), F.col("summary.total_count").alias("total_count"), "seq")
+        insights = L.series_points(L.graph_page_items(_ep(pages, "post_insights"), S.FB_SERIES)).select(
+            "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "name", "end_time",
+            "value", "seq")
+        posts, daily = jobs.facebook_post_ingest(post_items, reactions, insights, as_of)
+        out.update({POSTS: K.post_rows(posts), DAILY: daily})
+    if want(WEEKLY):
+        page_pts = L.series_points(L.graph_page_items(_ep(pages, "page_insights"), S.FB_SERIES))
+        out[WEEKLY] = jobs.facebook_page_week(page_pts)
+    if want(SEGMENTS):
+        demo = L.series_points(L.graph_page_items(_ep(pages, "page_demographics"), S.FB_DEMOGRAPHICS)) \
+            .withColumnRenamed("name", "serie")
+        out[SEGMENTS] = jobs.facebook_audience(demo)
+    return {k: v for k, v in out.items() if only is None or k in only}
+
+
+def instagram(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
+    want, out = _wants(only), {}
+    if want(POSTS, DAILY):
+        media = L.graph_page_items(_ep(pages, "media"), S.IG_MEDIA)
+        ins = L.graph_page_items(_ep(pages, "media_insights"), S.IG_INSIGHT).select(
+            "plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "name", "values", "seq")
+        posts, daily = jobs.instagram_media_ingest(media, ins, as_of)
+        out.update({POSTS: K.post_rows(posts), DAILY: daily})
+    if want(WEEKLY):
+        account = L.series_points(L.graph_page_items(_ep(pages, "account_insights"), S.IG_ACCOUNT_SERIES)) \
+            .withColumnRenamed("name", "serie")
+        out[WEEKLY] = jobs.instagram_account_week(account, as_of)
+    if want(SEGMENTS):
+        demo_first = L.page_object(_ep(pages, "demographics"), f"data ARRAY<STRUCT<{S.IG_DEMOGRAPHICS}>>")
+        responses = demo_first.select("plataforma", "pagina_id", F.lower("variant").alias("variant"), "seq",
+                                      F.get(F.col("data"), 0).alias("d")).where(F.col("d").isNotNull()) \
+            .select("plataforma", "pagina_id", "variant", "seq", "d.breakdowns", "d.values")
+        out[SEGMENTS] = jobs.instagram_audience(responses, as_of)
+    return {k: v for k, v in out.items() if only is None or k in only}
+
+
+def linkedin(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
+    want, out = _wants(only), {}
+    if want(POSTS, DAILY):
+        items = {src: L.offset_page_items(_ep(pages, src), ddl) for src, ddl in
+                 (("posts", S.LI_POST), ("ugcPosts", S.LI_UGC_POST), ("shares", S.LI_SHARE))}
+        status = L.page_object(_ep(pages, "source_status"), "source STRING, ok BOOLEAN") \
+            .select("pagina_id", "source", F.coalesce("ok", F.lit(False)).alias("ok"))
+        social = L.page_object(_ep(pages, "socialActions"), S.LI_SOCIAL_ACTIONS)
+        posts, daily = jobs.linkedin_post_ingest(items["posts"], items["ugcPosts"], items["shares"],
+                                                 status, social, as_of)
+        out.update({POSTS: K.post_rows(posts), DAILY: daily})
+    if want(WEEKLY):
+        followers = L.offset_page_items(_ep(pages, "follower_statistics"), S.LI_FOLLOWER_STAT)
+        out[WEEKLY] = jobs.linkedin_account_week(followers, as_of)
+    if want(SEGMENTS):
+        countries = L.offset_page_items(_ep(pages, "follower_countries"), S.LI_FOLLOWER_STAT)
+        out[SEGMENTS] = jobs.linkedin_audience(countries, as_of)
+    return {k: v for k, v in out.items() if only is None or k in only}
+
+
+def tiktok(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
+    want, out = _wants(only), {}
+    if want(POSTS, DAILY):
+        videos = L.cursor_page_items(_ep(pages, "videos"), S.TT_VIDEO, "creatives")
+        ins = L.page_object(_ep(pages, "video_insights"), f"insights STRUCT<{S.TT_VIDEO_INSIGHTS}>", at="data") \
+            .select("plataforma", "pagina_id", F.col("entity_id").alias("publicacion_id"), "seq", "insights.*")
+        posts, daily = jobs.tiktok_video_ingest(videos, ins, as_of)
+        out.update({POSTS: K.post_rows(posts), DAILY: daily})
+    if want(WEEKLY):
+        acct = L.page_object(_ep(pages, "account_insights"), f"values ARRAY<STRUCT<{S.TT_ACCOUNT_POINT}>>",
+                             at="data")
+        out[WEEKLY] = jobs.tiktok_account_week(L.series_points(acct), as_of)
+    if want(SEGMENTS):
+        aud = L.page_object(_ep(pages, "audience"),
+                            ", ".join(f"{lst} ARRAY<STRUCT<{S.TT_BUCKET}>>" for lst, _ in TT_AUDIENCE_LISTS),
+                            at="data")
+        buckets = reduce(DataFrame.unionByName, [
+            L.series_points(aud.select("plataforma", "pagina_id", "seq", F.col(lst).alias("values")))
+            .withColumn("dim", F.lit(dim)) for lst, dim in TT_AUDIENCE_LISTS])
+        out[SEGMENTS] = jobs.tiktok_audience(buckets, as_of)
+    return {k: v for k, v in out.items() if only is None or k in only}
 
 
 PLATFORMS = {"facebook": facebook, "instagram": instagram, "linkedin": linkedin, "tiktok": tiktok}
 
 
-def all_platforms(pages: DataFrame, as_of) -> dict[str, DataFrame]:
+def all_platforms(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
     """Run every platform's adapter on its pages and union per target table."""
-    outs = [fn(pages.where(F.col("plataforma") == p), as_of) for p, fn in PLATFORMS.items()]
+    outs = [fn(pages.where(F.col("plataforma") == p), as_of, only) for p, fn in PLATFORMS.items()]
     return {t: jobs.union_platforms(*[o[t] for o in outs]) for t in outs[0]}
