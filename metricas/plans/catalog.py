@@ -48,12 +48,6 @@ def query(name: str, oracle: str | None):
     return deco
 
 
-def _with(fixtures: dict[str, str], body: str) -> str:
-    ctes = ",\n".join(f"{alias} AS ({duck(name)})" for alias, name in fixtures.items())
-    return f"WITH {ctes},\n{body}" if body.lstrip().upper().startswith(("Q_", "X_")) else \
-        f"WITH {ctes}\n{body}"
-
-
 def _ctes(fixtures: dict[str, str], *extra: tuple[str, str], final: str) -> str:
     parts = [f"{alias} AS ({duck(name)})" for alias, name in fixtures.items()]
     parts += [f"{alias} AS ({sql})" for alias, sql in extra]

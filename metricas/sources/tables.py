@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from metricas import schemas as S
 from metricas.operators import deltas as D
 from metricas.operators import merge as K
+from metricas.operators.common import broadcast_if_bounded
 from metricas.operators.shape import latest_by_key
 from metricas.session import ensure_checkpoint_dir
 
@@ -58,10 +59,14 @@ class KeyedTable:
         return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path, "_SUCCESS")) or (
             fs.exists(jpath) and len(fs.listStatus(jpath)) > 0)
 
-    def read(self) -> DataFrame | None:
+    def read(self, where: Column | None = None) -> DataFrame | None:
+        """The stored rows; ``where`` may use partition columns (pruned at listing)."""
         if not self.exists():
             return None
-        return self.spark.read.schema(self._full_schema()).parquet(self.path).select(*self.schema.fieldNames())
+        df = self.spark.read.schema(self._full_schema()).parquet(self.path)
+        if where is not None:
+            df = df.where(where)
+        return df.select(*self.schema.fieldNames())
 
     def _with_partitions(self, df: DataFrame) -> DataFrame:
         for p, expr in self.partitions.items():
@@ -79,7 +84,8 @@ class KeyedTable:
         if current is not None and not self.partition_from_key:
             holders = (self.spark.read.schema(self._full_schema()).parquet(self.path)
                        .select(*self.keys, *parts)
-                       .join(batch.select(*self.keys).distinct(), self.keys, "left_semi").select(*parts))
+                       .join(broadcast_if_bounded(batch.select(*self.keys).distinct()), self.keys, "left_semi")
+                       .select(*parts))
             found = found.unionByName(holders)
         rows = found.distinct().limit(self.max_partitions + 1).collect()
         if len(rows) > self.max_partitions:
@@ -175,8 +181,14 @@ def merge_posts(t1: KeyedTable, posts: DataFrame) -> None:
 
 def merge_daily(t2: KeyedTable, batch: DataFrame) -> None:
     """K2: ingest deltas (D1) against the *whole* stored history of the batch's posts,
-    then overwrite the touched month partitions."""
-    history = t2.read()
+    then overwrite the touched month partitions.
+
+    Only history dated up to the batch's latest date can be a previous row, so the
+    read is pruned to the month partitions up to it (one scalar collected).
+    """
+    latest = batch.agg(F.max("fecha_descarga")).first()[0]
+    history = t2.read(None if latest is None else
+                      (F.col("mes") <= F.trunc(F.lit(latest), "month")) & (F.col("fecha_descarga") <= F.lit(latest)))
     metric_cols = [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
     if "seq" in batch.columns:
         b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY).drop("seq")

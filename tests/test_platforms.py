@@ -3,8 +3,6 @@ the platform adapters (sources -> normalisers -> reshaping -> joins)."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from metricas.plans import landed
 
 D = dt.date
