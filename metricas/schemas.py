@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 # One landed API response page. ``entity_id``/``variant`` hold what only the
 # request knew (post id asked about, reaction type, breakdown dimension...).
+# ``page_seq`` is the page's position in its landing run, unique within the run
+# (0 <= page_seq < 2^31): it fixes the arrival order every "last wins" rule uses.
 LANDED_PAGE = T.StructType([
     T.StructField("plataforma", T.StringType(), False),
     T.StructField("pagina_id", T.StringType(), False),
