@@ -750,3 +750,36 @@ def q_linkedin_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts, ugc, shares = SH.li_items(fe)
     li = N.linkedin_posts(posts).unionByName(N.linkedin_ugc_posts(ugc)).unionByName(N.linkedin_shares(shares))
     return N.linkedin_source_fallback(li, SH.li_source_status(fe)).select("pagina_id", "publicacion_id", "source")
+
+
+@query("page_week_pivot", _ctes({"fb": "F_B"}, (
+    "pts", "SELECT pagina_id, CAST(substr(end_time, 1, 10) AS DATE) AS dia, seq, value, "
+           "CASE WHEN name = 'post_clicks' THEN 'page_fans' ELSE replace(name, 'post_', 'page_') END AS name FROM fb"),
+    final=("SELECT 'facebook' AS plataforma, pagina_id, dia, "
+           + ", ".join(_max_by_filter("value", f"name = '{n}'", out) for n, out in A.FB_PAGE_WEEK_METRICS)
+           + " FROM pts GROUP BY 1, 2, 3")))
+def q_page_week_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 alone, including the page video views that T3 does not keep."""
+    return A.page_week_pivot(SH.fb_insight_points(_fx(spark, sf_dir, "F_B"), rename=_page_metric_name))
+
+
+@query("lifetime_last_value", _ctes({"fd": "F_D"}, final=(
+    "SELECT 'instagram' AS plataforma, 'page_ig' AS pagina_id, publicacion_id, "
+    + ", ".join(_max_by_filter("total_count", f"tipo = '{t}' AND total_count % 10 <> 0", out)
+                for t, out in (("LIKE", "alcance"), ("LOVE", "guardados"), ("HAHA", "video_views")))
+    + " FROM fd GROUP BY 1, 2, 3")))
+def q_lifetime_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 alone: last element of each lifetime series per media; empty series keep the earlier value."""
+    return A.lifetime_last_value(SH.ig_insight_items(_fx(spark, sf_dir, "F_D")))
+
+
+@query("merge_daily_series", _ctes({"g": "F_G"}, final=(
+    "SELECT 'instagram' AS plataforma, pagina_id, dia, "
+    + ", ".join(_max_by_filter("valor", f"serie = '{n}'", n) for n, _ in A.IG_ACCOUNT_SERIES)
+    + " FROM g GROUP BY 1, 2, 3")))
+def q_merge_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 alone: three tagged daily series -> one row per (page, day), absent series 0."""
+    pts = SH.ig_account_points(_fx(spark, sf_dir, "F_G")).select(
+        "plataforma", "pagina_id", "serie", "seq", E.iso_local_date("end_time").alias("dia"),
+        E.scalar_or_value_struct("value").alias("valor"))
+    return A.merge_daily_series(pts)
