@@ -632,8 +632,8 @@ def fb_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_pages.unionByName(ins_pages).unionByName(rx_pages)
 
 
-@query("facebook_ingest_from_pages", _SQL_FB_J1)
-def q_facebook_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("facebook_daily_from_pages", _SQL_FB_J1)
+def q_facebook_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 from landed JSON pages: S1 explode -> P1 -> A1, A3 -> J1 (same result as facebook_daily_metrics)."""
     from metricas.plans import landed
     return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
@@ -667,8 +667,8 @@ def li_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("linkedin_ingest_from_pages", ORACLE["linkedin_post_metrics"])
-def q_linkedin_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("linkedin_daily_from_pages", ORACLE["linkedin_post_metrics"])
+def q_linkedin_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for LinkedIn from landed JSON pages: S2 explode -> P3-P5 -> U2 -> P7 -> J3."""
     from metricas.plans import landed
     return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
@@ -690,8 +690,8 @@ def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return video_pages.unionByName(ins_pages)
 
 
-@query("tiktok_ingest_from_pages", ORACLE["tiktok_video_metrics"])
-def q_tiktok_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("tiktok_daily_from_pages", ORACLE["tiktok_video_metrics"])
+def q_tiktok_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for TikTok from landed JSON pages: S3 cursor pages -> P6 -> J4."""
     from metricas.plans import landed
     return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
@@ -706,8 +706,8 @@ def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_pages.unionByName(ins_pages)
 
 
-@query("instagram_ingest_from_pages", ORACLE["instagram_media_metrics"])
-def q_instagram_ingest_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("instagram_daily_from_pages", ORACLE["instagram_media_metrics"])
+def q_instagram_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for Instagram from landed JSON pages: S1 -> P2 -> A4 -> J2."""
     from metricas.plans import landed
     return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
