@@ -227,10 +227,16 @@ def merge_campaign_daily(t6: KeyedTable, rows: DataFrame) -> None:
 
 
 def merge_run(spark: SparkSession, root: str, outputs: Mapping[str, DataFrame]) -> None:
-    """Merge one run's outputs (as returned by ``plans.landed``) into the tables under ``root``."""
+    """Merge one run's outputs (as returned by ``plans.landed``) into the tables under ``root``.
+
+    Each output is checkpointed once first: a merge looks at its batch several
+    times (touched partitions, bounds, the merge itself), and re-deriving it
+    from the landed JSON each time would repeat the parsing and joins.
+    """
+    ensure_checkpoint_dir(spark)
     t = tables(spark, root)
     sinks = {"publicaciones": merge_posts, "metricas_publicaciones_diarias": merge_daily,
              "estadisticas_pagina_semanal": merge_weekly, "segmentacion_seguidores_semanal": merge_segments,
              "metricas_campanias_diarias": merge_campaign_daily}
     for name, rows in outputs.items():
-        sinks[name](t[name], rows)
+        sinks[name](t[name], rows.checkpoint(eager=True))
