@@ -122,8 +122,17 @@ def latest_per_iso_week(df: DataFrame, keys: Sequence[str], date_col: str,
 
     The point is chosen first and its payload expanded afterwards, and its own
     date is emitted (not the week start). Values are the chosen day's, never a sum.
+    With one point per date (``seq_col == date_col``) and numeric payload, each
+    column is a ``max_by`` over the LONG day number (a hash aggregate); otherwise
+    the (date, seq) struct decides (sort-based, still partially aggregated).
     """
     week = E.iso_week_monday(F.col(date_col)).alias("_week")
+    types = dict(df.dtypes)
+    if seq_col == date_col and all(types[c] in ("bigint", "int", "double") for c in payload):
+        day = F.unix_date(F.col(date_col))
+        return (df.groupBy(*keys, week)
+                .agg(F.max(date_col).alias(date_col), *[F.max_by(F.col(c), day).alias(c) for c in payload])
+                .select(*keys, date_col, *payload))
     chosen = F.max_by(F.struct(F.col(date_col).alias("_d"), *[F.col(c) for c in payload]),
                       F.struct(F.col(date_col), F.col(seq_col))).alias("_pt")
     return (df.groupBy(*keys, week).agg(chosen)
