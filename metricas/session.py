@@ -77,8 +77,9 @@ CLUSTER_CONF = {
 
 
 def apply_cluster_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime-settable entries of ``CLUSTER_CONF`` that the session does not set yet."""
+    """Set the entries of ``CLUSTER_CONF`` the deployment did not set explicitly."""
+    explicit = spark.conf.getAll
     for k, v in CLUSTER_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
+        if k not in explicit:
             spark.conf.set(k, v)
     return spark
