@@ -88,3 +88,25 @@ def test_recompute_after_any_order_equals_sorted(spark):
     ra = sorted(D.recompute_deltas(a).collect(), key=key)
     rb = sorted(D.recompute_deltas(b).collect(), key=key)
     assert [r.delta_visualizaciones for r in ra] == [r.delta_visualizaciones for r in rb]
+
+
+week_pts_st = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.integers(0, 99)),
+                       min_size=1, max_size=20)
+
+
+@SETTINGS
+@given(points=week_pts_st)
+def test_latest_per_iso_week_matches_dict_model(spark, points):
+    """The reference keeps, per ISO (year, week), the point with the greatest date,
+    replacing on ties (>=), i.e. the last one seen wins among equal dates."""
+    start = dt.date(2024, 12, 20)  # crosses the 2024/2025 ISO year boundary
+    rows = [(page, start + dt.timedelta(days=d), v, i) for i, (page, d, v) in enumerate(points)]
+    df = spark.createDataFrame(rows, "pagina_id string, dia date, valor bigint, seq bigint")
+    got = {(r.pagina_id, r.dia, r.valor) for r in
+           A.latest_per_iso_week(df.repartition(3), ["pagina_id"], "dia", ["valor"]).collect()}
+    model = {}
+    for page, day, v, _ in rows:
+        key = (page, *day.isocalendar()[:2])
+        if key not in model or day >= model[key][0]:
+            model[key] = (day, v)
+    assert got == {(k[0], d, v) for k, (d, v) in model.items()}
