@@ -73,6 +73,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # core setting (spark-submit only): remove checkpoint files of merged runs once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -80,6 +82,6 @@ def apply_cluster_conf(spark: SparkSession) -> SparkSession:
     """Set the entries of ``CLUSTER_CONF`` the deployment did not set explicitly."""
     explicit = spark.conf.getAll
     for k, v in CLUSTER_CONF.items():
-        if k not in explicit:
+        if k not in explicit and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
