@@ -127,3 +127,24 @@ def test_posts_table_moves_a_post_whose_month_changed(spark):
     assert got == [("p1", 3), ("p2", 2)]
     months = sorted(os.listdir(os.path.join(root, "publicaciones", "plataforma=facebook")))
     assert "mes=2024-03-01" in months
+
+
+def test_weekly_and_segment_tables_across_runs(spark):
+    root = tempfile.mkdtemp(prefix="metricas-tables-")
+    t = TB.tables(spark, root)
+    wk = lambda d, fans, seq: spark.createDataFrame(
+        [("instagram", "ig", d, fans, 1, 0, seq)],
+        "plataforma string, pagina_id string, fecha_corte_semana date, total_seguidores bigint, "
+        "alcance_pagina bigint, visualizaciones_pagina bigint, seq bigint")
+    TB.merge_weekly(t["estadisticas_pagina_semanal"], wk(DAY, 10, 1))
+    TB.merge_weekly(t["estadisticas_pagina_semanal"], wk(DAY, 12, 2).unionByName(wk(DAY + dt.timedelta(2), 13, 3)))
+    assert sorted((r.fecha_corte_semana.day, r.total_seguidores)
+                  for r in t["estadisticas_pagina_semanal"].read().collect()) == [(1, 12), (3, 13)]
+    seg = lambda pais, n, seq: spark.createDataFrame(
+        [("linkedin", "org", DAY, None, pais, None, None, n, seq)],
+        "plataforma string, pagina_id string, fecha_corte_semana date, genero string, pais string, "
+        "ciudad string, nivel_educacion string, cantidad_seguidores bigint, seq bigint")
+    TB.merge_segments(t["segmentacion_seguidores_semanal"], seg("US", 4, 1))
+    TB.merge_segments(t["segmentacion_seguidores_semanal"], seg("US", 6, 2).unionByName(seg("BO", 1, 3)))
+    assert sorted((r.pais, r.cantidad_seguidores) for r in t["segmentacion_seguidores_semanal"].read().collect()) == [
+        ("BO", 1), ("US", 4)]
