@@ -31,6 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", SESSION_TZ)
+        # plan construction: skip recording Python call sites for every Column call
+        # (four JVM round trips each); only error messages lose that context
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("METRICAS_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
