@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +53,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "ingest":
         pages = read_landed(spark, args.landing, fmt=args.format)
         platforms = args.platform or sorted(landed.PLATFORMS)
-        pages = pages.where(F.col("plataforma").isin(platforms))
-        outs = [landed.PLATFORMS[p](pages.where(F.col("plataforma") == p), _date(args.as_of)) for p in platforms]
-        merged = {t: landed.jobs.union_platforms(*[o[t] for o in outs]) for t in outs[0]}
-        TB.merge_run(spark, args.tables, merged)
+        # every platform/endpoint filter reads these pages: keep them after the first read
+        pages = pages.where(F.col("plataforma").isin(platforms)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            outs = [landed.PLATFORMS[p](pages.where(F.col("plataforma") == p), _date(args.as_of))
+                    for p in platforms]
+            merged = {t: landed.jobs.union_platforms(*[o[t] for o in outs]) for t in outs[0]}
+            TB.merge_run(spark, args.tables, merged)
+        finally:
+            pages.unpersist()
     elif args.cmd == "stream":
         run_available(spark, args.landing, args.tables, fmt=args.format, name=args.name,
                       as_of=_date(args.as_of) if args.as_of else None)

@@ -17,7 +17,11 @@ PAGE_COLS = ["plataforma", "pagina_id", "endpoint", "entity_id", "variant"]
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read landed pages (parquet or JSON lines) with the fixed landing schema."""
+    """Read landed pages (parquet or JSON lines) with the fixed landing schema.
+
+    A landing folder laid out as ``plataforma=<p>/endpoint=<e>/`` lets every
+    platform/endpoint filter of the jobs prune folders at listing time.
+    """
     return spark.read.schema(S.LANDED_PAGE).format(fmt).load(path)
 
 
