@@ -118,13 +118,24 @@ def linkedin_post_metrics(posts: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+TT_INSIGHTS = ("views", "likes", "comments", "shares", "saves", "reach")
+
+
 def tiktok_video_metrics(videos: DataFrame, insights: DataFrame) -> DataFrame:
     """Videos (P6) left-join video insights; each counter is the listing value if
-    non-zero, else the insight value; reach and saves come from insights only."""
+    non-zero, else the insight value; reach and saves come from insights only.
+
+    An insights response with any counter that is not a number counts as no
+    response (all six 0), as the reference discards it whole.
+    """
     v = latest_by_key(videos, PK)
+    raw = {c: F.coalesce(_truthy_text(c), F.lit("0")) for c in TT_INSIGHTS}
+    ok = F.lit(True)
+    for c in TT_INSIGHTS:
+        ok = ok & E.int_or_none(raw[c]).isNotNull()
     ins = latest_by_key(
-        insights.select(*PK, "seq", *[E.int_or_zero(c).alias(f"i_{c}")
-                                      for c in ("views", "likes", "comments", "shares", "saves", "reach")]),
+        insights.select(*PK, "seq", *[F.when(ok, E.int_or_zero(raw[c])).otherwise(0).alias(f"i_{c}")
+                                      for c in TT_INSIGHTS]),
         PK).drop("seq")
     df = v.join(ins, PK, "left")
     likes = E.or_numbers("like_count", _nz("i_likes"))

@@ -158,6 +158,8 @@ def test_tiktok(spark, pages):
             {"caption": "no id", "create_time": "2024-02-01T00:00:00Z"},
             {"creative_id": "v3", "create_time": "2023-02-01T00:00:00Z"}]}}),
         ("tiktok", "tt", "video_insights", "v1", None, 2, {"data": {"insights": {"views": 8, "likes": 5, "saves": 1}}}),
+        # a response with a counter that is not a number is discarded whole
+        ("tiktok", "tt", "video_insights", "v2", None, 5, {"data": {"insights": {"views": 8, "reach": "n/a"}}}),
         ("tiktok", "tt", "account_insights", None, None, 3, {"data": {"values": [
             {"end_time": "2024-01-29T00:00:00Z", "value": {"views": 5, "followers": 10}},
             {"date": "2024-01-29", "value": {"views": 7}},
