@@ -110,3 +110,31 @@ def test_latest_per_iso_week_matches_dict_model(spark, points):
         if key not in model or day >= model[key][0]:
             model[key] = (day, v)
     assert got == {(k[0], d, v) for k, (d, v) in model.items()}
+
+
+fallback_st = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["posts", "ugcPosts", "shares"]),
+                                 st.booleans()), min_size=1, max_size=9)
+items_st = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["posts", "ugcPosts", "shares"])),
+                    min_size=0, max_size=12)
+
+
+@SETTINGS
+@given(status=fallback_st, items=items_st)
+def test_source_fallback_matches_loop_model(spark, status, items):
+    """posts -> ugcPosts -> shares: rows yielded by sources tried before the first one
+    that completed are kept; nothing after it; an org with no completed source gets nothing."""
+    from metricas.operators import normalize as N
+    order = ["posts", "ugcPosts", "shares"]
+    ok = {}
+    for org, src, good in status:
+        ok[(org, src)] = ok.get((org, src), False) or good
+    st_df = spark.createDataFrame([(o, s, g) for (o, s), g in ok.items()], "pagina_id string, source string, ok boolean")
+    it_df = spark.createDataFrame([(o, s, f"{o}-{i}") for i, (o, s) in enumerate(items)],
+                                  "pagina_id string, source string, publicacion_id string")
+    got = sorted(r.publicacion_id for r in N.linkedin_source_fallback(it_df, st_df).collect())
+    kept = []
+    for i, (org, src) in enumerate(items):
+        done = [order.index(s) for s in order if ok.get((org, s))]
+        if done and order.index(src) <= min(done):
+            kept.append(f"{org}-{i}")
+    assert got == sorted(kept)
