@@ -43,3 +43,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "delta_visualizaciones" in df.columns
+
+
+def test_queries_do_not_depend_on_the_callers_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/La_Paz")
+    try:
+        row = entry.queries()["facebook_posts"](spark, SF_DIR).orderBy("publicacion_id").first()
+        # created_time 'YYYY-MM-DDT00:00:00Z' renders as midnight
+        assert (row.fecha_hora_publicacion.hour, row.fecha_hora_publicacion.minute) == (0, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
