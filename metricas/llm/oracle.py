@@ -33,4 +33,30 @@ SELECT w.doc_id, len(w.words)::BIGINT AS n_words, (len(w.words) - coalesce(kept.
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op4_exact_dedup": EXACT_DEDUP, "op9_substring_dedup": SUBSTRING_DEDUP}
+NGRAM_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+link AS (
+  SELECT a, b FROM pair JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+  WHERE 100 * common >= 75 * (p.n + q.n - common)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT DISTINCT a, a FROM edge
+  UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.other)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       coalesce(c.least, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) AS c USING (doc_id)
+"""
+
+ORACLE = {"op2_ngram_join": NGRAM_JOIN, "op4_exact_dedup": EXACT_DEDUP, "op9_substring_dedup": SUBSTRING_DEDUP}
