@@ -60,13 +60,14 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([n[some]], GRAMS.field(2).type)], schema=GRAMS)
 
 
-class Model:
-    """Log-likelihood of each feature in each learned language: at most FEATURES x languages numbers."""
+#: the learned languages, and the log-likelihood of each feature in each of them
+Model = tuple[list[str], np.ndarray]
 
-    def __init__(self, counts: dict[str, np.ndarray]):
-        self.langs = sorted(counts)
-        self.logp = np.stack([TEMPER * np.log((counts[k] + SMOOTHING) / (counts[k].sum() + SMOOTHING * FEATURES))
-                              for k in self.langs]).astype(np.float32) if counts else np.zeros((0, FEATURES), np.float32)
+
+def model_of(counts: dict[str, np.ndarray]) -> Model:
+    langs = sorted(counts)
+    logp = [TEMPER * np.log((counts[k] + SMOOTHING) / (counts[k].sum() + SMOOTHING * FEATURES)) for k in langs]
+    return langs, np.array(logp, np.float32).reshape(len(langs), FEATURES)
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
@@ -82,7 +83,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
     for r in rows:
         counts[r["lang"]] = np.zeros(FEATURES, np.int64)
         counts[r["lang"]][r["grams"]] = r["counts"]
-    return Model(counts)
+    return model_of(counts)
 
 
 def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -108,7 +109,7 @@ def mixture(likelihood: np.ndarray, first: np.ndarray, text: np.ndarray,
     return share, _per_text((top + np.log(total))[:, 0], first)
 
 
-def infer(model: Model, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def infer(logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Language number and its share in each text; texts must not be empty."""
     feature, offs = trigrams(data, offs)
     size = np.diff(offs)
@@ -116,14 +117,14 @@ def infer(model: Model, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
     first = np.cumsum(stretches) - stretches
     text = np.repeat(np.arange(len(size)), stretches)
     starts = offs[text] + (np.arange(len(text)) - first[text]) * STRETCH
-    likelihood = np.stack([np.add.reduceat(p[feature], starts) for p in model.logp], axis=1).astype(float)
-    everything = np.ones((len(size), len(model.langs)))
+    likelihood = np.stack([np.add.reduceat(p[feature], starts) for p in logp], axis=1).astype(float)
+    everything = np.ones((len(size), len(logp)))
     share, _ = mixture(likelihood, first, text, everything)
     # nested sets: the k languages with the largest shares
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, chosen = np.full(len(size), -np.inf), np.zeros(len(size), np.int64)
     single = _per_text(likelihood, first)
-    for k in range(1, min(LARGEST_SET, len(model.langs)) + 1):
+    for k in range(1, min(LARGEST_SET, len(logp)) + 1):
         if k == 1:
             part, fit = np.zeros_like(single), single.max(axis=1)
             part[np.arange(len(size)), single.argmax(axis=1)] = 1
@@ -143,16 +144,16 @@ def predictor(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             column = part.column("text")
-            m = model.value
+            langs, logp = model.value
             ascii_letters = pa.compute.match_substring_regex(column, "[A-Za-z]").fill_null(False).to_numpy(False)
             letters = ascii_letters.astype(bool)
             for i in np.flatnonzero(~letters):
                 letters[i] = any(map(str.isalpha, column[i].as_py() or ""))
             names, scores = np.full(part.num_rows, UNKNOWN, object), np.zeros(part.num_rows)
             some = np.flatnonzero(letters)
-            if len(some) and m.langs:
-                lang, score = infer(m, *text_buffers(column.take(pa.array(some))))
-                names[some], scores[some] = np.array(m.langs, object)[lang], score
+            if len(some) and langs:
+                lang, score = infer(logp, *text_buffers(column.take(pa.array(some))))
+                names[some], scores[some] = np.array(langs, object)[lang], score
             yield pa.RecordBatch.from_arrays(
                 [*part.drop_columns(["text"]).columns, pa.array(names, pa.string()), pa.array(scores)],
                 names=[*(n for n in part.schema.names if n != "text"), "lang_pred", "score"])

@@ -59,4 +59,76 @@ FROM w LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) AS c USING (doc_id)
 """
 
-ORACLE = {"op2_ngram_join": NGRAM_JOIN, "op4_exact_dedup": EXACT_DEDUP, "op9_substring_dedup": SUBSTRING_DEDUP}
+LINE_DEDUP = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(0, len(string_split(text, chr(10))))) AS i
+  FROM documents WHERE text <> ''),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM line),
+cut AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS ends FROM hashed),
+placed AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM cut),
+chunk AS (
+  SELECT doc_id, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM placed GROUP BY doc_id, place),
+judged AS (
+  SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, place) > 1 AS gone FROM chunk),
+kept AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+         coalesce(string_agg(body, chr(10) ORDER BY place) FILTER (NOT gone), '') AS body
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM documents AS d LEFT JOIN kept USING (doc_id)
+"""
+
+WARC = r"""
+WITH page AS (
+  SELECT page_id, regexp_replace(url, '[\r\n]+', ' ', 'g') AS url, coalesce(html, '') AS html FROM pages),
+source AS (
+  SELECT *, md5('response' || chr(10) || page_id::VARCHAR || coalesce(chr(10) || url, '')) AS m FROM page),
+named AS (
+  SELECT *, '<urn:uuid:' || substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' ||
+         substr(m, 17, 4) || '-' || substr(m, 21, 12) || '>' AS source_id FROM source),
+plain AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(html,
+           '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'),
+           '(?i)\s*</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|'
+           || 'head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)'
+           || '\b[^>]*>\s*', chr(10), 'g'),
+           '<[a-zA-Z/!?][^>]*>', '', 'g') AS body FROM named),
+resolved AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(body,
+           '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)),
+           '&copy;', '©'), '&middot;', '·'), '&mdash;', '—'), '&ndash;', '–'), '&hellip;', '…'), '&amp;', '&') AS words
+  FROM plain),
+block AS (
+  SELECT page_id, url, html, source_id, 'conversion' AS record_type, 'text/plain; charset=utf-8' AS content_type,
+         regexp_replace(regexp_replace(words, '[ \t\r\f]*\n\s*', chr(10), 'g'), '\A\s+|\s+\z', '', 'g') AS block
+  FROM resolved
+  UNION ALL
+  SELECT page_id, url, html, source_id, 'metadata', 'application/warc-fields',
+         concat_ws(chr(13) || chr(10), 'http-status: 200', 'http-header-Content-Type: text/html; charset=utf-8',
+           'http-header-Content-Length: ' || strlen(html),
+           'title: ' || trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1), ' '),
+           CASE WHEN len(links) > 0
+                THEN array_to_string(list_transform(links, lambda x: 'outlink: ' || x), chr(13) || chr(10)) END)
+  FROM (SELECT *, regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref="([^"]*)"', 1) AS links FROM named)),
+made AS (SELECT *, md5(record_type || chr(10) || source_id) AS d FROM block)
+SELECT page_id, record_type,
+       '<urn:uuid:' || substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-' || substr(d, 13, 4) || '-' ||
+       substr(d, 17, 4) || '-' || substr(d, 21, 12) || '>' AS record_id,
+       source_id AS refers_to, url AS target_uri, '2024-01-01T00:00:00Z' AS date, content_type,
+       strlen(block) AS content_length, 'sha256:' || sha256(block) AS block_digest,
+       'sha256:' || sha256(html) AS payload_digest, block
+FROM made
+"""
+
+ORACLE = {
+    "op2_ngram_join": NGRAM_JOIN,
+    "op4_exact_dedup": EXACT_DEDUP,
+    "op6_warc_derivatives": WARC,
+    "op7_line_dedup": LINE_DEDUP,
+    "op9_substring_dedup": SUBSTRING_DEDUP,
+}
