@@ -1,12 +1,73 @@
-"""Corpus preparation: the stages that turn ``documents`` into packed training sequences."""
+"""Corpus preparation: the stages that turn ``documents`` into packed training sequences.
+
+Each stage works on every row its predecessor kept. All but the last return the
+columns they were given (text, and n_chars where there is one, as they are after
+the stage); the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from metricas.llm import lang_id, line_dedup, ngram_join, packing, pii
 from metricas.llm.common import staged, table
 
-STAGES = []
+
+def recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns, n_chars being the length of the text as it is now."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return docs.select(*columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Op 10: learn from every document with a language; documents without any language (``und``) go.
+
+    Those are null texts and texts without a letter. Where no document names a
+    language there is nothing to learn and nothing is rejected.
+    """
+    model = lang_id.train(docs)
+    if not model[0]:
+        return docs
+    return lang_id.predict(docs, model, tuple(docs.columns), keep_text=True).where(
+        F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Op 7: repeated multi-line chunks go; every document stays, if need be with an empty text."""
+    kept = (line_dedup.dedup(docs).where("n_removed > 0")
+            .select("doc_id", F.struct(F.col("text").alias("rest")).alias("cut")).dropDuplicates(["doc_id"]))
+    out = docs.join(kept, "doc_id", "left").withColumn("text", F.when(F.col("cut").isNull(), F.col("text"))
+                                                       .otherwise(F.col("cut.rest")))
+    return recounted(out, docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Op 2: of each group of linked documents the one with the smallest id stays."""
+    goes = ngram_join.join(docs).where("doc_id <> component_id").select("doc_id")
+    return docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Op 3: each span of personal data becomes its kind in angle brackets."""
+    model = pii.fit(pii.find_candidates(docs))
+    return recounted(pii.mask(docs, model), docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Op 1: token pieces packed into sequences of at most 4096."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", drop_near_copies),
+    ("pii", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
 # SQL cannot express the language and personal-data models; tests compare each
 # stage with a brute-force version instead

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_buffers, text_slices
 from .words import LOWER
@@ -137,16 +138,13 @@ def infer(logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndar
     return chosen, np.clip(share[np.arange(len(size)), chosen], 0.0, 1.0)
 
 
-PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
-
-
-def predictor(model):
+def predictor(model, text_col: str, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            column = part.column("text")
-            langs, logp = model.value
-            ascii_letters = pa.compute.match_substring_regex(column, "[A-Za-z]").fill_null(False).to_numpy(False)
-            letters = ascii_letters.astype(bool)
+        langs, logp = model.value
+        for part in text_slices(batches, text_col):
+            column = part.column(text_col)
+            ascii_letters = pa.compute.match_substring_regex(column, "[A-Za-z]").fill_null(False)
+            letters = ascii_letters.to_numpy(zero_copy_only=False).astype(bool)
             for i in np.flatnonzero(~letters):
                 letters[i] = any(map(str.isalpha, column[i].as_py() or ""))
             names, scores = np.full(part.num_rows, UNKNOWN, object), np.zeros(part.num_rows)
@@ -154,24 +152,29 @@ def predictor(model):
             if len(some) and langs:
                 lang, score = infer(logp, *text_buffers(column.take(pa.array(some))))
                 names[some], scores[some] = np.array(langs, object)[lang], score
-            yield pa.RecordBatch.from_arrays(
-                [*part.drop_columns(["text"]).columns, pa.array(names, pa.string()), pa.array(scores)],
-                names=[*(n for n in part.schema.names if n != "text"), "lang_pred", "score"])
+            rest = part if keep_text else part.drop_columns([text_col])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(names, pa.string()), pa.array(scores)],
+                                             names=[*rest.schema.names, "lang_pred", "score"])
     return run
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """Add lang_pred and score (the language's share of the text, 0 to 1) to the columns ``keep``.
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
+            keep_text: bool = False) -> DataFrame:
+    """Add lang_pred and score (the language's share of the text, 0 to 1) to the columns ``keep``
+    (with the text too if ``keep_text``).
 
     Only the text is looked at. A null text, or one without a letter, is
     ``und`` with score 0, as is any text where no language was learned. Whole
     texts count, of any length; repeated rows get equal answers; an empty table
-    gives no rows.
+    gives no rows. Columns of ``docs`` named lang_pred or score are not kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = dict(docs.dtypes)
-    ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string", "score double"])
-    return (docs.select(*keep, F.col(text_col).alias("text")).mapInArrow(predictor(shared), ddl))
+    kept = [f for f in docs.schema.fields if f.name in keep and f.name not in (text_col, "lang_pred", "score")]
+    text = docs.schema[text_col]
+    schema = T.StructType([*kept, *([text] if keep_text else []), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    return (docs.select(*(F.col(f"`{f.name}`") for f in kept), F.col(text_col))
+            .mapInArrow(predictor(shared, text_col, keep_text), schema))
 
 
 def fold(id_col: str = "doc_id") -> Column:

@@ -107,7 +107,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every
     Lines end at line feeds. A null or empty text has no lines and stays as it
     is; a text whose chunks all go becomes empty; texts of one line stay; a
     chunk repeated within one text goes there too. An empty table gives no rows;
-    other columns are ignored. Ids are unique; rows without id are left out.
+    other columns are ignored. Rows without id are left out; rows that repeat an
+    id and text count as one document and get equal answers.
 
     Returns doc_id, n_lines, n_removed, text (the lines that stay).
     """
@@ -117,11 +118,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every
     # one row for each repeated key, with its first place
     first = (keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("key", "first"))
-    repeated = (keys.join(first, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list("place")).alias("places")))
+    repeated = (keys.join(first, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places")))
     placed = texts.repartition("doc_id")  # one exchange of the texts serves both look-ups
     bodies = staged(placed.join(repeated, "doc_id").mapInArrow(chunk_bodies(every), BODIES_DDL), "chunk-bodies")
-    kept = bodies.join(first, "key").where(F.struct("doc_id", "place") == F.col("first")).select("key", "body")
+    kept = (bodies.join(first, "key").where(F.struct("doc_id", "place") == F.col("first"))
+            .select("key", "body").dropDuplicates(["key"]))
     gone = (bodies.alias("x").join(first, "key").where(F.struct("doc_id", "place") != F.col("first"))
             .join(kept.withColumnRenamed("body", "kept"), "key").where("body = kept")
-            .groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+            .groupBy("doc_id").agg(F.collect_set("place").alias("places")))
     return placed.join(gone, "doc_id", "left").mapInArrow(without_chunks(every), KEPT_DDL)
