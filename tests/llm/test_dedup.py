@@ -1,17 +1,13 @@
 """Exact, substring, line and near-duplicate operators against brute force."""
 
 import hashlib
-import re
 
 import pytest
 
 from metricas.llm import exact_dedup, line_dedup, ngram_join, substring_dedup
 
-BLANK = re.compile("[\x20\x09-\x0d]+")
-
-
-def split(text):
-    return [w for w in BLANK.split(text or "") if w]
+from .brute import BLANK, classes, split
+from .conftest import corpus
 
 
 def sha(text):
@@ -55,28 +51,8 @@ def test_every_pair_of_positions_shares_an_anchor():
             assert any((i + k) % 7 in substring_dedup.COVER and (j + k) % 7 in substring_dedup.COVER for k in range(7))
 
 
-def classes(rows):
-    sets = {}
-    for d, t in rows:
-        w = split(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
-        sets[d] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    leader = {d: d for d in sets}
-
-    def find(d):
-        while leader[d] != d:
-            d = leader[d]
-        return d
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-                x, y = sorted((find(a), find(b)))
-                leader[y] = x
-    return {d: (len(sets[d]), find(d)) for d in sets}
-
-
 @pytest.mark.parametrize("seed", [1, 2])
 def test_ngram_join(frame, seed):
-    from conftest import corpus  # the folder's own
     rows = corpus(seed, 90)
     got = ngram_join.join(frame(rows)).collect()
     assert {r.doc_id: tuple(r)[1:] for r in got} == classes(rows) and len(got) == len(rows)
