@@ -137,20 +137,29 @@ def shared_shingles(group: pa.Table) -> pa.Table:
                      pa.array([rank[a:b].tobytes() for a, b in spans], pa.binary())], schema=SHARED)
 
 
-ORDERED = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-ORDERED_DDL = "rep long, n long, alone long, tokens array<long>"
+ORDERED = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("common", pa.float64()),
+                     ("tokens", pa.list_(pa.int64()))])
+ORDERED_DDL = "rep long, n long, alone long, common double, tokens array<long>"
 
 
 def order_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed shared hashes of each set -> one array, rarest first; ``alone``: how many others no set shares."""
+    """Packed shared hashes of each set -> one array, rarest first.
+
+    ``alone``: how many others no set shares; ``common``: mean log2 count of all
+    the set's shingles. Among near copies the text they were made from has the
+    largest, since all of its shingles occur in most of them.
+    """
     for batch in batches:
-        tokens = []
+        tokens, common = [], []
         for hs, rs in zip(batch.column("hashes").to_pylist(), batch.column("ranks").to_pylist()):
             h, r = np.frombuffer(b"".join(hs), np.uint64), np.frombuffer(b"".join(rs), np.uint8)
-            tokens.append(h[np.lexsort((h, r))].view(np.int64))
+            h, at = np.unique(h, return_index=True)  # rows that repeat an id repeat its hashes
+            tokens.append(h[np.lexsort((h, r[at]))].view(np.int64))
+            common.append(float(r[at].sum(dtype=np.int64)))
         n = batch.column("n")
         alone = n.to_numpy() - np.array([len(t) for t in tokens], np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), n, pa.array(alone),
+        common = np.array(common, float) / n.to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), n, pa.array(alone), pa.array(common),
                                           pa.array(tokens, pa.list_(pa.int64()))], schema=ORDERED)
 
 
@@ -164,9 +173,11 @@ def _links(overlap: Column, n1: Column, n2: Column, percent: int) -> Column:
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
-    """Sizes and positions of a shared shingle still allow a link."""
-    bound = (F.least(F.col(f"{x}.pos"), F.col(f"{y}.pos")) + 1
-             + F.least(F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos")) - 1)
+    """Sizes and positions of the first shingle that two sets share still allow a link.
+
+    A pair over the threshold passes at its first shared shingle, which is one look more than needed of it.
+    """
+    bound = F.least(F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos"))
     return _links(bound, F.col(f"{x}.n"), F.col(f"{y}.n"), percent)
 
 
@@ -183,10 +194,12 @@ def link_classes(sets: DataFrame, percent: int) -> DataFrame:
     # index: the rarest shingles of each set; those that no other set holds need no entry
     length = F.col("n") - _least(F.col("n"), percent) + 1 - F.col("alone")
     index = staged(sets.where(length > 0)
-                   .select("rep", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))))
-                   .select(F.col("col").alias("token"), "rep", "n", (F.col("pos") + F.col("alone")).alias("pos")), "index")
-    # each list's smallest set answers for all of the list
-    lists = (index.groupBy("token").agg(F.min(F.struct("n", "rep", "pos")).alias("lead"), F.count("*").alias("size"))
+                   .select("rep", "n", "alone", "common", F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))))
+                   .select(F.col("col").alias("token"), "rep", "n", "common", (F.col("pos") + F.col("alone")).alias("pos")), "index")
+    # each list's most central set answers for all of the list
+    lists = (index.groupBy("token")
+             .agg(F.max(F.struct("common", (-F.col("rep")).alias("minus"), "n", "rep", "pos")).alias("lead"),
+                  F.count("*").alias("size"))
              .where("size > 1").select("token", F.col("lead.rep").alias("rep"), F.col("lead.n").alias("n"),
                                        F.col("lead.pos").alias("pos")))
     first = (lists.alias("x").join(index.alias("y"), "token")
@@ -235,7 +248,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     text, or the whole word sequence where there are fewer words. A null, empty
     or blank text has an empty set and links with nothing. Equal texts and texts
     with equal sets are one class. An empty table gives no rows; other columns
-    are ignored. Rows without id are left out.
+    are ignored. Rows without id are left out; rows
+    that repeat an id and text get equal answers.
 
     Returns doc_id, n_shingles, component_id (smallest id reachable by links).
     """
