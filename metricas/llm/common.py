@@ -37,8 +37,8 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
 
 
-def bucket_count(n_bytes: int, per_bucket: int = 16 << 20, least: int = 16) -> int:
-    """Buckets so that each holds what ``per_bucket`` bytes of text give on average."""
+def bucket_count(n_bytes: int, per_bucket: int = 16 << 20, least: int = 64) -> int:
+    """Buckets so that each holds what ``per_bucket`` bytes of text give on average; ``least`` spread small inputs."""
     return max(least, -(-n_bytes // per_bucket))
 
 

@@ -68,6 +68,26 @@ def runs_of_equal(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(differs), n)
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number, byte by byte: what repeats lies together."""
+    return np.ascontiguousarray(values.astype(values.dtype.newbyteorder("<"))
+                                .view(np.uint8).reshape(len(values), -1)[:, :width].T).tobytes()
+
+
+def unplanes(packed: bytes, width: int, kind: type) -> np.ndarray:
+    flat = np.frombuffer(packed, np.uint8).reshape(width, -1)
+    out = np.zeros((flat.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = flat.T
+    return out.view(np.dtype(kind).newbyteorder("<")).reshape(-1).astype(kind)
+
+
+# an anchor's lowest 40 bits go to its bucket; the bits above choose the bucket.
+# A bucket holds about a million anchors, so few differ and agree in 40 bits,
+# and those only cost the look at a window that turns out to be alone
+ANCHOR_BYTES, ANCHOR_BITS = 5, np.uint64(40)
+ANCHOR_MASK = np.uint64((1 << 40) - 1)
+
+
 def anchor_postings(window: int, buckets: int):
     """(doc_id, text) -> postings of anchors, one row per slice and bucket, plus answers settled within the slice.
 
@@ -93,10 +113,10 @@ def anchor_postings(window: int, buckets: int):
             for bucket, at, settled in ((h[first], first, False), (h[later], np.flatnonzero(later), True)):
                 if not len(at):
                     continue
-                of = (bucket % np.uint64(buckets)).astype(np.int32)
+                of = ((bucket >> ANCHOR_BITS) % np.uint64(buckets)).astype(np.int32)
                 for b, i in by_bucket(of, np.lexsort((d[at], of))):
                     ids, index = np.unique(d[at[i]], return_inverse=True)
-                    out.append((b, ids.tobytes(), index.astype(np.uint16).tobytes(), h[at[i]].tobytes(),
+                    out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2), planes(h[at[i]], ANCHOR_BYTES),
                                 b"" if settled else np.packbits(size[i] > 1).tobytes(), b"", settled))
             yield pa.RecordBatch.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
@@ -107,26 +127,27 @@ def unpack(group: pa.Table, width: int = 1) -> dict[str, np.ndarray]:
     out = {k: [np.zeros(0, t)] for k, t in
            (("doc", np.int64), ("hash", np.uint64), ("more", bool), ("place", np.uint32), ("extra", np.uint32))}
     for r in group.to_pylist():
-        at = np.frombuffer(r["at"], np.uint16)
+        at = unplanes(r["at"], 2, np.uint16)
         out["doc"].append(np.frombuffer(r["docs"], np.int64)[at])
-        out["hash"].append(np.frombuffer(r["hashes"], np.uint64))
+        out["hash"].append(unplanes(r["hashes"], ANCHOR_BYTES, np.uint64) if width == 1
+                           else np.frombuffer(r["hashes"], np.uint64))
         if width == 1:
             more = r["more"]
             out["more"].append(np.unpackbits(np.frombuffer(more, np.uint8), count=len(at)).astype(bool)
                                if more else np.zeros(len(at), bool))
         else:
             out["extra"].append(np.frombuffer(r["more"], np.uint32))
-            out["place"].append(np.frombuffer(r["places"], np.uint32))
+            out["place"].append(unplanes(r["places"], 4, np.uint32))
     return {k: np.concatenate(v) for k, v in out.items()}
 
 
-def answers(doc: np.ndarray, found: np.ndarray) -> pa.Table:
-    """One row per document with its findings, packed."""
+def answers(doc: np.ndarray, found: np.ndarray, width: int) -> pa.Table:
+    """One row per document with its findings, packed ``width`` bytes each."""
     order = np.argsort(doc, kind="stable")
     doc, found = doc[order], found[order]
     cuts = runs_of_equal(doc)
     return pa.table([pa.array(doc[cuts[:-1]], pa.int64()),
-                     pa.array([found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
+                     pa.array([planes(found[a:b], width) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
                     schema=ANSWERS)
 
 
@@ -140,7 +161,7 @@ def shared_anchors(group: pa.Table) -> pa.Table:
     ends = runs_of_equal(h)
     size = np.diff(ends)
     shared = np.repeat(size > 1, size) | more
-    return answers(np.concatenate([d[shared], done["doc"]]), np.concatenate([h[shared], done["hash"]]))
+    return answers(np.concatenate([d[shared], done["doc"]]), np.concatenate([h[shared], done["hash"]]), ANCHOR_BYTES)
 
 
 def window_postings(window: int, buckets: int):
@@ -158,10 +179,10 @@ def window_postings(window: int, buckets: int):
             # the anchors of a document that were found shared, matched within that document
             found = part.column("found").to_pylist()
             salt = (np.arange(len(docs), dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03)
-            marks = [np.frombuffer(x, np.uint64) ^ salt[i] for i, f in enumerate(found) for x in f or ()]
+            marks = [unplanes(x, ANCHOR_BYTES, np.uint64) ^ salt[i] for i, f in enumerate(found) for x in f or ()]
             if not marks:
                 continue
-            hit = places[np.isin(hashes ^ salt[w.rows()[places]], np.concatenate(marks))]
+            hit = places[np.isin((hashes & ANCHOR_MASK) ^ salt[w.rows()[places]], np.concatenate(marks))]
             # every window that covers such an anchor
             m = len(numbers) - window + 1
             cover = np.zeros(len(numbers) + 1, np.int64)
@@ -186,9 +207,9 @@ def window_postings(window: int, buckets: int):
                 for b, i in by_bucket(of[at], np.lexsort((place[at], doc[at], of[at]))):
                     i = at[i]
                     ids, index = np.unique(doc[i], return_inverse=True)
-                    out.append((b, ids.tobytes(), index.astype(np.uint16).tobytes(),
+                    out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2),
                                 b"" if settled else key[i].tobytes(), b"" if settled else extra[i].tobytes(),
-                                place[i].tobytes(), settled))
+                                planes(place[i], 4), settled))
             yield pa.RecordBatch.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
 
@@ -198,14 +219,14 @@ def later_windows(group: pa.Table) -> pa.Table:
     settled = group.column("settled").to_numpy()
     docs, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
     for r in group.filter(pa.array(settled)).to_pylist():
-        docs.append(np.frombuffer(r["docs"], np.int64)[np.frombuffer(r["at"], np.uint16)])
-        places.append(np.frombuffer(r["places"], np.uint32))
+        docs.append(np.frombuffer(r["docs"], np.int64)[unplanes(r["at"], 2, np.uint16)])
+        places.append(unplanes(r["places"], 4, np.uint32))
     p = unpack(group.filter(pa.array(~settled)), 2)
     order = np.lexsort((p["doc"], p["extra"], p["hash"]))
     h, x, d, place = (p[k][order] for k in ("hash", "extra", "doc", "place"))
     ends = runs_of_equal(h, x)
     later = d != np.repeat(d[ends[:-1]], np.diff(ends))
-    return answers(np.concatenate([*docs, d[later]]), np.concatenate([*places, place[later]]))
+    return answers(np.concatenate([*docs, d[later]]), np.concatenate([*places, place[later]]), 4)
 
 
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
@@ -222,7 +243,7 @@ def remove_windows(window: int):
             cover = np.zeros(n + 1, np.int64)
             for i, f in enumerate(part.column("found").to_pylist()):
                 for x in f or ():
-                    at = np.frombuffer(x, np.uint32).astype(np.int64) + w.offs[i]
+                    at = unplanes(x, 4, np.uint32).astype(np.int64) + w.offs[i]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + window, -1)
             gone = np.cumsum(cover)[:n] > 0
