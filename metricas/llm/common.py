@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from metricas.session import ensure_checkpoint_dir
 
 # bytes of text that a Python worker handles at once
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
