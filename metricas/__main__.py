@@ -1,12 +1,12 @@
 """Command line: run the jobs on a cluster (spark-submit) or locally.
 
   python -m metricas ingest  --landing DIR --tables DIR [--platform P ...] [--as-of DATE] [--format json|parquet]
-  python -m metricas stream  --landing DIR --tables DIR [--name NAME] [--as-of DATE]
+  python -m metricas stream  --landing DIR --tables DIR [--format json|parquet]
   python -m metricas recompute-deltas --tables DIR
 
-``ingest`` runs the platform jobs once over a landed folder and merges into the
-tables; ``stream`` processes only pages not seen before (availableNow trigger);
-``recompute-deltas`` rewrites every delta of the daily table (first row NULL).
+``ingest`` runs the platform jobs over all runs of a landed folder, in order, and
+merges into the tables (``--as-of`` dates runs without a date); ``stream`` processes
+the complete runs not processed before; ``recompute-deltas`` rewrites every delta of the daily table (first row NULL).
 """
 
 from __future__ import annotations
@@ -14,15 +14,13 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from metricas.plans import landed
 from metricas.session import apply_cluster_conf, ensure_checkpoint_dir
 from metricas.sources import tables as TB
-from metricas.sources.landing import read_landed
-from metricas.streaming import run_available
+from metricas.sources.landing import read_landed, runs
+from metricas.streaming import process_runs, run_available
 
 
 def _date(text: str | None) -> dt.date:
@@ -41,8 +39,6 @@ def main(argv: list[str] | None = None) -> None:
     st = sub.add_parser("stream")
     st.add_argument("--landing", required=True)
     st.add_argument("--tables", required=True)
-    st.add_argument("--name", default="landing")
-    st.add_argument("--as-of")
     st.add_argument("--format", default="json", choices=["json", "parquet"])
     rc = sub.add_parser("recompute-deltas")
     rc.add_argument("--tables", required=True)
@@ -52,19 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     if args.cmd == "ingest":
         pages = read_landed(spark, args.landing, fmt=args.format)
-        platforms = args.platform or sorted(landed.PLATFORMS)
-        # every platform/endpoint filter reads these pages: keep them after the first read
-        pages = pages.where(F.col("plataforma").isin(platforms)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            outs = [landed.PLATFORMS[p](pages.where(F.col("plataforma") == p), _date(args.as_of))
-                    for p in platforms]
-            merged = {t: landed.jobs.union_platforms(*[o[t] for o in outs]) for t in outs[0]}
-            TB.merge_run(spark, args.tables, merged)
-        finally:
-            pages.unpersist()
+        process_runs(spark, pages, args.tables, runs(pages), _date(args.as_of), args.platform)
     elif args.cmd == "stream":
-        run_available(spark, args.landing, args.tables, fmt=args.format, name=args.name,
-                      as_of=_date(args.as_of) if args.as_of else None)
+        run_available(spark, args.landing, args.tables, fmt=args.format)
     else:
         TB.recompute_all_deltas(TB.tables(spark, args.tables)["metricas_publicaciones_diarias"])
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricas import schemas as S
-from metricas.operators.common import broadcast_if_bounded
 
 PK = S.POST_KEY
 METRICS = S.DELTA_METRICS
@@ -43,16 +42,14 @@ def ingest_deltas(batch: DataFrame, history: DataFrame | None = None) -> DataFra
 
     The as-of lookup is a join of history to the batch's posts (only rows dated
     before that post's latest incoming date) plus the shared window: no per-row
-    probe. The per-post bounds (one row per incoming post) are broadcast after a
-    size check, so stored history is filtered where it is scanned and only the
-    batch's posts' rows are shuffled.
+    probe.
     """
     cols = [*PK, "fecha_descarga", *METRICS]
     extra = [c for c in batch.columns if c not in cols and not c.startswith("delta_")]
     b = batch.select(*cols, *extra, F.lit(1).alias("_src"))
     if history is not None:
         bounds = batch.groupBy(*PK).agg(F.max("fecha_descarga").alias("_maxd"))
-        h = (history.select(*cols).join(broadcast_if_bounded(bounds), PK, "inner")
+        h = (history.select(*cols).join(bounds, PK, "inner")
              .where(F.col("fecha_descarga") < F.col("_maxd"))
              .select(*cols, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in extra],
                      F.lit(0).alias("_src")))

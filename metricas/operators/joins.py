@@ -41,7 +41,7 @@ def facebook_daily_metrics(posts: DataFrame, reactions: DataFrame, insights: Dat
     A post without insight days yields no row; post totals and reactions
     repeat on every day; guardados is 0; ctr from clicks / impressions.
     """
-    p = latest_by_key(posts, PK).select(*PK, "reacciones", "comentarios", "compartidos")
+    p = latest_by_key(posts.select(*PK, "seq", "reacciones", "comentarios", "compartidos"), PK).drop("seq")
     df = (p.join(reactions, PK, "left")
           .join(insights.withColumnRenamed("dia", "fecha_descarga"), PK, "inner"))
     return daily_rows(
@@ -59,7 +59,7 @@ def facebook_daily_metrics(posts: DataFrame, reactions: DataFrame, insights: Dat
 
 def instagram_media_metrics(media: DataFrame, insights: DataFrame) -> DataFrame:
     """Media (P2) left-join lifetime insights (A4); dated by the publication date."""
-    m = latest_by_key(media, PK)
+    m = latest_by_key(media.select(*PK, "seq", "dia", "me_gusta", "comentarios", "video_view_count", "video_views"), PK)
     df = m.join(insights.withColumnRenamed("video_views", "ins_video_views"), PK, "left")
     views = E.or_numbers("video_view_count", "video_views", _nz("ins_video_views"))
     return daily_rows(
@@ -105,7 +105,7 @@ def linkedin_post_metrics(posts: DataFrame, counts: DataFrame) -> DataFrame:
     the post id), so they spread over the join partitions instead of all
     hashing to one (a hot empty key).
     """
-    p = latest_by_key(posts, PK)
+    p = latest_by_key(posts.select(*PK, "seq", "dia", "activity_urn"), PK)
     urn = F.coalesce(F.col("activity_urn"), F.lit(""))
     key = F.when(urn != "", urn).otherwise(F.concat(F.lit("\u0000none:"), F.col("pagina_id"),
                                                      F.lit("/"), F.col("publicacion_id")))
@@ -118,6 +118,7 @@ def linkedin_post_metrics(posts: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+# ---- fixed values: counters of a video insights response ----
 TT_INSIGHTS = ("views", "likes", "comments", "shares", "saves", "reach")
 
 
@@ -128,7 +129,7 @@ def tiktok_video_metrics(videos: DataFrame, insights: DataFrame) -> DataFrame:
     An insights response with any counter that is not a number counts as no
     response (all six 0), as the reference discards it whole.
     """
-    v = latest_by_key(videos, PK)
+    v = latest_by_key(videos.select(*PK, "seq", "dia", "like_count", "comment_count", "share_count", "view_count"), PK)
     raw = {c: F.coalesce(_truthy_text(c), F.lit("0")) for c in TT_INSIGHTS}
     ok = F.lit(True)
     for c in TT_INSIGHTS:

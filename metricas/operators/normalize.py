@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricas.functions import exprs as E
-from metricas.operators.common import broadcast_if_bounded
-
-POST_COLS = ["plataforma", "pagina_id", "publicacion_id", "url_publicacion",
-             "fecha_hora_publicacion", "texto_publicacion", "formato"]
 
 # ---- fixed values: LinkedIn post sources in the order they are tried ----
 LINKEDIN_SOURCES = ["posts", "ugcPosts", "shares"]
@@ -56,7 +52,7 @@ def lookback_window(as_of, platform: str) -> tuple[_dt.date, _dt.date]:
 
 def facebook_posts(items: DataFrame) -> DataFrame:
     first_att = F.get(F.col("attachments.data"), 0)
-    return items.select(
+    return items.where(F.col("id").isNotNull()).select(  # F3
         "plataforma", "pagina_id", "seq",
         F.col("id").alias("publicacion_id"),
         F.col("permalink_url").alias("url_publicacion"),
@@ -73,9 +69,9 @@ def facebook_posts(items: DataFrame) -> DataFrame:
 # ---- P2: Instagram media ----
 
 def instagram_media(items: DataFrame) -> DataFrame:
-    """IG media rows; items without a timestamp are dropped (the listing skips them)."""
+    """IG media rows; items without an id, or without a timestamp (the listing skips them), are dropped."""
     status = F.upper(F.coalesce(F.col("media_type"), F.lit("")))
-    return items.where(E.nonempty("timestamp").isNotNull()).select(
+    return items.where(E.nonempty("timestamp").isNotNull() & F.col("id").isNotNull()).select(
         "plataforma", "pagina_id", "seq",
         F.col("id").alias("publicacion_id"),
         F.col("permalink").alias("url_publicacion"),
@@ -100,7 +96,7 @@ def _li_common(items: DataFrame, source: str, pid: Column, created: Column, text
         pid.alias("publicacion_id"), created.cast("bigint").alias("created_ms"),
         text.alias("texto_publicacion"), permalink.alias("url_publicacion"),
         media.alias("media_type"), activity.alias("activity_urn"),
-    ).where(E.nonzero("created_ms").isNotNull())
+    ).where(E.nonzero("created_ms").isNotNull() & F.col("publicacion_id").isNotNull())  # F3
 
 
 def linkedin_posts(items: DataFrame) -> DataFrame:
@@ -162,9 +158,8 @@ def linkedin_source_fallback(li_items: DataFrame, status: DataFrame) -> DataFram
     prio = F.array_position(F.array(*[F.lit(s) for s in LINKEDIN_SOURCES]), F.col("source"))
     cutoff = (status.where(F.col("ok")).groupBy("pagina_id")
               .agg(F.min(prio).alias("_cutoff")))
-    # one row per page: broadcast after a size check, so a page with most of the
-    # posts is not one hot join partition
-    return (li_items.join(broadcast_if_bounded(cutoff), "pagina_id", "inner")
+    # one row per page on the right: AQE broadcasts it where small, else splits a hot page
+    return (li_items.join(cutoff, "pagina_id", "inner")
             .where(prio <= F.col("_cutoff")).drop("_cutoff"))
 
 

@@ -68,18 +68,15 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], seq_col: str = "seq",
                   keep_first: bool = False) -> DataFrame:
     """Deduplicate on ``keys`` keeping the row with the greatest (or smallest) ``seq``.
 
-    ``seq`` is unique per row (a landing position). The winner per key is found
-    with a hash aggregate over (keys, seq) only -- map-side partial aggregation
-    absorbs a key holding a large share of the rows -- and the rows are then
-    kept with a semi-join on (keys, seq), which has no hot key because seq is
-    unique. No sort of the full rows, and Catalyst still prunes unused columns.
-    Keys may be NULL (null-safe match).
+    One pass over ``df`` and one row per key whatever the ties: the whole row is
+    carried by ``max_by``, which is partially aggregated before the shuffle, so
+    a key holding a large share of the rows costs one row per task. Select the
+    columns needed before calling. Keys may be NULL.
     """
-    pick = F.min if keep_first else F.max
-    winners = df.groupBy(*keys).agg(pick(seq_col).alias("_win"))
-    w = winners.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_win")
-    cond = [df[k].eqNullSafe(w[f"_k{i}"]) for i, k in enumerate(keys)] + [df[seq_col] == w["_win"]]
-    return df.join(w, cond, "left_semi")
+    pick = F.min_by if keep_first else F.max_by
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in rest]), F.col(seq_col)).alias("_row"))
+            .select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in df.columns]))
 
 
 # ---- A1 / A2 / A3 / A4 ----
@@ -87,13 +84,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], seq_col: str = "seq",
 def daily_post_insights(points: DataFrame) -> DataFrame:
     """A1: post day-insight points -> one row per (post, day) with the four daily metrics."""
     df = points.withColumn("dia", E.iso_local_date("end_time"))
+    df = df.where(F.col("dia").isNotNull() & F.col("publicacion_id").isNotNull())  # F3
     return last_wins_pivot(df, ["plataforma", "pagina_id", "publicacion_id", "dia"], "name",
                            E.int_or_zero("value"), FB_POST_DAY_METRICS)
 
 
 def page_week_pivot(points: DataFrame) -> DataFrame:
     """A2: page week-insight points -> one row per (page, week end date)."""
-    df = points.withColumn("dia", E.iso_local_date("end_time"))
+    df = points.withColumn("dia", E.iso_local_date("end_time")).where(F.col("dia").isNotNull())  # F3
     return last_wins_pivot(df, ["plataforma", "pagina_id", "dia"], "name",
                            E.int_or_zero("value"), FB_PAGE_WEEK_METRICS)
 

@@ -9,7 +9,9 @@ types match the Spark result.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from metricas.operators import joins as J
 from metricas.operators import merge as K
 from metricas.operators import normalize as N
 from metricas.operators import shape as A
-from metricas.plans import jobs
+from metricas.plans import jobs, landed
 from metricas.plans import shapes as SH
 from metricas.plans.fixtures import duck, spark_fixture
 from metricas.session import pin_utc
@@ -35,6 +37,8 @@ AS_OF_ACCOUNT_EARLY = "2024-01-25"
 SPLIT_DAY = "2024-01-16"        # incoming daily rows start here
 STORED_UNTIL = "2024-01-20"     # stored daily rows end before here (plus every 3rd day)
 
+RUN_DATES = {1: _dt.date(1995, 7, 1), 2: _dt.date(1995, 7, 2)}  # of the two-run queries
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -259,14 +263,14 @@ def q_year_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("upsert_posts", _ctes(
     {"fc": "F_C"},
-    ("r1", _sql_fb_posts("seq % 2 = 0")),
-    ("r2", _sql_fb_posts("seq % 3 = 0", text="message || ' (editado)'")),
+    ("r1", _sql_fb_posts("seq % 3 <> 0")),
+    ("r2", _sql_fb_posts("seq % 2 = 0 OR seq % 3 = 0", text="message || ' (editado)'")),
     final=("SELECT * FROM r1 WHERE NOT EXISTS (SELECT 1 FROM r2 WHERE r2.publicacion_id = r1.publicacion_id) "
            "UNION ALL SELECT * FROM r2")))
 def q_upsert_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fc = _fx(spark, sf_dir, "F_C")
-    run1 = N.facebook_posts(SH.fb_post_items(fc.where(F.col("seq") % 2 == 0)))
-    edited = fc.where(F.col("seq") % 3 == 0).withColumn("message", F.concat("message", F.lit(" (editado)")))
+    run1 = N.facebook_posts(SH.fb_post_items(fc.where(F.col("seq") % 3 != 0)))
+    edited = fc.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn("message", F.concat("message", F.lit(" (editado)")))
     run2 = N.facebook_posts(SH.fb_post_items(edited))
     return K.upsert_posts(K.upsert_posts(None, run1), run2)
 
@@ -290,10 +294,10 @@ _SQL_IG_INS = ("SELECT publicacion_id, "
         "alcance": "coalesce(i.alcance, 0)", "reacciones": "reacciones", "me_gusta": "reacciones",
         "comentarios": "coalesce(comentarios, 0)", "guardados": "coalesce(i.guardados, 0)",
     }) + " FROM fc m LEFT JOIN i ON i.publicacion_id = m.publicacion_id "
-         f"WHERE CAST(substr(created_time, 1, 10) AS DATE) >= DATE_TRUNC('year', DATE '{AS_OF_POSTS}')"))
+         f"WHERE CAST(substr(created_time, 1, 10) AS DATE) >= DATE_TRUNC('year', DATE '{AS_OF_ALL_POSTS}')"))
 def q_instagram_media_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, daily = jobs.instagram_media_ingest(SH.ig_media_items(_fx(spark, sf_dir, "F_C")),
-                                           SH.ig_insight_items(_fx(spark, sf_dir, "F_D")), AS_OF_POSTS)
+                                           SH.ig_insight_items(_fx(spark, sf_dir, "F_D")), AS_OF_ALL_POSTS)
     return daily
 
 
@@ -317,7 +321,7 @@ _SQL_LI_CUT = ("SELECT pagina_id, CASE WHEN k % 3 = 0 THEN 1 WHEN k % 3 = 1 THEN
                "AS cutoff FROM (SELECT DISTINCT pagina_id, CAST(substr(pagina_id, 5) AS INTEGER) AS k FROM fe)")
 _SQL_LI_KEPT = ("SELECT li.*, DATE '1970-01-01' + CAST(floor(cms / 86400000) AS INTEGER) AS dia FROM li "
                 "JOIN cut ON cut.pagina_id = li.pagina_id WHERE prio <= cutoff AND cms IS NOT NULL AND cms <> 0 "
-                f"AND DATE '1970-01-01' + CAST(floor(cms / 86400000) AS INTEGER) >= DATE_TRUNC('year', DATE '{AS_OF_POSTS}')")
+                f"AND DATE '1970-01-01' + CAST(floor(cms / 86400000) AS INTEGER) >= DATE_TRUNC('year', DATE '{AS_OF_ALL_POSTS}')")
 
 
 @query("linkedin_posts", _ctes(
@@ -328,7 +332,7 @@ _SQL_LI_KEPT = ("SELECT li.*, DATE '1970-01-01' + CAST(floor(cms / 86400000) AS
 def q_linkedin_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fe = _fx(spark, sf_dir, "F_E")
     posts, ugc, shares = SH.li_items(fe)
-    rows = jobs.linkedin_posts(posts, ugc, shares, SH.li_source_status(fe), AS_OF_POSTS)
+    rows = jobs.linkedin_posts(posts, ugc, shares, SH.li_source_status(fe), AS_OF_ALL_POSTS)
     return K.upsert_posts(None, rows)
 
 
@@ -337,7 +341,7 @@ _SQL_LI_SOCIAL = (
     "CASE WHEN tc % 7 = 0 THEN 0 ELSE (tc * 3) % 11 END AS comments, "
     "CASE WHEN tc % 7 = 0 THEN 0 WHEN tc % 7 = 1 THEN 1 WHEN tc % 5 = 0 THEN 1 ELSE tc % 5 END AS shares "
     "FROM (SELECT 'urn:li:activity:' || substr(publicacion_id, 6) AS activity_urn, max_by(total_count, seq) AS tc "
-    "FROM fd WHERE tipo = 'LIKE' GROUP BY 1)")
+    "FROM fd GROUP BY 1)")
 
 
 @query("linkedin_post_metrics", _ctes(
@@ -352,7 +356,7 @@ def q_linkedin_post_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     fe = _fx(spark, sf_dir, "F_E")
     posts, ugc, shares = SH.li_items(fe)
     _, daily = jobs.linkedin_post_ingest(posts, ugc, shares, SH.li_source_status(fe),
-                                         SH.li_social_actions(_fx(spark, sf_dir, "F_D")), AS_OF_POSTS)
+                                         SH.li_social_actions(_fx(spark, sf_dir, "F_D")), AS_OF_ALL_POSTS)
     return daily
 
 
@@ -373,10 +377,10 @@ _SQL_TT = ("SELECT *, CASE WHEN strpos(create_time, '-') = 0 THEN DATE '1970-01-
         "me_gusta": "coalesce(nullif(like_count, 0), insight_likes)",
         "comentarios": "coalesce(nullif(comment_count, 0), insight_comments)",
         "compartidos": "coalesce(nullif(share_count, 0), insight_shares)", "guardados": "insight_saves",
-    }) + f" FROM v WHERE cdate >= DATE_TRUNC('year', DATE '{AS_OF_POSTS}')"))
+    }) + f" FROM v WHERE cdate >= DATE_TRUNC('year', DATE '{AS_OF_ALL_POSTS}')"))
 def q_tiktok_video_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ff = _fx(spark, sf_dir, "F_F")
-    _, daily = jobs.tiktok_video_ingest(SH.tt_video_items(ff), SH.tt_insight_items(ff), AS_OF_POSTS)
+    _, daily = jobs.tiktok_video_ingest(SH.tt_video_items(ff), SH.tt_insight_items(ff), AS_OF_ALL_POSTS)
     return daily
 
 
@@ -473,14 +477,14 @@ _NULL_SAFE_SEG = " AND ".join(f"a1.{c} IS NOT DISTINCT FROM a2.{c}" for c in S.S
 
 
 @query("insert_ignore_segments", _ctes(
-    {"h": "F_H"}, ("a1", _SQL_TT_AUD.format(where="WHERE seq % 2 = 0")),
-    ("a2", _SQL_TT_AUD.format(where="WHERE seq % 3 = 0").replace(
+    {"h": "F_H"}, ("a1", _SQL_TT_AUD.format(where="WHERE seq % 3 <> 0")),
+    ("a2", _SQL_TT_AUD.format(where="WHERE seq % 2 = 0 OR seq % 3 = 0").replace(
         "max_by(coalesce(cantidad, 0), seq)", "max_by(coalesce(cantidad, 0) + 1000, seq)")),
     final=f"SELECT * FROM a1 UNION ALL SELECT * FROM a2 WHERE NOT EXISTS (SELECT 1 FROM a1 WHERE {_NULL_SAFE_SEG})"))
 def q_insert_ignore_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     fh = _fx(spark, sf_dir, "F_H")
-    first = jobs.tiktok_audience(SH.tt_audience_buckets(fh.where(F.col("seq") % 2 == 0)), AS_OF_ACCOUNT)
-    bumped = fh.where(F.col("seq") % 3 == 0).withColumn(
+    first = jobs.tiktok_audience(SH.tt_audience_buckets(fh.where(F.col("seq") % 3 != 0)), AS_OF_ACCOUNT)
+    bumped = fh.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn(
         "cantidad", F.coalesce(F.col("cantidad"), F.lit(0)) + 1000)
     second = jobs.tiktok_audience(SH.tt_audience_buckets(bumped), AS_OF_ACCOUNT)
     return K.insert_ignore_segments(first, second)
@@ -530,14 +534,13 @@ def _landed(fi: DataFrame, wrap) -> DataFrame:
 
 
 _SQL_PAGE_ITEMS = _ctes({"fi": "F_I"}, final=(
-    f"SELECT page_seq * {1 << S.POS_BITS} + (row_number() OVER (PARTITION BY page_seq ORDER BY pos) - 1) AS seq, "
-    "publicacion_id FROM fi"))
+    "SELECT page_seq, row_number() OVER (PARTITION BY page_seq ORDER BY pos) - 1 AS pos, publicacion_id FROM fi"))
 
 
 @query("graph_page_items", _SQL_PAGE_ITEMS)
 def q_graph_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _landed(_fx(spark, sf_dir, "F_I"), lambda items, _: F.struct(items.alias("data")))
-    return L.graph_page_items(pages, "id STRING").select("seq", F.col("id").alias("publicacion_id"))
+    return L.graph_page_items(pages, "id STRING").select("seq.page_seq", "seq.pos", F.col("id").alias("publicacion_id"))
 
 
 @query("offset_page_items", _SQL_PAGE_ITEMS)
@@ -545,7 +548,7 @@ def q_offset_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _landed(_fx(spark, sf_dir, "F_I"),
                     lambda items, _: F.struct(items.alias("elements"),
                                               F.struct(F.size(items).alias("count")).alias("paging")))
-    return L.offset_page_items(pages, "id STRING").select("seq", F.col("id").alias("publicacion_id"))
+    return L.offset_page_items(pages, "id STRING").select("seq.page_seq", "seq.pos", F.col("id").alias("publicacion_id"))
 
 
 def _cursor_wrap(items, page_seq):
@@ -560,18 +563,11 @@ def _cursor_wrap(items, page_seq):
 @query("cursor_page_items", _SQL_PAGE_ITEMS)
 def q_cursor_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _landed(_fx(spark, sf_dir, "F_I"), _cursor_wrap)
-    return L.cursor_page_items(pages, "id STRING", "creatives").select("seq", F.col("id").alias("publicacion_id"))
+    return L.cursor_page_items(pages, "id STRING", "creatives").select("seq.page_seq", "seq.pos", F.col("id").alias("publicacion_id"))
 
 
 # ====================== U1 / P8 / K6 ======================
 
-@query("union_platforms", _ctes({"fa": "F_A"}, final="SELECT * FROM fa"))
-def q_union_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fa = _fx(spark, sf_dir, "F_A")
-    parts = [fa.where(F.col("plataforma") == p) for p in ("facebook", "instagram", "linkedin", "tiktok")]
-    return jobs.union_platforms(*parts)
-
-
 @query("campaign_daily", _ctes({"j": "F_J"}, final=(
     "SELECT 'facebook' AS plataforma, 'act_1' AS cuenta_id, campania_id, CAST(date_start AS DATE) AS fecha_descarga, "
     "coalesce(TRY_CAST(spend AS DOUBLE), 0) AS presupuesto_invertido, "
@@ -635,7 +631,6 @@ def fb_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("facebook_daily_from_pages", _SQL_FB_J1)
 def q_facebook_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 from landed JSON pages: S1 explode -> P1 -> A1, A3 -> J1 (same result as facebook_daily_metrics)."""
-    from metricas.plans import landed
     return landed.facebook(fb_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
@@ -670,8 +665,7 @@ def li_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("linkedin_daily_from_pages", ORACLE["linkedin_post_metrics"])
 def q_linkedin_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for LinkedIn from landed JSON pages: S2 explode -> P3-P5 -> U2 -> P7 -> J3."""
-    from metricas.plans import landed
-    return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
+    return landed.linkedin(li_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -693,8 +687,7 @@ def tt_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tiktok_daily_from_pages", ORACLE["tiktok_video_metrics"])
 def q_tiktok_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for TikTok from landed JSON pages: S3 cursor pages -> P6 -> J4."""
-    from metricas.plans import landed
-    return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
+    return landed.tiktok(tt_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -709,8 +702,7 @@ def ig_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("instagram_daily_from_pages", ORACLE["instagram_media_metrics"])
 def q_instagram_daily_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 for Instagram from landed JSON pages: S1 -> P2 -> A4 -> J2."""
-    from metricas.plans import landed
-    return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_POSTS, only={landed.DAILY})[landed.DAILY]
+    return landed.instagram(ig_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
 
 
 _LI_NORM_COLS = ("pagina_id", "publicacion_id", "created_ms", "texto_publicacion", "url_publicacion",
@@ -783,3 +775,85 @@ def q_merge_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         "plataforma", "pagina_id", "serie", "seq", E.iso_local_date("end_time").alias("dia"),
         E.scalar_or_value_struct("value").alias("valor"))
     return A.merge_daily_series(pts)
+
+
+# ====================== U1 and runs ======================
+
+def all_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [f(spark, sf_dir) for f in (fb_landed_pages, ig_landed_pages, li_landed_pages, tt_landed_pages)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("union_platforms", " UNION ALL ".join(f"SELECT * FROM ({ORACLE[n]})" for n in (
+    "facebook_daily_from_pages", "instagram_daily_from_pages", "linkedin_daily_from_pages", "tiktok_daily_from_pages")))
+def q_union_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run's pages of all four platforms -> one daily table."""
+    return landed.all_platforms(all_landed_pages(spark, sf_dir), AS_OF_ALL_POSTS, only={landed.DAILY})[landed.DAILY]
+
+
+def _in_run(pages: DataFrame, run: int) -> DataFrame:
+    return pages.select("*", F.lit(f"run_{run}").alias("run_id"), F.lit(RUN_DATES[run]).alias("run_date"))
+
+
+_SQL_TWO_POST_RUNS = ORACLE["upsert_posts"]
+
+
+@query("posts_two_runs", _SQL_TWO_POST_RUNS)
+def q_posts_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over two runs with the same page numbers: the later run wins, though its pages' numbers are smaller."""
+    fc = _fx(spark, sf_dir, "F_C")
+    edited = fc.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn(
+        "message", F.concat("message", F.lit(" (editado)")))
+
+    def listing(df: DataFrame) -> DataFrame:
+        return _item_pages(SH.fb_post_items(df), "posts", lambda items, _: F.struct(items.alias("data")))
+    first = listing(fc.where(F.col("seq") % 3 != 0).withColumn("seq", F.col("seq") + 100))
+    pages = _in_run(first, 1).unionByName(_in_run(listing(edited), 2))
+    return landed.fold_runs(pages, only={landed.POSTS})[landed.POSTS]
+
+
+def _sql_ig_audience(run: int, qty: str) -> str:
+    return ("SELECT " + _sql_bucket_cols("instagram", f"CAST(sum({qty}) AS BIGINT)")
+            .replace(AS_OF_ACCOUNT, RUN_DATES[run].isoformat())
+            + " FROM h WHERE seq % 10 <> 0 GROUP BY pagina_id, dim, name")
+
+
+@query("instagram_audience_two_runs", _ctes({"h": "F_H"}, final=(
+    _sql_ig_audience(1, "coalesce(cantidad, 0)") + " UNION ALL " + _sql_ig_audience(2, "coalesce(cantidad, 0) + 1"))))
+def q_instagram_audience_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's repeated response replaces the earlier one, and each run's rows carry its own date."""
+    fh = _fx(spark, sf_dir, "F_H")
+
+    def asked(plus: int, run: int, page_seq: int) -> DataFrame:
+        rows = SH.ig_demographic_responses(fh.withColumn("cantidad", F.coalesce("cantidad", F.lit(0)) + plus))
+        return _in_run(_pages(rows.withColumn("seq", F.lit(page_seq)), "demographics",
+                              F.struct(F.array(F.struct("breakdowns")).alias("data")), variant=F.col("variant")), run)
+    pages = asked(1000, 1, 1).unionByName(asked(0, 1, 2)).unionByName(asked(1, 2, 1))
+    return landed.fold_runs(pages, only={landed.SEGMENTS})[landed.SEGMENTS]
+
+
+@query("linkedin_fallback_two_runs", ORACLE["linkedin_posts"].replace(
+    "WHERE prio <= cutoff", "WHERE prio <= greatest(cutoff, 2)"))
+def q_linkedin_fallback_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 per run: the second run's posts source fails everywhere and its ugcPosts source works."""
+    pages = li_landed_pages(spark, sf_dir).where(F.col("endpoint") != "socialActions")
+    orgs = pages.where(F.col("endpoint") == "source_status").select("plataforma", "pagina_id").distinct()
+    status = orgs.select("*", F.explode(F.array(F.struct(F.lit("posts").alias("source"), F.lit(False).alias("ok")),
+                                                F.struct(F.lit("ugcPosts").alias("source"), F.lit(True).alias("ok")))).alias("s"), F.lit(0).alias("seq"))
+    again = (pages.where(F.col("endpoint") != "source_status")
+             .unionByName(_pages(status, "source_status", F.col("s"))))
+    return landed.fold_runs(_in_run(pages, 1).unionByName(_in_run(again, 2)), only={landed.POSTS})[landed.POSTS]
+
+
+def _landed_query(name: str, adapter: str, pages, table: str, as_of: str, oracle: str) -> None:
+    @query(name, oracle)
+    def run_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = landed.PLATFORMS[adapter](pages(spark, sf_dir), as_of, only={table})[table]
+        return landed.MERGES[table](None, rows)
+
+
+_landed_query("instagram_posts_from_pages", "instagram", ig_landed_pages, landed.POSTS, AS_OF_ALL_POSTS, _ctes(
+    {"fc": "F_C"}, final=(
+        "SELECT 'instagram' AS plataforma, 'page_ig' AS pagina_id, publicacion_id, permalink_url AS url_publicacion, "
+        "CAST(substr(created_time, 1, 19) AS TIMESTAMP) AS fecha_hora_publicacion, message AS texto_publicacion, "
+        f"{sql_format(chr(39) * 2, 'upper(coalesce(media_type, ' + chr(39) * 2 + '))')} AS formato FROM fc")))

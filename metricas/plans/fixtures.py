@@ -102,11 +102,11 @@ F_G = """
 select concat('page_', cast(user_id % 10 as string)) as pagina_id, cast(ts as date) as dia,
   case event_type when 'view' then 'reach' when 'click' then 'follower_count' else 'profile_views' end as serie,
   max(event_id) as seq, cast(count(distinct user_id) as bigint) as valor
-from {events} where event_type in ('view', 'click', 'error') group by 1, 2, 3
+from {events} group by 1, 2, 3
 """
 
 F_H = """
-select c_custkey as seq, concat('page_', cast(c_custkey % 5 as string)) as pagina_id,
+select c_custkey as seq, concat('page_', cast(cast(floor(c_custkey / 200) as bigint) as string)) as pagina_id,
   case c_custkey % 4 when 0 then 'country' when 1 then 'city' when 2 then 'gender' else 'age' end as dim,
   case c_custkey % 4 when 0 then concat('n', cast(c_nationkey as string)) when 1 then concat('City ', cast(c_nationkey as string))
     when 2 then substr(c_mktsegment, 1, 1) else case when c_acctbal < 0 then '13-17' when c_acctbal < 5000 then '18-24' else '25-34' end end as name,

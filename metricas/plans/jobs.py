@@ -3,7 +3,7 @@
 Each job takes item frames (as produced by ``metricas.sources``) and an
 explicit ``as_of`` date, and returns target-table frames. Nothing is
 collected; the caller decides whether to merge them into stored tables
-(``metricas.plans.tables``) or inspect them.
+(``metricas.sources.tables``) or inspect them.
 """
 
 from __future__ import annotations
@@ -120,8 +120,10 @@ def instagram_audience(responses: DataFrame, as_of) -> DataFrame:
 
     ``responses`` holds ``data[0]`` of each response: (plataforma, pagina_id, variant, seq,
     breakdowns, values). With breakdowns, entries of the matching dimension (F4) are
-    read; otherwise the legacy map ``values[-1].value[dim]``. Repeated names are summed (A7).
+    read; otherwise the legacy map ``values[-1].value[dim]``. Repeated names are summed (A7)
+    within the latest response of each (page, dimension): one response answers one request.
     """
+    responses = A.latest_by_key(responses, ["plataforma", "pagina_id", "variant"])
     has_bk = F.size(F.coalesce(F.col("breakdowns"), F.array())) > 0
     bk = (responses.where(has_bk)
           .select("plataforma", "pagina_id", "variant", "seq", F.explode("breakdowns").alias("b"))

@@ -136,7 +136,22 @@ def tiktok(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
 PLATFORMS = {"facebook": facebook, "instagram": instagram, "linkedin": linkedin, "tiktok": tiktok}
 
 
-def all_platforms(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
-    """Run every platform's adapter on its pages and union per target table."""
-    outs = [fn(pages.where(F.col("plataforma") == p), as_of, only) for p, fn in PLATFORMS.items()]
-    return {t: jobs.union_platforms(*[o[t] for o in outs]) for t in outs[0]}
+def all_platforms(pages: DataFrame, as_of, only=None, platforms=None) -> dict[str, DataFrame]:
+    """Run every platform's adapter (or those named) on one run's pages and union per target table."""
+    outs = [fn(pages.where(F.col("plataforma") == p), as_of, only) for p, fn in PLATFORMS.items()
+            if platforms is None or p in platforms]
+    names = dict.fromkeys(t for o in outs for t in o)
+    return {t: jobs.union_platforms(*[o[t] for o in outs if t in o]) for t in names}
+
+
+MERGES = {POSTS: K.upsert_posts, DAILY: K.upsert_daily_metrics,
+          WEEKLY: lambda cur, b: K.upsert(cur, b, S.WEEKLY_KEY), SEGMENTS: K.insert_ignore_segments}
+
+
+def fold_runs(pages: DataFrame, only=None, as_of=None) -> dict[str, DataFrame]:
+    """All runs in ``pages``, each by itself and in order, merged into tables that start empty."""
+    state: dict[str, DataFrame] = {}
+    for run in L.runs(pages):
+        for t, rows in all_platforms(L.of_run(pages, run), run[0] or as_of, only).items():
+            state[t] = MERGES[t](state.get(t), rows)
+    return state

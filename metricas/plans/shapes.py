@@ -123,7 +123,7 @@ def li_social_actions(fd: DataFrame) -> DataFrame:
     tc = F.col("total_count")
     tss = (F.when(tc % 7 == 0, F.lit('{"shareCount": 2}')).when(tc % 7 == 1, F.lit(None).cast("string"))
            .otherwise(_s(tc % 5)))
-    return fd.where(F.col("tipo") == "LIKE").select(
+    return fd.select(
         F.lit("linkedin").alias("plataforma"),
         F.concat(F.lit("urn:li:activity:"), F.substring(F.col("publicacion_id"), 6, 30)).alias("entity_id"),
         "seq",
@@ -187,11 +187,13 @@ def ig_demographic_responses(fh: DataFrame) -> DataFrame:
                  .when(F.col("seq") % 2 == 0, F.upper("dim")).otherwise(F.col("dim")))
     entries = fh.select("pagina_id", F.col("dim").alias("variant"), "seq", dimension.alias("dimension"),
                         F.struct(F.col("name").alias("name"), _s("cantidad").alias("value")).alias("v"))
-    # a real response groups entries per dimension; the fixture gives each entry its own breakdown
-    return entries.select(
-        F.lit("instagram").alias("plataforma"), "pagina_id", "variant", "seq",
-        F.array(F.struct(F.col("dimension").alias("dimension"), F.array("v").alias("values"))).alias("breakdowns"),
-        F.lit(None).cast("array<struct<value:map<string,map<string,string>>>>").alias("values"))
+    # a real response groups entries per dimension; here each entry is a breakdown of its own.
+    # A page has at most 200 rows of F-H, so a response is bounded
+    breakdown = F.struct(F.col("dimension").alias("dimension"), F.array("v").alias("values"))
+    return (entries.groupBy("pagina_id", "variant").agg(F.collect_list(breakdown).alias("breakdowns"),
+                                                        F.max("seq").alias("seq"))
+            .select(F.lit("instagram").alias("plataforma"), "pagina_id", "variant", "seq", "breakdowns",
+                    F.lit(None).cast("array<struct<value:map<string,map<string,string>>>>").alias("values")))
 
 
 def tt_audience_buckets(fh: DataFrame) -> DataFrame:

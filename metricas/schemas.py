@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 # One landed API response page. ``entity_id``/``variant`` hold what only the
 # request knew (post id asked about, reaction type, breakdown dimension...).
-# ``page_seq`` is the page's position in its landing run, unique within the run
-# (0 <= page_seq < 2^31): it fixes the arrival order every "last wins" rule uses.
+# ``page_seq`` is the page's position in its landing run, unique within the run:
+# it fixes the arrival order every "last wins" rule uses. A run (``run_date``,
+# ``run_id``) is one call of the ingest; ``run_date`` is its "today". Its last
+# page has the endpoint RUN_END, which says that all of its pages have landed.
 LANDED_PAGE = T.StructType([
     T.StructField("plataforma", T.StringType(), False),
     T.StructField("pagina_id", T.StringType(), False),
@@ -21,13 +23,11 @@ LANDED_PAGE = T.StructType([
     T.StructField("variant", T.StringType(), True),
     T.StructField("page_seq", T.LongType(), False),
     T.StructField("payload", T.StringType(), True),
+    T.StructField("run_id", T.StringType(), True),
+    T.StructField("run_date", T.DateType(), True),
 ])
-
-# Item orders: seq = page_seq * 2^POS_BITS + pos; a point inside an item's
-# ``values`` array gets seq = item_seq * 2^VPOS_BITS + vpos. page_seq < 2^31
-# keeps both inside a signed 64-bit LONG.
-POS_BITS = 20
-VPOS_BITS = 12
+RUN = ["run_date", "run_id"]
+RUN_END = "run_end"
 
 # ---- item payload schemas (DDL) ----
 FB_POST = (
@@ -114,7 +114,7 @@ T1_POSTS = T.StructType([
     T.StructField("formato", T.StringType(), True),
 ])
 
-# Metric columns of T2, in table order.
+# Metric columns of T2, in table order (fixed values).
 DAILY_COUNTERS = [
     "visualizaciones", "alcance", "impresiones",
     "reacciones", "me_gusta", "me_encanta", "me_divierte", "me_asombra", "me_entristece", "me_enoja",

@@ -45,8 +45,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is respected as is.
-    Only when it is unset (tests, local bench) a scratch folder is created.
+    On a cluster this setting names shared storage and is respected as is; it is
+    an error there if it is unset, since each executor would write to its own
+    disk. In local mode (tests, bench) a scratch folder is created instead.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="metricas-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch

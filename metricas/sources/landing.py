@@ -2,8 +2,10 @@
 
 A landed page is one API response, stored as one row of
 ``schemas.LANDED_PAGE``. Paginated endpoints are exploded here into one row
-per item, carrying a total arrival order ``seq`` so that every later
-"last wins" rule is deterministic (and so re-computed after a lost executor).
+per item, carrying a total arrival order ``seq`` = (run_date, run_id, page_seq, pos),
+and the point's place too for series, so that every later "last wins" rule is
+deterministic (and so re-computed after a lost executor) however many items a
+page or points a series has.
 """
 
 from __future__ import annotations
@@ -25,14 +27,31 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.schema(S.LANDED_PAGE).format(fmt).load(path)
 
 
-def _item_seq(page_seq: Column, pos: Column) -> Column:
-    return page_seq * F.lit(1 << S.POS_BITS) + pos.cast("bigint")
+def runs(pages: DataFrame, complete: bool = False) -> list[tuple]:
+    """(run_date, run_id) of the runs in ``pages``, in order: one short row for each call of the ingest.
+
+    ``complete``: only those whose RUN_END page has landed.
+    """
+    if complete:
+        pages = pages.where(F.col("endpoint") == S.RUN_END)
+    rows = pages.select(*S.RUN).distinct().collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1]))
+
+
+def of_run(pages: DataFrame, run: tuple) -> DataFrame:
+    return pages.where(F.col("run_date").eqNullSafe(F.lit(run[0])) & F.col("run_id").eqNullSafe(F.lit(run[1])))
+
+
+def _item_seq(pages: DataFrame, pos: Column) -> Column:
+    run = [F.col(c) for c in S.RUN if c in pages.columns]
+    return F.struct(*run, F.col("page_seq"), pos.cast("bigint").alias("pos"))
 
 
 def _explode_items(pages: DataFrame, items: Column) -> DataFrame:
-    exploded = pages.select(*PAGE_COLS, "page_seq", F.posexplode_outer(items).alias("pos", "item"))
+    run = [c for c in S.RUN if c in pages.columns]
+    exploded = pages.select(*PAGE_COLS, *run, "page_seq", F.posexplode_outer(items).alias("pos", "item"))
     return (exploded.where(F.col("item").isNotNull())
-            .select(*PAGE_COLS, _item_seq(F.col("page_seq"), F.col("pos")).alias("seq"), "item.*"))
+            .select(*PAGE_COLS, _item_seq(pages, F.col("pos")).alias("seq"), "item.*"))
 
 
 def graph_page_items(pages: DataFrame, item_ddl: str) -> DataFrame:
@@ -68,22 +87,14 @@ def page_object(pages: DataFrame, ddl: str, at: str | None = None) -> DataFrame:
         parsed = F.from_json(F.col("payload"), f"`{at}` STRUCT<{fields}>")
         obj = F.col(f"_p.`{at}`")
     return (pages.withColumn("_p", parsed)
-            .select(*PAGE_COLS, _item_seq(F.col("page_seq"), F.lit(0)).alias("seq"), obj.alias("item"))
+            .select(*PAGE_COLS, _item_seq(pages, F.lit(0)).alias("seq"), obj.alias("item"))
             .where(F.col("item").isNotNull())
             .select(*PAGE_COLS, "seq", "item.*"))
 
 
 def series_points(items: DataFrame, values_col: str = "values") -> DataFrame:
-    """Metric series ``{name, values[]}`` -> one row per point, ordered after its item.
-
-    Point order is ``item_seq * 2^VPOS_BITS + vpos``; a series longer than the
-    bound fails loudly instead of mis-ordering points.
-    """
-    limit = 1 << S.VPOS_BITS
+    """Metric series ``{name, values[]}`` -> one row per point, ordered by item, then place in the series."""
     other = [c for c in items.columns if c != values_col]
     ex = items.select(*other, F.posexplode(F.col(values_col)).alias("_vpos", "_point"))
-    vpos = F.when(F.col("_vpos") < limit, F.col("_vpos")).otherwise(
-        F.raise_error(F.lit(f"series longer than {limit} points")).cast("int"))
     return ex.select(*[c for c in other if c != "seq"],
-                     (F.col("seq") * F.lit(limit) + vpos.cast("bigint")).alias("seq"),
-                     "_point.*")
+                     F.struct("seq.*", F.col("_vpos").alias("vpos")).alias("seq"), "_point.*")

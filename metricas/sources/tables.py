@@ -1,23 +1,22 @@
 """Keyed Parquet tables T1-T6: read, and merge a run's rows touching only affected partitions.
 
-A table is a partitioned Parquet folder. A merge
-  1. finds the partitions the run affects: the partitions of the new rows, plus
-     (when the partition is not a function of the key) the partitions that
-     currently hold any of the run's keys, found from a key-column-only scan;
-  2. reads those partitions (static partition pruning) and computes the merged
-     rows with the pure functions of ``operators.merge``;
-  3. cuts the lineage with a reliable ``checkpoint()`` in ``spark.checkpoint.dir``
-     (shared storage on a cluster), so the write never reads the folder it
-     overwrites and a lost executor recomputes from the checkpoint;
+A table is a partitioned Parquet folder, and its partition is a function of its
+key, so the rows that a run can replace lie in the partitions of its own rows. A merge
+  1. finds those partitions (their column values only, for static pruning);
+  2. reads them and computes the merged rows with the pure functions of
+     ``operators.merge``;
+  3. writes the merged rows to the shared folder of ``spark.checkpoint.dir``, so
+     the write never reads the folder it overwrites and a lost executor does not
+     recompute from it, and removes that copy afterwards;
   4. overwrites just those partitions (``partitionOverwriteMode=dynamic``).
-The number of affected partitions is collected to the driver; it is bounded
-(platforms x months) and checked against ``max_partitions``.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +26,34 @@ from pyspark.sql import types as T
 from metricas import schemas as S
 from metricas.operators import deltas as D
 from metricas.operators import merge as K
-from metricas.operators.common import broadcast_if_bounded
 from metricas.operators.shape import latest_by_key
-from metricas.session import ensure_checkpoint_dir
+from metricas.session import ensure_checkpoint_dir, pin_utc
+
+
+PAGE_BUCKETS = 256  # of T1, for each platform
 
 
 def _month(c: str) -> Callable[[], Column]:
     return lambda: F.trunc(F.col(c), "month")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a Parquet copy in the shared checkpoint folder, removed at the end."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)
+
+
 @dataclass
 class KeyedTable:
     spark: SparkSession
@@ -43,12 +61,11 @@ class KeyedTable:
     schema: T.StructType
     keys: list[str]
     partitions: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
-    partition_from_key: bool = True
-    max_partitions: int = 100_000
 
     # ---- reading ----
     def _full_schema(self) -> T.StructType:
-        extra = [T.StructField(p, T.DateType() if p == "mes" else T.StringType(), True)
+        kinds = {"mes": T.DateType(), "cubo": T.IntegerType()}
+        extra = [T.StructField(p, kinds.get(p, T.StringType()), True)
                  for p in self.partitions if p not in self.schema.fieldNames()]
         return T.StructType(self.schema.fields + extra)
 
@@ -74,89 +91,47 @@ class KeyedTable:
                 df = df.withColumn(p, expr())
         return df
 
-    # ---- partitions a run affects ----
-    def touched(self, batch: DataFrame) -> list[dict]:
-        parts = list(self.partitions)
-        if not parts:
-            return []
-        found = self._with_partitions(batch).select(*parts)
-        current = self.read()
-        if current is not None and not self.partition_from_key:
-            holders = (self.spark.read.schema(self._full_schema()).parquet(self.path)
-                       .select(*self.keys, *parts)
-                       .join(broadcast_if_bounded(batch.select(*self.keys).distinct()), self.keys, "left_semi")
-                       .select(*parts))
-            found = found.unionByName(holders)
-        rows = found.distinct().limit(self.max_partitions + 1).collect()
-        if len(rows) > self.max_partitions:
-            raise ValueError(f"run touches more than {self.max_partitions} partitions of {self.path}")
-        return [r.asDict() for r in rows]
-
-    def read_partitions(self, touched: list[dict]) -> DataFrame | None:
+    def read_touched(self, batch: DataFrame) -> DataFrame | None:
+        """The stored rows of the partitions that ``batch``'s rows belong to.
+
+        The distinct values of each partition column (platforms, months, buckets)
+        prune folders at listing time; a semi-join then leaves the very partitions.
+        """
         if not self.exists():
             return None
         df = self.spark.read.schema(self._full_schema()).parquet(self.path)
-        if self.partitions:
-            if not touched:
-                return df.limit(0).select(*self.schema.fieldNames())
-            cond = None
-            for t in touched:
-                c = None
-                for p, v in t.items():
-                    term = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
-                    c = term if c is None else (c & term)
-                cond = c if cond is None else (cond | c)
-            df = df.where(cond)
-        return df.select(*self.schema.fieldNames())
+        parts = list(self.partitions)
+        touched = self._with_partitions(batch).select(*parts).distinct()
+        values = touched.agg(*[F.collect_set(p).alias(p) for p in parts],
+                             *[F.max(F.col(p).isNull()).alias(f"_{p}") for p in parts]).first()
+        for p in parts:
+            cond = F.col(p).isin(values[p]) if values[p] else F.lit(False)
+            df = df.where(cond | F.col(p).isNull() if values[f"_{p}"] else cond)
+        t = touched.select(*[F.col(p).alias(f"_t_{p}") for p in parts])
+        return (df.join(t, [df[p].eqNullSafe(t[f"_t_{p}"]) for p in parts], "left_semi")
+                .select(*self.schema.fieldNames()))
 
     # ---- writing ----
-    def write(self, rows: DataFrame, touched: list[dict] | None = None) -> None:
-        """Overwrite the partitions present in ``rows``; then drop the ``touched``
-        partitions left without rows (dynamic overwrite never clears those).
-        Dropping after the write keeps a failure recoverable: a re-run finds the
-        stale keys again and rewrites them."""
-        ensure_checkpoint_dir(self.spark)
-        out = self._with_partitions(K.conform(rows, self.schema)).checkpoint(eager=True)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partitions).parquet(self.path))
-        if touched and self.partitions:
-            parts = list(self.partitions)
-            written = {tuple(r) for r in out.select(*parts).distinct().limit(self.max_partitions + 1).collect()}
-            for t in touched:
-                if tuple(t[p] for p in parts) not in written:
-                    self._drop_partition(t)
-
-    def _drop_partition(self, values: dict) -> None:
-        jvm = self.spark.sparkContext._jvm
-        sub = "/".join(f"{p}={_partition_text(values[p])}" for p in self.partitions)
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{sub}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def write(self, rows: DataFrame) -> None:
+        """Overwrite the partitions present in ``rows``."""
+        with kept(self._with_partitions(K.conform(rows, self.schema))) as out:
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*self.partitions).parquet(self.path))
 
     def merge(self, batch: DataFrame, how: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         """Merge ``batch`` with ``how(current_touched, batch)`` and write the touched partitions."""
-        touched = self.touched(batch)
-        self.write(how(self.read_partitions(touched), batch), touched)
-
-
-def _partition_text(v) -> str:
-    """Partition folder value as Spark writes it (NULL -> default partition name)."""
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    text = v.isoformat() if hasattr(v, "isoformat") else str(v)
-    return "".join(c if c.isalnum() or c in "-_." else f"%{ord(c):02X}" for c in text)
+        self.write(how(self.read_touched(batch), batch))
 
 
 # ---- the tables of the data model ----
 
 def tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
     return {
-        # posts are ingested year-to-date: partitioning by publication month bounds a
-        # run's rewrite to recent months; the month is not part of the key, so the
-        # partitions currently holding the run's keys are found by a key-only scan
-        "publicaciones": KeyedTable(spark, os.path.join(root, "publicaciones"), S.T1_POSTS, S.POST_KEY,
-                                    {"plataforma": lambda: F.col("plataforma"),
-                                     "mes": lambda: F.trunc(F.to_date("fecha_hora_publicacion"), "month")},
-                                    partition_from_key=False),
+        # a bucket of the page is a function of the key: a run rewrites its own pages' buckets
+        "publicaciones": KeyedTable(
+            spark, os.path.join(root, "publicaciones"), S.T1_POSTS, S.POST_KEY,
+            {"plataforma": lambda: F.col("plataforma"),
+             "cubo": lambda: F.pmod(F.xxhash64("plataforma", "pagina_id"), F.lit(PAGE_BUCKETS)).cast("int")}),
         "metricas_publicaciones_diarias": KeyedTable(
             spark, os.path.join(root, "metricas_publicaciones_diarias"), S.T2_DAILY, S.DAILY_KEY,
             {"plataforma": lambda: F.col("plataforma"), "mes": _month("fecha_descarga")}),
@@ -187,8 +162,9 @@ def merge_daily(t2: KeyedTable, batch: DataFrame) -> None:
     read is pruned to the month partitions up to it (one scalar collected).
     """
     latest = batch.agg(F.max("fecha_descarga")).first()[0]
-    history = t2.read(None if latest is None else
-                      (F.col("mes") <= F.trunc(F.lit(latest), "month")) & (F.col("fecha_descarga") <= F.lit(latest)))
+    if latest is None:
+        return
+    history = t2.read((F.col("mes") <= F.trunc(F.lit(latest), "month")) & (F.col("fecha_descarga") <= F.lit(latest)))
     metric_cols = [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
     if "seq" in batch.columns:
         b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY).drop("seq")
@@ -199,8 +175,8 @@ def merge_daily(t2: KeyedTable, batch: DataFrame) -> None:
     def how(current, _batch):
         if current is None:
             return with_deltas
-        kept = current.join(with_deltas.select(*S.DAILY_KEY), S.DAILY_KEY, "left_anti")
-        return kept.unionByName(with_deltas)
+        rest = current.join(b.select(*S.DAILY_KEY), S.DAILY_KEY, "left_anti")
+        return rest.unionByName(with_deltas)
     t2.merge(b, how)
 
 
@@ -226,17 +202,27 @@ def merge_campaign_daily(t6: KeyedTable, rows: DataFrame) -> None:
     t6.merge(rows, lambda cur, b: K.upsert(cur, b, S.CAMPAIGN_DAILY_KEY))
 
 
+def merge_campaigns(t5: KeyedTable, rows: DataFrame) -> None:
+    """K6: last write wins on (campania_id, plataforma, cuenta_id)."""
+    t5.merge(rows, lambda cur, b: K.upsert(cur, b, S.CAMPAIGN_KEY))
+
+
+SINKS = {"publicaciones": merge_posts, "metricas_publicaciones_diarias": merge_daily,
+         "estadisticas_pagina_semanal": merge_weekly, "segmentacion_seguidores_semanal": merge_segments,
+         "campanias": merge_campaigns, "metricas_campanias_diarias": merge_campaign_daily}
+
+
 def merge_run(spark: SparkSession, root: str, outputs: Mapping[str, DataFrame]) -> None:
     """Merge one run's outputs (as returned by ``plans.landed``) into the tables under ``root``.
 
-    Each output is checkpointed once first: a merge looks at its batch several
-    times (touched partitions, bounds, the merge itself), and re-deriving it
-    from the landed JSON each time would repeat the parsing and joins.
+    Every output is computed and kept before the first table changes: a merge
+    looks at its batch several times, and a run that fails in its own work
+    leaves all tables as they were. Outputs without rows change nothing.
     """
-    ensure_checkpoint_dir(spark)
+    pin_utc(spark)
     t = tables(spark, root)
-    sinks = {"publicaciones": merge_posts, "metricas_publicaciones_diarias": merge_daily,
-             "estadisticas_pagina_semanal": merge_weekly, "segmentacion_seguidores_semanal": merge_segments,
-             "metricas_campanias_diarias": merge_campaign_daily}
-    for name, rows in outputs.items():
-        sinks[name](t[name], rows.checkpoint(eager=True))
+    with ExitStack() as stack:
+        ready = {name: stack.enter_context(kept(rows)) for name, rows in outputs.items()}
+        for name, rows in ready.items():
+            if not rows.isEmpty():
+                SINKS[name](t[name], rows)

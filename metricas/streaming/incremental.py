@@ -1,57 +1,58 @@
-"""Incremental runs: new landed pages -> the same jobs -> merged tables.
-
-The reference is a scheduled batch job. Here the landing folder is a file
-stream: each trigger picks up only pages not seen before (tracked in the
-stream checkpoint), runs the platform adapters on them and merges the results
-into the keyed tables. The merges are idempotent (re-running a micro-batch
-after a failure rewrites the same rows), so the sink is effectively
-exactly-once. ``trigger(availableNow=True)`` drains what has landed and stops,
-which is how a scheduler would call it.
+"""Incremental runs: newly landed complete runs -> the same jobs -> merged tables.
+
+The reference is a scheduled batch job: one call is one run with its own "today"
+and reads all of its responses before it writes. So the unit here is the run, not
+the file: a run is processed once its RUN_END page has landed, whole, with its own
+``run_date`` as the date of all windows, and runs are processed in their order. The
+runs done are logged beside the tables. A run that failed is not in the log and is
+processed again; merging it twice gives the same tables, since neither its rows nor
+its date depend on when it is processed.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import os
-from collections.abc import Callable
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from metricas import schemas as S
 from metricas.plans import landed
-from metricas.session import ensure_checkpoint_dir
 from metricas.sources import tables as TB
+from metricas.sources.landing import of_run, read_landed, runs
+
+RUN_LOG = "_corridas"
+RUN_LOG_DDL = "run_date date, run_id string"
 
 
-def process_pages(spark: SparkSession, pages: DataFrame, tables_root: str, as_of) -> None:
-    """One batch of landed pages through every platform adapter into the tables."""
+def process_pages(spark: SparkSession, pages: DataFrame, tables_root: str, as_of, platforms=None) -> None:
+    """One run's pages through the platform adapters into the tables."""
     pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        TB.merge_run(spark, tables_root, landed.all_platforms(pages, as_of))
+        TB.merge_run(spark, tables_root, landed.all_platforms(pages, as_of, platforms=platforms))
     finally:
         pages.unpersist()
 
 
-def run_available(spark: SparkSession, landing_dir: str, tables_root: str, *, fmt: str = "json",
-                  as_of: Callable[[], _dt.date] | _dt.date | None = None, name: str = "landing",
-                  max_files_per_trigger: int | None = None) -> None:
-    """Process every landed page not processed before, then return.
+def process_runs(spark: SparkSession, pages: DataFrame, tables_root: str, todo: list[tuple], as_of=None,
+                 platforms=None) -> None:
+    """The given runs in order; ``as_of`` dates a run that has no date of its own."""
+    for run in todo:
+        process_pages(spark, of_run(pages, run), tables_root, run[0] or as_of, platforms)
+
+
+def done_runs(spark: SparkSession, tables_root: str) -> set[tuple]:
+    log = TB.KeyedTable(spark, f"{tables_root}/{RUN_LOG}", spark.createDataFrame([], RUN_LOG_DDL).schema, S.RUN)
+    return {tuple(r) for r in log.read().collect()} if log.exists() else set()
+
+
+def run_available(spark: SparkSession, landing_dir: str, tables_root: str, *, fmt: str = "json") -> list[tuple]:
+    """Process every complete run not processed before, in order; returns them.
 
-    The stream's progress is kept under ``spark.checkpoint.dir`` (shared storage
-    on a cluster). ``as_of`` defaults to the UTC date of each micro-batch.
+    Runs without a date can't be ordered or dated and are left to ``ingest``.
     """
-    root = ensure_checkpoint_dir(spark)
-    reader = spark.readStream.schema(S.LANDED_PAGE).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir)
-
-    def on_batch(batch: DataFrame, _epoch: int) -> None:
-        day = as_of() if callable(as_of) else (as_of or _dt.datetime.now(_dt.timezone.utc).date())
-        process_pages(batch.sparkSession, batch, tables_root, day)
-
-    query = (stream.writeStream.foreachBatch(on_batch)
-             .option("checkpointLocation", os.path.join(root, "streams", name))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    pages = read_landed(spark, landing_dir, fmt)
+    done = done_runs(spark, tables_root)
+    todo = [r for r in runs(pages, complete=True) if r[0] is not None and r not in done]
+    for run in todo:
+        process_runs(spark, pages, tables_root, [run])
+        spark.createDataFrame([run], RUN_LOG_DDL).write.mode("append").parquet(f"{tables_root}/{RUN_LOG}")
+    return todo

@@ -26,10 +26,10 @@ def spark():
 
 @pytest.fixture
 def pages(spark):
-    """Build landed pages: rows of (plataforma, pagina_id, endpoint, entity_id, variant, page_seq, payload)."""
+    """Build landed pages: rows of (plataforma, pagina_id, endpoint, entity_id, variant, page_seq, payload[, run_id, run_date])."""
     from metricas import schemas as S
 
     def make(rows):
-        data = [(p, g, e, ent, var, seq, json.dumps(payload)) for p, g, e, ent, var, seq, payload in rows]
+        data = [(*r[:6], json.dumps(r[6]), *(r[7:] or (None, None))) for r in rows]
         return spark.createDataFrame(data, S.LANDED_PAGE)
     return make

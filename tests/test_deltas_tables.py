@@ -114,19 +114,21 @@ def test_posts_table_upsert_last_wins(spark):
     assert [r.texto_publicacion for r in t1.read().collect()] == ["c"]
 
 
-def test_posts_table_moves_a_post_whose_month_changed(spark):
+def test_posts_table_rewrites_only_the_buckets_of_the_run(spark):
     root = tempfile.mkdtemp(prefix="metricas-tables-")
     t1 = TB.tables(spark, root)["publicaciones"]
-    mk = lambda pid, ts, seq: spark.createDataFrame(
-        [("facebook", "pg", pid, "u", ts, "t", "video", seq)],
+    mk = lambda page, pid, text, seq: spark.createDataFrame(
+        [("facebook", page, pid, "u", dt.datetime(2024, 1, 5), text, "video", seq)],
         "plataforma string, pagina_id string, publicacion_id string, url_publicacion string, "
         "fecha_hora_publicacion timestamp, texto_publicacion string, formato string, seq bigint")
-    TB.merge_posts(t1, mk("p1", dt.datetime(2024, 1, 5), 1).unionByName(mk("p2", dt.datetime(2024, 2, 5), 2)))
-    TB.merge_posts(t1, mk("p1", dt.datetime(2024, 3, 1), 3))
-    got = sorted((r.publicacion_id, r.fecha_hora_publicacion.month) for r in t1.read().collect())
-    assert got == [("p1", 3), ("p2", 2)]
-    months = sorted(os.listdir(os.path.join(root, "publicaciones", "plataforma=facebook")))
-    assert "mes=2024-03-01" in months
+    TB.merge_posts(t1, mk("pg1", "p1", "a", 1).unionByName(mk("pg2", "p2", "b", 2)))
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(t1.path) for f in names if f.startswith("part-")}
+    before = files()
+    TB.merge_posts(t1, mk("pg1", "p1", "c", 3))
+    assert sorted((r.pagina_id, r.texto_publicacion) for r in t1.read().collect()) == [("pg1", "c"), ("pg2", "b")]
+    assert len(before) == 2 and len(files() & before) == 1
 
 
 def test_weekly_and_segment_tables_across_runs(spark):

@@ -11,9 +11,9 @@ def test_malformed_and_empty_pages_yield_no_items(spark):
             ("facebook", "pg", "posts", None, None, 4, '{"paging": {}}'),
             ("facebook", "pg", "posts", None, None, 5, None),
             ("facebook", "pg", "posts", None, None, 6, '{"data": [{"id": "c"}]}')]
-    pages = spark.createDataFrame(rows, S.LANDED_PAGE)
-    got = [(r.seq, r.id) for r in L.graph_page_items(pages, "id STRING").orderBy("seq").collect()]
-    assert got == [(1 << 20, "a"), ((1 << 20) + 1, "b"), (6 << 20, "c")]
+    pages = spark.createDataFrame([(*r, None, None) for r in rows], S.LANDED_PAGE)
+    got = [((r.seq.page_seq, r.seq.pos), r.id) for r in L.graph_page_items(pages, "id STRING").orderBy("seq").collect()]
+    assert got == [((1, 0), "a"), ((1, 1), "b"), ((6, 0), "c")]
 
 
 def test_cursor_fallback_and_offset(spark):
@@ -21,7 +21,7 @@ def test_cursor_fallback_and_offset(spark):
             ("tiktok", "t", "videos", None, None, 2, '{"data": {"creatives": [{"id": "y"}], "items": [{"id": "z"}]}}'),
             ("tiktok", "t", "videos", None, None, 3, '{"data": {}}'),
             ("linkedin", "o", "posts", None, None, 4, '{"elements": [{"id": "e"}], "paging": {"total": 1}}')]
-    pages = spark.createDataFrame(rows, S.LANDED_PAGE)
+    pages = spark.createDataFrame([(*r, None, None) for r in rows], S.LANDED_PAGE)
     assert [r.id for r in L.cursor_page_items(pages.where("plataforma = 'tiktok'"), "id STRING", "creatives")
             .orderBy("seq").collect()] == ["x", "y"]
     assert [r.id for r in L.offset_page_items(pages.where("plataforma = 'linkedin'"), "id STRING").collect()] == ["e"]
@@ -29,8 +29,15 @@ def test_cursor_fallback_and_offset(spark):
 
 def test_series_points_order(spark):
     rows = [("facebook", "pg", "post_insights", "p", None, 7,
-             '{"data": [{"name": "m", "values": [{"end_time": "t1", "value": 1}, {"end_time": "t2", "value": 2}]}]}')]
+             '{"data": [{"name": "m", "values": [{"end_time": "t1", "value": 1}, {"end_time": "t2", "value": 2}]}]}',
+             "r", None)]
     pts = L.series_points(L.graph_page_items(spark.createDataFrame(rows, S.LANDED_PAGE), S.FB_SERIES))
-    got = [(r.seq, r.end_time, r.value) for r in pts.orderBy("seq").collect()]
-    base = (7 << 20) << S.VPOS_BITS
-    assert got == [(base, "t1", "1"), (base + 1, "t2", "2")]
+    got = [(r.seq.page_seq, r.seq.pos, r.seq.vpos, r.end_time, r.value) for r in pts.orderBy("seq").collect()]
+    assert got == [(7, 0, 0, "t1", "1"), (7, 0, 1, "t2", "2")]
+
+
+def test_series_and_pages_of_any_length(spark):
+    values = ", ".join(f'{{"end_time": "t{i}", "value": {i}}}' for i in range(6000))
+    rows = [("facebook", "pg", "post_insights", "p", None, 1, f'{{"data": [{{"name": "m", "values": [{values}]}}]}}', None, None)]
+    pts = L.series_points(L.graph_page_items(spark.createDataFrame(rows, S.LANDED_PAGE), S.FB_SERIES))
+    assert [r.value for r in pts.orderBy("seq").collect()] == [str(i) for i in range(6000)]
