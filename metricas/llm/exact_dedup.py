@@ -81,5 +81,5 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits:
     best = merge_runs(rows, n_runs, bits)
     return (rows.join(best, KEYS)
             .select("doc_id", "keep_id", "group_size",
-                    (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+                    F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
