@@ -1,11 +1,15 @@
 """Every registered query against its DuckDB oracle on the smallest driver tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from metricas.plans import catalog
 from tools.check_oracle import SPARK_TO_DUCK, TABLES, digest
 
 SF_DIR = os.environ.get("METRICAS_TEST_SF", "/root/testdata/sf0.001")
@@ -22,10 +26,21 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_the_rest_works_without_the_optional_subpackage(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{root}/metricas", f"{tmp_path}/metricas", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(entry.__file__, tmp_path)
+    code = "import __spark_entry__ as e; print(*e.queries(), *e.oracle_sql())"
+    env = {**os.environ, "PYTHONPATH": str(tmp_path)}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [*catalog.QUERIES, *catalog.ORACLE], out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     s_rows = [tuple(r) for r in df.collect()]
