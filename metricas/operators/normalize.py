@@ -203,13 +203,15 @@ def tiktok_videos(items: DataFrame) -> DataFrame:
 # ---- P8: ad campaigns (inactive in the source system; kept for completeness) ----
 
 def campaign_rows(items: DataFrame) -> DataFrame:
-    return items.select("plataforma", F.col("pagina_id").alias("cuenta_id"), "seq",
+    return items.where(F.col("id").isNotNull()).select("plataforma", F.col("pagina_id").alias("cuenta_id"), "seq",
                         F.col("id").alias("campania_id"), F.col("name").alias("nombre_campania"))
 
 
 def campaign_daily(points: DataFrame) -> DataFrame:
-    """Daily ad insights; numbers come as text, NULL/empty -> 0. ``clicks`` is read, not stored."""
-    return points.select(
+    """Daily ad insights; numbers come as text, NULL/empty -> 0. ``clicks`` is read, not stored.
+    Days without a date or a campaign are dropped (F3)."""
+    dated = E.iso_local_date("date_start").isNotNull() & F.col("campania_id").isNotNull()
+    return points.where(dated).select(
         "plataforma", F.col("pagina_id").alias("cuenta_id"), "campania_id", "seq",
         E.iso_local_date("date_start").alias("fecha_descarga"),
         E.float_or_zero("spend").alias("presupuesto_invertido"),

@@ -857,3 +857,57 @@ _landed_query("instagram_posts_from_pages", "instagram", ig_landed_pages, landed
         "SELECT 'instagram' AS plataforma, 'page_ig' AS pagina_id, publicacion_id, permalink_url AS url_publicacion, "
         "CAST(substr(created_time, 1, 19) AS TIMESTAMP) AS fecha_hora_publicacion, message AS texto_publicacion, "
         f"{sql_format(chr(39) * 2, 'upper(coalesce(media_type, ' + chr(39) * 2 + '))')} AS formato FROM fc")))
+
+
+def campaign_pages(fj: DataFrame) -> DataFrame:
+    """Ad-insight pages, one per (campaign, day), and a listing page per campaign-day."""
+    ids = fj.select(F.lit("facebook").alias("plataforma"), F.lit("act_1").alias("pagina_id"), "*",
+                    F.unix_date(E.iso_local_date("date_start")).alias("_day"))
+    day = F.struct("date_start", "impressions", "reach", "clicks", "spend", "cpm", "cpc")
+    name = F.concat(F.lit("Campaña "), F.col("campania_id"), F.lit(" #"), F.col("seq").cast("string"))
+    listing = F.struct(F.array(F.struct(F.col("campania_id").alias("id"), name.alias("name"))).alias("data"))
+    return (_pages(ids, "campaign_insights", F.struct(F.array(day).alias("data")), entity=F.col("campania_id"),
+                   page_seq="_day").unionByName(_pages(ids, "campaigns", listing, page_seq="_day")))
+
+
+def _two_campaign_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fj = _fx(spark, sf_dir, "F_J")
+    later = fj.where(F.col("seq") % 2 == 0).withColumn("spend", F.concat("spend", F.lit(".5")))
+    return _in_run(campaign_pages(fj), 1).unionByName(_in_run(campaign_pages(later), 2))
+
+
+@query("campaign_daily_two_runs", ORACLE["campaign_daily"].replace(
+    "TRY_CAST(spend AS DOUBLE)", "TRY_CAST(CASE WHEN seq % 2 = 0 THEN spend || '.5' ELSE spend END AS DOUBLE)"))
+def q_campaign_daily_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 / K6 from pages: the second run's days replace the stored ones."""
+    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), only={landed.CAMPAIGN_DAILY})
+    return K.conform(out[landed.CAMPAIGN_DAILY], S.T6_CAMPAIGN_DAILY)
+
+
+@query("campaigns_two_runs", ORACLE["upsert_campaigns"])
+def q_campaigns_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 (T5) from pages, over two runs."""
+    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), only={landed.CAMPAIGNS})
+    return K.conform(out[landed.CAMPAIGNS], S.T5_CAMPAIGNS)
+
+
+def tt_account_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = SH.tt_account_points(_fx(spark, sf_dir, "F_G"))
+    point = F.struct("end_time", "date", "value")
+    return _pages(points, "account_insights", F.struct(F.struct(F.array(point).alias("values")).alias("data")))
+
+
+_landed_query("tiktok_week_from_pages", "tiktok", tt_account_pages, landed.WEEKLY, AS_OF_ACCOUNT,
+              ORACLE["tiktok_account_week"])
+
+
+def tt_audience_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One audience response per bucket, in the list of its dimension."""
+    buckets = SH.tt_audience_buckets(_fx(spark, sf_dir, "F_H"))
+    lists = [F.when(F.col("dim") == dim, F.array(F.struct("name", "count"))).alias(name)
+             for name, dim in landed.TT_AUDIENCE_LISTS]
+    return _pages(buckets, "audience", F.struct(F.struct(*lists).alias("data")))
+
+
+_landed_query("tiktok_audience_from_pages", "tiktok", tt_audience_pages, landed.SEGMENTS, AS_OF_ACCOUNT,
+              ORACLE["tiktok_audience"])

@@ -5,6 +5,8 @@ Landing conventions (``endpoint`` values of ``schemas.LANDED_PAGE``):
   facebook   posts (data[] of posts) | reactions (root summary; entity_id = post,
              variant = reaction type) | post_insights (data[] series; entity_id = post)
              | page_insights (data[] series) | page_demographics (data[] series of maps)
+             | campaigns (data[]; pagina_id = ad account) | campaign_insights (data[] days;
+             entity_id = campaign)
   instagram  media | media_insights (entity_id = media) | account_insights (data[] series)
              | demographics (data[0]; variant = breakdown dimension asked for)
   linkedin   posts | ugcPosts | shares (elements[]) | source_status (root {source, ok})
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from metricas import schemas as S
 from metricas.operators import merge as K
+from metricas.operators import normalize as N
 from metricas.plans import jobs
 from metricas.sources import landing as L
 
@@ -40,6 +43,7 @@ def _ep(pages: DataFrame, endpoint: str) -> DataFrame:
 
 POSTS, DAILY, WEEKLY, SEGMENTS = ("publicaciones", "metricas_publicaciones_diarias",
                                   "estadisticas_pagina_semanal", "segmentacion_seguidores_semanal")
+CAMPAIGNS, CAMPAIGN_DAILY = "campanias", "metricas_campanias_diarias"  # Facebook only
 TABLES = (POSTS, DAILY, WEEKLY, SEGMENTS)
 
 
@@ -66,6 +70,11 @@ def facebook(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
         demo = L.series_points(L.graph_page_items(_ep(pages, "page_demographics"), S.FB_DEMOGRAPHICS)) \
             .withColumnRenamed("name", "serie")
         out[SEGMENTS] = jobs.facebook_audience(demo)
+    if want(CAMPAIGNS):
+        out[CAMPAIGNS] = N.campaign_rows(L.graph_page_items(_ep(pages, "campaigns"), S.CAMPAIGN))
+    if want(CAMPAIGN_DAILY):
+        days = L.graph_page_items(_ep(pages, "campaign_insights"), S.CAMPAIGN_DAY)
+        out[CAMPAIGN_DAILY] = N.campaign_daily(days.withColumnRenamed("entity_id", "campania_id"))
     return {k: v for k, v in out.items() if only is None or k in only}
 
 
@@ -145,7 +154,8 @@ def all_platforms(pages: DataFrame, as_of, only=None, platforms=None) -> dict[st
 
 
 MERGES = {POSTS: K.upsert_posts, DAILY: K.upsert_daily_metrics,
-          WEEKLY: lambda cur, b: K.upsert(cur, b, S.WEEKLY_KEY), SEGMENTS: K.insert_ignore_segments}
+          WEEKLY: lambda cur, b: K.upsert(cur, b, S.WEEKLY_KEY), SEGMENTS: K.insert_ignore_segments,
+          CAMPAIGNS: K.upsert_campaigns, CAMPAIGN_DAILY: K.upsert_campaign_daily}
 
 
 def fold_runs(pages: DataFrame, only=None, as_of=None) -> dict[str, DataFrame]:
