@@ -115,9 +115,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
              .where("doc_id is not null"))
     keys = staged(texts.mapInArrow(chunk_keys(every), KEYS_DDL), "chunk-keys")
-    # one row for each repeated key, with its first place
-    first = (keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("key", "first"))
+    # one row for each repeated key, with its first place; a table of its own, so that in
+    # the joins with it Spark can split the partition of a key that holds most of the rows
+    first = staged(keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
+                   .where("n > 1").select("key", "first"), "first-places")
     repeated = (keys.join(first, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places")))
     placed = texts.repartition("doc_id")  # one exchange of the texts serves both look-ups
     bodies = staged(placed.join(repeated, "doc_id").mapInArrow(chunk_bodies(every), BODIES_DDL), "chunk-bodies")
