@@ -267,8 +267,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
                   .where(F.col("shared") >= _least(F.col("n"), percent))
                   .mapInArrow(order_tokens, ORDERED_DDL), "shared-sets")
     linked = link_classes(sets, percent)
-    named = (classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id")))
+    # a table of its own, so that in the join with it Spark can split a class that holds most of the documents
+    named = staged(classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
+                   .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id")), "class-components")
     return (described.join(named, ["n", "d1", "d2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
