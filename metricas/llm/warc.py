@@ -19,6 +19,12 @@ REFERENCES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
+def once(df: DataFrame, *columns) -> DataFrame:
+    """``df.select(*columns)``, each column computed one time: a generator stands between, so
+    that the optimiser copies no expression into the steps and filters that use it."""
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("one")).select("one.*")
+
+
 def record_id(*parts: Column) -> Column:
     """A urn:uuid made from the parts, so that a record built again has the same id."""
     h = F.md5(F.concat_ws("\n", *parts).cast("binary"))
@@ -70,30 +76,30 @@ def parsed(records: DataFrame) -> DataFrame:
     cut = F.instr("record", CRLF * 2)
     head = F.expr(f"substring(record, 1, instr(record, '{CRLF * 2}') - 1)")
     block = F.expr(f"substring(record, instr(record, '{CRLF * 2}') + 4)")
-    rows = (records.where(cut > 0).select("page_id", head.alias("head"), block.alias("block"))
+    rows = (once(once(records, "page_id", "record").where(cut > 0), "page_id", head.alias("head"), block.alias("block"))
             .where(F.col("head").startswith("WARC/") & (F.lower(field(F.col("head"), "WARC-Type")) == "response")))
     size = field(F.col("head"), "Content-Length").try_cast("int")
     rows = rows.withColumn("block", F.when(F.octet_length("block") > size,
                                            F.expr("cast(block as binary)").substr(F.lit(1), size).cast("string"))
                            .otherwise(F.col("block")))
-    return (rows.select("page_id", "head", "block", F.instr("block", CRLF * 2).alias("at"))
-            .select("page_id", field(F.col("head"), "WARC-Record-ID").alias("source_id"),
-                    field(F.col("head"), "WARC-Target-URI").alias("target_uri"),
-                    field(F.col("head"), "WARC-Date").alias("date"),
-                    field(F.col("head"), "WARC-Payload-Digest").alias("payload_digest"),
-                    F.when(F.col("at") > 0, F.expr("substring(block, 1, at - 1)")).otherwise(F.col("block")).alias("http"),
-                    F.when(F.col("at") > 0, F.expr("substring(block, at + 4)")).otherwise(F.lit("")).alias("payload")))
+    rows = once(rows, "page_id", "head", "block", F.instr("block", CRLF * 2).alias("at"))
+    return once(rows, "page_id", field(F.col("head"), "WARC-Record-ID").alias("source_id"),
+                field(F.col("head"), "WARC-Target-URI").alias("target_uri"),
+                field(F.col("head"), "WARC-Date").alias("date"),
+                field(F.col("head"), "WARC-Payload-Digest").alias("payload_digest"),
+                F.when(F.col("at") > 0, F.expr("substring(block, 1, at - 1)")).otherwise(F.col("block")).alias("http"),
+                F.when(F.col("at") > 0, F.expr("substring(block, at + 4)")).otherwise(F.lit("")).alias("payload"))
 
 
 def plain_text(html: Column) -> Column:
     """Visible text of a page, one line for each block of it."""
     out = F.regexp_replace(html, UNSEEN, "")
-    out = F.regexp_replace(out, rf"(?i)\s*</?(?:{BLOCKS})\b[^>]*>\s*", "\n")
+    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
     out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*>", "")
     for reference, char in REFERENCES:
         out = F.replace(out, F.lit(reference), F.lit(char))
     out = F.regexp_replace(out, r"[ \t\r\f]*\n\s*", "\n")
-    return F.regexp_replace(out, r"\A\s+|\s+\z", "")
+    return F.btrim(out, F.lit(" \t\n\v\f\r"))
 
 
 def derivatives(records: DataFrame) -> DataFrame:
