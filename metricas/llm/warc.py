@@ -16,7 +16,7 @@ BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure
           "li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul")
 REFERENCES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
               ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")]
-UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+UNSEEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 
 
 def once(df: DataFrame, *columns) -> DataFrame:
@@ -98,7 +98,7 @@ def plain_text(html: Column) -> Column:
     out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*>", "")
     for reference, char in REFERENCES:
         out = F.replace(out, F.lit(reference), F.lit(char))
-    out = F.regexp_replace(out, r"[ \t\r\f]*\n\s*", "\n")
+    out = F.regexp_replace(out, r"[ \t\r\f]*+\n\s*+", "\n")
     return F.btrim(out, F.lit(" \t\n\v\f\r"))
 
 
