@@ -94,8 +94,8 @@ def parsed(records: DataFrame) -> DataFrame:
 def plain_text(html: Column) -> Column:
     """Visible text of a page, one line for each block of it."""
     out = F.regexp_replace(html, UNSEEN, "")
-    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
-    out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*>", "")
+    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*+>", "\n")
+    out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*+>", "")
     for reference, char in REFERENCES:
         out = F.replace(out, F.lit(reference), F.lit(char))
     out = F.regexp_replace(out, r"[ \t\r\f]*+\n\s*+", "\n")
