@@ -2,9 +2,10 @@
 
 A rolling hash over the hashes of the last ``WINDOW`` lines ends a chunk where
 it is divisible by ``every``, so the same run of lines is cut alike wherever it
-stands, after insertions too. Chunks of two lines or more that occur more than
-once in the corpus stay only at their first place; a later one goes only if its
-bytes equal the first one's.
+stands, after insertions too. A chunk ends no earlier than after ``least`` lines,
+and fewer lines left over at a text's end join the chunk before. Chunks of two
+lines or more that occur more than once in the corpus stay only at their first
+place; a later one goes only if its bytes equal the first one's.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from .common import staged, text_slices
 
 WINDOW = 2
-EVERY = 4  # lines in a chunk on average
+EVERY = 4  # a boundary may fall after one line in so many
+LEAST = 2  # lines in a chunk at least; with 1, one-line chunks arise, which are never removed
 RADIX = 31
 
 
-def chunks(text: str, every: int = EVERY) -> list[list[str]]:
+def chunks(text: str, every: int = EVERY, least: int = LEAST) -> list[list[str]]:
     """The lines of a text, grouped into chunks."""
     if not text:
         return []
@@ -31,11 +33,13 @@ def chunks(text: str, every: int = EVERY) -> list[list[str]]:
     for line in text.split("\n"):
         here = int.from_bytes(hashlib.md5(line.encode()).digest()[:4])
         own.append(line)
-        if (here + RADIX * before) % every == 0:
+        if len(own) >= least and (here + RADIX * before) % every == 0:
             out.append(own)
             own = []
         before = here
-    if own:
+    if own and out and len(own) < least:
+        out[-1] += own
+    elif own:
         out.append(own)
     return out
 
@@ -48,13 +52,13 @@ KEYS_DDL = "key binary, doc_id long, place int"
 KEYS = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int32())])
 
 
-def chunk_keys(every: int):
+def chunk_keys(every: int, least: int):
     """(doc_id, text) -> key and place of every chunk of two lines or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             rows = [(key_of(c), doc, i)
                     for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
-                    for i, c in enumerate(chunks(text, every)) if len(c) > 1]
+                    for i, c in enumerate(chunks(text, every, least)) if len(c) > 1]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, KEYS.types)],
                                              schema=KEYS)
     return run
@@ -63,13 +67,13 @@ def chunk_keys(every: int):
 BODIES_DDL = "key binary, doc_id long, place int, body string"
 
 
-def chunk_bodies(every: int):
+def chunk_bodies(every: int, least: int):
     """(doc_id, text, places) -> the chunks at those places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             rows = []
             for doc, text, places in zip(*(part.column(k).to_pylist() for k in ("doc_id", "text", "places"))):
-                own = chunks(text, every)
+                own = chunks(text, every, least)
                 rows += [(key_of(own[i]), doc, i, "\n".join(own[i])) for i in places]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, [*KEYS.types, pa.string()])],
@@ -80,7 +84,7 @@ def chunk_bodies(every: int):
 KEPT_DDL = "doc_id long, n_lines long, n_removed long, text string"
 
 
-def without_chunks(every: int):
+def without_chunks(every: int, least: int):
     """(doc_id, text, places) -> the text without the chunks at those places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -91,7 +95,7 @@ def without_chunks(every: int):
                     removed.append(0)
                     texts.append(text)
                     continue
-                own, gone = chunks(text, every), set(places)
+                own, gone = chunks(text, every, least), set(places)
                 lines.append(sum(map(len, own)))
                 removed.append(sum(len(own[i]) for i in gone))
                 texts.append("\n".join(line for i, c in enumerate(own) if i not in gone for line in c))
@@ -101,7 +105,8 @@ def without_chunks(every: int):
     return run
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = EVERY) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = EVERY,
+          least: int = LEAST) -> DataFrame:
     """Remove repeated multi-line chunks, all but the first place (smallest id, then place in the text).
 
     Lines end at line feeds. A null or empty text has no lines and stays as it
@@ -114,17 +119,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every
     """
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
              .where("doc_id is not null"))
-    keys = staged(texts.mapInArrow(chunk_keys(every), KEYS_DDL), "chunk-keys")
+    keys = staged(texts.mapInArrow(chunk_keys(every, least), KEYS_DDL), "chunk-keys")
     # one row for each repeated key, with its first place; a table of its own, so that in
     # the joins with it Spark can split the partition of a key that holds most of the rows
     first = staged(keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
                    .where("n > 1").select("key", "first"), "first-places")
     repeated = (keys.join(first, "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places")))
     placed = texts.repartition("doc_id")  # one exchange of the texts serves both look-ups
-    bodies = staged(placed.join(repeated, "doc_id").mapInArrow(chunk_bodies(every), BODIES_DDL), "chunk-bodies")
+    bodies = staged(placed.join(repeated, "doc_id").mapInArrow(chunk_bodies(every, least), BODIES_DDL), "chunk-bodies")
     kept = (bodies.join(first, "key").where(F.struct("doc_id", "place") == F.col("first"))
             .select("key", "body").dropDuplicates(["key"]))
     gone = (bodies.alias("x").join(first, "key").where(F.struct("doc_id", "place") != F.col("first"))
             .join(kept.withColumnRenamed("body", "kept"), "key").where("body = kept")
             .groupBy("doc_id").agg(F.collect_set("place").alias("places")))
-    return placed.join(gone, "doc_id", "left").mapInArrow(without_chunks(every), KEPT_DDL)
+    return placed.join(gone, "doc_id", "left").mapInArrow(without_chunks(every, least), KEPT_DDL)

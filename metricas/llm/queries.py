@@ -37,7 +37,7 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"), least=1)  # the cut rule of the query's SQL
     return kept.select("doc_id", "n_lines", "n_removed",
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

@@ -90,6 +90,15 @@ def test_line_dedup(frame, rows):
     assert sum(v[1] for v in want.values()) > 50
 
 
+def test_line_dedup_leaves_nothing_of_a_copy(frame):
+    texts = ["\n".join(f"text {i} line {k}" for k in range(2 + i % 9)) for i in range(90)]
+    assert any(len(c) < 2 for t in texts for c in line_dedup.chunks(t, least=1))
+    got = {r.doc_id: tuple(r)[1:] for r in line_dedup.dedup(frame(list(enumerate(texts * 2)))).collect()}
+    for i, t in enumerate(texts):
+        n = t.count("\n") + 1
+        assert got[i] == (n, 0, t) and got[i + 90] == (n, n, "")
+
+
 def test_line_chunks_resist_shifts():
     lines = [f"line {i}" for i in range(200)]
     whole, shifted = ([tuple(c) for c in chunked("\n".join(x))] for x in (lines, ["new", "lines", *lines]))
