@@ -34,9 +34,10 @@ DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PLUS = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # candidates that no exact rule covers
 SPELT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?"
-                   r"[A-Za-z0-9-]{1,63}(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,8}", re.I)
+                   r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I)
 COLONS = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
+NATIONAL = re.compile(r"[2-9][0-9]{2}[2-9][0-9]{6}")  # area code and exchange begin with neither 0 nor 1
 
 # fixed values: gazetteer and context words
 TOP_LEVELS = frozenset("com org net edu gov mil int info biz io co de fr es uk us eu it nl ch at be ca au jp cn ru br".split())
@@ -110,18 +111,24 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, str]]:
         if ":" in text:
             loose += [(m.start(), m.end(), 1) for m in COLONS.finditer(text)]
         loose += [(m.start(), m.end(), 3) for m in LOCAL_PHONE.finditer(text)]
-    found += [(a, b, k, False) for a, b, k in loose if not any(x < b and a < y for x, y in taken)]
-    return [(a, b, k, valid, described(text, a, b, k, valid)) for a, b, k, valid in sorted(found)]
+    rules = [(a, b, k, "+" if valid else "-") for a, b, k, valid in found]
+    # the exact rules do not speak of what their patterns cannot match
+    rules += [(a, b, k, "0") for a, b, k in loose if not any(x < b and a < y for x, y in taken)]
+    return [(a, b, k, rule == "+", described(text, a, b, k, rule)) for a, b, k, rule in sorted(rules)]
 
 
-def described(text: str, a: int, b: int, kind: int, valid: bool) -> str:
-    """The six votes (+ for, - against, 0 abstain) and coarse features of a candidate."""
+def described(text: str, a: int, b: int, kind: int, rule: str) -> str:
+    """The six votes (+ for, - against, 0 abstain; ``rule`` is the first) and coarse features of a candidate."""
     span, digits = text[a:b], digits_of(text[a:b][:64])
     before, after = text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]
     left, right = before[-1:], after[:1]
     shape = gazetteer = check = "0"
     if kind == 0:
-        shape = "+" if 0 < span.find("@") <= 64 and len(span) <= 254 else "0"
+        if "@" in span:
+            shape = "+" if 0 < span.find("@") <= 64 and len(span) <= 254 else "0"
+        else:
+            last = re.split(r"[. )\]]+", span)[-1]
+            shape, check = ("+", "0") if last.isalpha() and len(last) > 1 else ("-", "-")
         gazetteer = "+" if re.split(r"[. )\]]+", span.lower())[-1] in TOP_LEVELS else "-"
     elif kind == 1:
         parts = span.split(".")
@@ -135,12 +142,15 @@ def described(text: str, a: int, b: int, kind: int, valid: bool) -> str:
     else:
         shape = "+" if re.fullmatch(r"(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?([ .-]?[0-9]{2,4}){2,4}", span) else "0"
         gazetteer = ("+" if digits.startswith(DIALLING) else "-") if span.startswith("+") else "0"
-        check = "+" if (10 if span.startswith("+") else 11) <= len(digits) <= 15 else "-" if span.startswith("+") else "0"
+        if span.startswith("+"):
+            check = "+" if 10 <= len(digits) <= 15 else "-"
+        else:
+            check = "+" if NATIONAL.fullmatch(digits) else "0"
     near = "+" if NEAR[KINDS[kind]].search(before) else "-" if AGAINST.search(before) else "0"
     around = "-" if left.isalnum() or right.isalnum() else "+"
     style = "p" if span.isdigit() else "s" if " " in span else "d" if "." in span else "o"
     edge = "".join("b" if not c or c.isspace() else "a" if c.isalnum() else "m" for c in (left, right))
-    return f"{'+' if valid else '-'}{shape}{gazetteer}{near}{around}{check}{style}{edge}{min(len(digits), 20) // 4}"
+    return f"{rule}{shape}{gazetteer}{near}{around}{check}{style}{edge}{min(len(digits), 20) // 4}"
 
 
 class Model:
@@ -160,18 +170,30 @@ class Model:
 
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
     """EM over vote patterns (0 against, 1 abstain, 2 for): probability of each pattern, and
-    P(vote | class) of each labeler. The start is the votes' own majority."""
+    P(vote | class) of each labeler. The start is the votes' own majority. An abstention tells
+    nothing of the class: a candidate is judged by those labelers that voted."""
     q = 1 / (1 + np.exp(-1.5 * (votes - 1).sum(axis=1)))
     for _ in range(rounds):
         weight = np.stack([counts * (1 - q), counts * q])  # class x pattern
         prior = (weight.sum(axis=1) + 1) / (counts.sum() + 2)
         says = np.stack([weight @ (votes == v) + 0.5 for v in range(3)], axis=2)  # class x labeler x vote
+        voted = np.log(says / (says[:, :, :1] + says[:, :, 2:]))
+        voted[:, :, 1] = 0
         says /= says.sum(axis=2, keepdims=True)
-        joint = np.log(prior)[:, None] + np.log(says[:, np.arange(votes.shape[1]), votes]).sum(axis=2)
+        joint = np.log(prior)[:, None] + voted[:, np.arange(votes.shape[1]), votes].sum(axis=2)
         q = 1 / (1 + np.exp(np.clip(joint[0] - joint[1], -50, 50)))
     return q, says
 
 
+def balanced(patterns: list[str], counts: np.ndarray) -> np.ndarray:
+    """Counts, those of candidates that the exact rule abstains on raised to weigh as much as the others
+    together: the classifier decides on them alone, and the others may outnumber them by any factor."""
+    free = np.array([p[0] == "0" for p in patterns])
+    if not free.any() or free.all():
+        return counts
+    return np.where(free, counts * max(1.0, counts[~free].sum() / counts[free].sum()), counts)
+
+
 def classifier(patterns: list[str], q: np.ndarray, counts: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> dict:
     """Logistic regression (Newton steps) on one-hot features, weighted by count, towards ``q``."""
     names = ["bias", *sorted({(i, c) for p in patterns for i, c in enumerate(p)})]
@@ -218,7 +240,7 @@ def fit(found: DataFrame) -> Model:
             patterns, counts = [p for p, _ in own], np.array([n for _, n in own], float)
             votes = np.array([["-0+".index(c) for c in p[:VOTES]] for p in patterns])
             q, reliability[kind] = estimate(votes, counts)
-            weights[kind] = classifier(patterns, q, counts)
+            weights[kind] = classifier(patterns, q, balanced(patterns, counts))
     return Model(weights, reliability)
 
 

@@ -155,6 +155,22 @@ def test_personal_data_query(frame, rows):
     assert pii.detect(frame([])).collect() == []
 
 
+@pytest.mark.parametrize("junk", [0, 1000])
+def test_spelt_addresses_and_local_phones_are_added(frame, junk):
+    r = random.Random(8)
+    texts = [f"{r.choice(['', 'write to '])}ann{i}@example.{r.choice(['com', 'org', 'xyz'])} x" for i in range(100)]
+    texts += [f"{r.choice(['', 'id '])}+1 {r.randrange(200, 999)} 555 {r.randrange(1000, 9999)} x" for _ in range(100)]
+    texts += [f"+{r.randrange(10, 10 ** r.randrange(2, 8))} x" for _ in range(junk)]
+    planted = {5000: ("bob [at] example [dot] com", "email"), 5001: ("ann.lee (at) mail.example.org", "email"),
+               5002: ("tel (415) 555-0199", "phone"), 5003: ("call 415-555-0123", "phone")}
+    rows = [*enumerate(texts), *((d, f"{t} x") for d, (t, _) in planted.items()), (5004, "we met (at) home. Then we left")]
+    got = {x.doc_id: x for x in pii.detect(frame(rows)).collect()}
+    for d, (t, kind) in planted.items():
+        start = t.index("(415)") if "(415)" in t else t.index("415") if kind == "phone" else 0
+        assert (got[d].spans, got[d].n_added) == (f"{kind}:{start}:{len(t)}", 1)
+    assert got[5004].spans == ""
+
+
 def test_labelers_reliability_is_recovered():
     rng = np.random.default_rng(6)
     truth = rng.random(4000) < 0.4
