@@ -8,11 +8,17 @@ labeler's reliability and each pattern's probability from the counts, and a
 logistic span classifier is trained on those probabilities with more features
 than the votes. Spans of the exact rules always stay; the classifier adds the
 candidates it is sure of.
+
+Not looked for: spelt addresses without brackets or with blanks around a bare
+dot; IPv6 addresses without any decimal digit, and short ones such as 10::2 or
+::1; local numbers other than three-three-four digits (a 1 before or not) and,
+from a trunk 0, nine to eleven digits in groups of one separator.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -36,8 +42,14 @@ PLUS = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SPELT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?"
                    r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I)
 COLONS = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
-LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
-NATIONAL = re.compile(r"[2-9][0-9]{2}[2-9][0-9]{6}")  # area code and exchange begin with neither 0 nor 1
+SHORT_COLONS = re.compile(r"(?<![0-9A-Za-z:._-])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
+                          r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![0-9A-Za-z:])")
+LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:1[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
+TRUNK_PHONE = re.compile(r"(?<![0-9+.(-])(?<![0-9][ ./-])\(?0[0-9]{1,4}\)?([ ./-])[0-9]{2,8}(?:\1[0-9]{2,4}){0,4}"
+                         r"(?![0-9]|[ ./-][0-9])")
+AT_SPELT = re.compile(r"at[\])]", re.I).search
+# area code and exchange begin with neither 0 nor 1; after a trunk 0 comes no other
+NATIONAL = re.compile(r"1?[2-9][0-9]{2}[2-9][0-9]{6}|0[1-9][0-9]{7,9}")
 
 # fixed values: gazetteer and context words
 TOP_LEVELS = frozenset("com org net edu gov mil int info biz io co de fr es uk us eu it nl ch at be ca au jp cn ru br".split())
@@ -71,6 +83,16 @@ def small(parts: list[str]) -> bool:
     return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in parts)
 
 
+def short_address(text: str) -> bool:
+    """An IPv6 address with ``::`` that hardly is anything else: a decimal digit, three groups or four digits first."""
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    groups = [g for g in text.split(":") if g]
+    return any("0" <= c <= "9" for c in text) and (len(groups) > 2 or len(text.split(":")[0]) == 4)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     end = 0
     for m in AT_DOMAIN.finditer(text):
@@ -105,12 +127,16 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, str]]:
     found = exact_spans(text) if digits else []
     taken = [(a, b) for a, b, _, valid in found if valid]
     loose = []
-    if "at)" in text or "at]" in text or "AT)" in text or "AT]" in text:
+    if AT_SPELT(text):
         loose += [(m.start(), m.end(), 0) for m in SPELT.finditer(text)]
     if digits:
         if ":" in text:
             loose += [(m.start(), m.end(), 1) for m in COLONS.finditer(text)]
+        if "::" in text:
+            loose += [(m.start(), m.end(), 1) for m in SHORT_COLONS.finditer(text) if short_address(m.group())]
         loose += [(m.start(), m.end(), 3) for m in LOCAL_PHONE.finditer(text)]
+        loose += [(m.start(), m.end(), 3) for m in TRUNK_PHONE.finditer(text)
+                  if 9 <= len(digits_of(m.group())) <= 11 and not LOCAL_PHONE.match(text, m.start())]
     rules = [(a, b, k, "+" if valid else "-") for a, b, k, valid in found]
     # the exact rules do not speak of what their patterns cannot match
     rules += [(a, b, k, "0") for a, b, k in loose if not any(x < b and a < y for x, y in taken)]

@@ -171,6 +171,19 @@ def test_spelt_addresses_and_local_phones_are_added(frame, junk):
     assert got[5004].spans == ""
 
 
+@pytest.mark.parametrize("kind, span", [
+    ("email", "bob [At] example [Dot] com"), ("email", "bob(aT)example.com"), ("ip", "2001:db8::ff00:42:8329"), ("ip", "fe80::1"),
+    ("phone", "01 23 45 67 89"), ("phone", "020 7946 0958"), ("phone", "(030) 1234567"), ("phone", "1-415-555-0123")])
+def test_loose_candidates(kind, span):
+    found = [(a, b, pii.KINDS[k], exact) for a, b, k, exact, _ in pii.candidates(f"x {span} y")]
+    assert found == [(2, 2 + len(span), kind, False)]
+
+
+@pytest.mark.parametrize("text", ["std::vector a::b 10::2 ::1", "01-02-2024 10 4111 0111 1111 2", "at 01.02.2024 10:30", "Foo::1234::x"])
+def test_what_is_no_loose_candidate(text):
+    assert pii.candidates(text) == [] or not any(c[2] in (0, 1, 3) for c in pii.candidates(text))
+
+
 def test_labelers_reliability_is_recovered():
     rng = np.random.default_rng(6)
     truth = rng.random(4000) < 0.4
