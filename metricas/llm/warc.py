@@ -7,6 +7,9 @@ All work is DataFrame expressions on whole records.
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,11 @@ BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure
           "li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul")
 REFERENCES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
               ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")]
+# the characters of all named references; & stays a reference until the last step
+NAMED = json.dumps({k: v.replace("&", "&amp;") for k, v in html.entities.html5.items() if k.endswith(";")})
+# what 128 to 159 stand for in numeric references
+WINDOWS = bytes(range(128, 160)).decode("cp1252", "replace")
+LINKS = r"""(?i)<a(?=[\s/])[^>]*?(?<![\w-])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 UNSEEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 
 
@@ -91,13 +99,43 @@ def parsed(records: DataFrame) -> DataFrame:
                 F.when(F.col("at") > 0, F.expr("substring(block, at + 4)")).otherwise(F.lit("")).alias("payload"))
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text of a page, one line for each block of it."""
-    out = F.regexp_replace(html, UNSEEN, "")
-    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*+>", "\n")
+def character(reference: Column) -> Column:
+    """What a numeric or named reference stands for; an unknown name stays as it is."""
+    hexadecimal = F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+);$", 1)
+    code = F.coalesce(F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)),
+                      F.regexp_extract(reference, "^&#([0-9]+);$", 1)).try_cast("int")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return (F.when(code == 38, "&amp;").when(code == 160, " ")
+            .when(code.between(128, 159), F.lit(WINDOWS).substr(code - 127, F.lit(1)))
+            .when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            .when(reference.startswith("&#"), "\ufffd")
+            .otherwise(F.coalesce(F.try_element_at(F.from_json(F.lit(NAMED), "map<string,string>"), F.substring(reference, 2, 99)),
+                                  reference)))
+
+
+def resolved(text: Column) -> Column:
+    """The text with all references but &amp; resolved."""
+    parts = F.regexp_extract_all(text, F.lit(r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]++|&"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^&.+;$"), character(x)).otherwise(x)), "")
+
+
+def seen(html: Column) -> Column:
+    """A page without comments, scripts and styles."""
+    return F.regexp_replace(html, UNSEEN, "")
+
+
+def plain_text(shown: Column) -> Column:
+    """Visible text of a page without unseen parts, one line for each block of it.
+
+    Numeric and named references are resolved if a semicolon ends them.
+    """
+    out = F.regexp_replace(shown, rf"(?i)</?(?:{BLOCKS})\b[^>]*+>", "\n")
     out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*+>", "")
-    for reference, char in REFERENCES:
+    for reference, char in REFERENCES[:-1]:
         out = F.replace(out, F.lit(reference), F.lit(char))
+    # the others are rare: a text is only taken apart where it has some
+    out = F.transform(F.array(out), lambda x: F.when(x.rlike("&(?!amp;)[#A-Za-z]"), resolved(x)).otherwise(x))[0]
+    out = F.replace(out, F.lit(REFERENCES[-1][0]), F.lit(REFERENCES[-1][1]))
     out = F.regexp_replace(out, r"[ \t\r\f]*+\n\s*+", "\n")
     return F.btrim(out, F.lit(" \t\n\v\f\r"))
 
@@ -106,8 +144,10 @@ def derivatives(records: DataFrame) -> DataFrame:
     """(page_id, record) -> two derived records for each response: ``metadata`` and ``conversion``.
 
     The metadata block lists the source's HTTP status and headers, the page's
-    title and its links in order, repeats included; the conversion block is the
-    page's plain text. A response with an empty payload has an empty conversion.
+    title and the links of its a elements outside comments, scripts and styles in
+    order, repeats included, with their values in either quotes or none, as they
+    are written (a > in an attribute before href hides a link); the conversion
+    block is the page's plain text. A response with an empty payload has an empty conversion.
     Repeated records give their derivatives each; an empty table gives none;
     other columns are ignored; null records go.
 
@@ -116,18 +156,20 @@ def derivatives(records: DataFrame) -> DataFrame:
     block.
     """
     title = F.trim(F.regexp_extract("payload", r"(?is)<title[^>]*>([^<]*)", 1))
-    links = F.expr(r"""regexp_extract_all(payload, '(?i)<a\\b[^>]*?\\bhref="([^"]*)"', 1)""")
+    links = F.transform(F.regexp_extract_all("shown", F.lit(LINKS), F.lit(1)),
+                        lambda x: F.when(x.rlike("^[\"']"), x.substr(F.lit(2), F.length(x) - 2)).otherwise(x))
     lines = F.concat_ws(
         CRLF, F.concat(F.lit("http-status: "), F.regexp_extract("http", r"^HTTP/[0-9.]+ ([0-9]{3})", 1)),
         F.regexp_replace(F.regexp_replace("http", r"^HTTP/[^\r\n]*[\r\n]*", ""), r"(?m)^(?=[^\r\n])", "http-header-"),
         F.concat(F.lit("title: "), title), F.transform(links, lambda x: F.concat(F.lit("outlink: "), x)))
-    both = (parsed(records)
+    rows = parsed(records)
+    both = (once(rows, *rows.columns, seen(F.col("payload")).alias("shown"))
             .withColumn("derived", F.array(
                 F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"),
                          lines.alias("block")),
                 F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                         plain_text(F.col("payload")).alias("block"))))
-            .drop("payload", "http").withColumn("derived", F.explode("derived")))
+                         plain_text(F.col("shown")).alias("block"))))
+            .drop("payload", "shown", "http").withColumn("derived", F.explode("derived")))
     return (both.select("page_id", "source_id", "target_uri", "date", "payload_digest", "derived.*")
             .select("page_id", "record_type", record_id(F.col("record_type"), F.col("source_id")).alias("record_id"),
                     F.col("source_id").alias("refers_to"), "target_uri", "date", "content_type",

@@ -233,6 +233,16 @@ def test_derivatives_link_to_their_response(spark):
     assert warc.derivatives(warc.responses(pages.limit(0))).collect() == []
 
 
+def test_links_and_references_of_every_form(spark):
+    html = ("<!-- <a href=\"/no\"> --><script>'<a href=\"/no\">'</script><a data-href='/no' href='/one'>1</a><A\nHREF = /two>2</A>"
+            "<a class=x href=\"/three?a'b\">3</a><abbr href=/no>4</abbr><p>&eacute;&#233;&#xE9;&#x1F600;&#150;&#0;&#55296; "
+            "&amp;eacute; &#38;lt; &AMP;gt; &nosuch; a & b &#x27;&#160;&lt;")
+    page = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    rows = {r.record_type: r.block for r in warc.derivatives(warc.responses(page)).collect()}
+    assert [x for x in rows["metadata"].split("\r\n") if x.startswith("outlink")] == ["outlink: /one", "outlink: /two", "outlink: /three?a'b"]
+    assert rows["conversion"] == "1234\n\u00e9\u00e9\u00e9\U0001f600\u2013\ufffd\ufffd &eacute; &lt; &gt; &nosuch; a & b ' <"
+
+
 def test_other_and_malformed_records_are_left_out(spark):
     page = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
     good = warc.responses(page)
