@@ -26,7 +26,6 @@ from .words import LOWER
 FEATURES = 1 << 16
 STRETCH = 64  # bytes
 ROUNDS = 15
-LARGEST_SET = 3
 SMOOTHING = 0.5
 TEMPER = 1 / 3  # a trigram shares its bytes with two neighbours
 UNKNOWN = "und"
@@ -112,6 +111,12 @@ def mixture(likelihood: np.ndarray, first: np.ndarray, text: np.ndarray,
 
 def infer(logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Language number and its share in each text; texts must not be empty."""
+    chosen, score, _ = infer_sets(logp, data, offs)
+    return chosen, score
+
+
+def infer_sets(logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``infer``, and the proportions of the chosen set (texts x languages, 0 outside it)."""
     feature, offs = trigrams(data, offs)
     size = np.diff(offs)
     stretches = -(-size // STRETCH)
@@ -123,19 +128,41 @@ def infer(logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndar
     share, _ = mixture(likelihood, first, text, everything)
     # nested sets: the k languages with the largest shares
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
-    best, chosen = np.full(len(size), -np.inf), np.zeros(len(size), np.int64)
     single = _per_text(likelihood, first)
-    for k in range(1, min(LARGEST_SET, len(logp)) + 1):
-        if k == 1:
-            part, fit = np.zeros_like(single), single.max(axis=1)
-            part[np.arange(len(size)), single.argmax(axis=1)] = 1
-        else:
-            part, fit = mixture(likelihood, first, text, (rank < k).astype(float))
-        penalised = fit - k * 0.5 * np.log(np.maximum(size, 2))
-        better = penalised > best
-        best = np.where(better, penalised, best)
-        chosen = np.where(better, part.argmax(axis=1), chosen)
-    return chosen, np.clip(share[np.arange(len(size)), chosen], 0.0, 1.0)
+    sets, penalty = np.zeros_like(single), 0.5 * np.log(np.maximum(size, 2))
+    sets[np.arange(len(size)), single.argmax(axis=1)] = 1
+    best = single.max(axis=1) - penalty
+    limit = most(likelihood, first, text, share)
+    for k in range(2, len(logp) + 1):
+        # a set of k or more languages can only win where this bound on every mixture allows it
+        some = np.flatnonzero(limit - k * penalty > best)
+        if not len(some):
+            break
+        n = stretches[some]
+        begin = np.cumsum(n) - n
+        own = likelihood[np.repeat(first[some] - begin, n) + np.arange(n.sum())]
+        part, fit = mixture(own, begin, np.repeat(np.arange(len(some)), n), (rank[some] < k).astype(float))
+        penalised = fit - k * penalty[some]
+        better = penalised > best[some]
+        best[some[better]], sets[some[better]] = penalised[better], part[better]
+    chosen = sets.argmax(axis=1)
+    return chosen, np.clip(share[np.arange(len(size)), chosen], 0.0, 1.0), sets
+
+
+def most(likelihood: np.ndarray, first: np.ndarray, text: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """A bound that no mixture's log-likelihood exceeds, close where ``share`` is near the best one: by
+    concavity the gain over it is at most n * log(the largest mean ratio of a language to the mixture)."""
+    with np.errstate(divide="ignore"):
+        joint = likelihood + np.log(share)[text]
+    top = joint.max(axis=1, keepdims=True)
+    fit = top + np.log(np.exp(joint - top).sum(axis=1, keepdims=True))
+    n = np.diff(np.append(first, len(text)))
+    ratio = _per_text(np.exp(np.minimum(likelihood - fit, 700)), first).max(axis=1) / n
+    return np.minimum(_per_text(fit[:, 0], first) + n * np.log(ratio), _per_text(likelihood.max(axis=1), first)) + 1e-6
+
+
+ADDED = ("lang_pred", "score", "languages")
+MIXED = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
 
 def predictor(model, text_col: str, keep_text: bool):
@@ -148,31 +175,38 @@ def predictor(model, text_col: str, keep_text: bool):
             for i in np.flatnonzero(~letters):
                 letters[i] = any(map(str.isalpha, column[i].as_py() or ""))
             names, scores = np.full(part.num_rows, UNKNOWN, object), np.zeros(part.num_rows)
+            mixed: list[list] = [[] for _ in range(part.num_rows)]
             some = np.flatnonzero(letters)
             if len(some) and langs:
-                lang, score = infer(logp, *text_buffers(column.take(pa.array(some))))
+                lang, score, sets = infer_sets(logp, *text_buffers(column.take(pa.array(some))))
                 names[some], scores[some] = np.array(langs, object)[lang], score
+                for i, own in zip(some, sets):
+                    mixed[i] = [{"lang": langs[k], "share": float(own[k])} for k in np.argsort(-own, kind="stable") if own[k] > 0]
             rest = part if keep_text else part.drop_columns([text_col])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(names, pa.string()), pa.array(scores)],
-                                             names=[*rest.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(names, pa.string()), pa.array(scores),
+                                              pa.array(mixed, MIXED)],
+                                             names=[*rest.schema.names, *ADDED])
     return run
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
             keep_text: bool = False) -> DataFrame:
-    """Add lang_pred and score (the language's share of the text, 0 to 1) to the columns ``keep``
-    (with the text too if ``keep_text``).
+    """Add lang_pred, score (the language's share of the text, 0 to 1) and languages to the columns
+    ``keep`` (with the text too if ``keep_text``). ``languages`` is the chosen set, of any size, as
+    an array of lang and share, the largest share first; shares sum to 1.
 
     Only the text is looked at. A null text, or one without a letter, is
-    ``und`` with score 0, as is any text where no language was learned. Whole
+    ``und`` with score 0 and no languages, as is any text where no language was learned. Whole
     texts count, of any length; repeated rows get equal answers; an empty table
-    gives no rows. Columns of ``docs`` named lang_pred or score are not kept.
+    gives no rows. Columns of ``docs`` named lang_pred, score or languages are not kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name in keep and f.name not in (text_col, "lang_pred", "score")]
+    kept = [f for f in docs.schema.fields if f.name in keep and f.name not in (text_col, *ADDED)]
     text = docs.schema[text_col]
     schema = T.StructType([*kept, *([text] if keep_text else []), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()),
+                           T.StructField("languages", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()),
+                                                                                T.StructField("share", T.DoubleType())])))])
     return (docs.select(*(F.col(f"`{f.name}`") for f in kept), F.col(text_col))
             .mapInArrow(predictor(shared, text_col, keep_text), schema))
 
@@ -191,4 +225,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).cast(kind).alias("doc_id"), "text",
                        F.coalesce(fold(id_col) == 1, F.lit(False)).alias("held_out"))
-    return predict(rows, model, ("doc_id", "held_out"))
+    return predict(rows, model, ("doc_id", "held_out")).drop("languages")

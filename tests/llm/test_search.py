@@ -123,6 +123,16 @@ def test_mixture_finds_the_larger_language(spoken):
     assert all(0.5 < s < 0.9 for s in share)
 
 
+def test_languages_of_a_text_that_mixes_four(frame, spoken):
+    r = random.Random(4)
+    model = lang_id.train(frame(spoken))
+    mixed = " ".join(speech(lang, n, r) for lang, n in (("de", 120), ("fr", 90), ("es", 70), ("en", 50)))
+    got = {x.doc_id: x for x in lang_id.predict(frame([(1, mixed), (2, speech("en", 80, r)), (3, "12")]), model).collect()}
+    assert [x.lang for x in got[1].languages] == ["de", "fr", "es", "en"] and got[1].lang_pred == "de"
+    assert sum(x.share for x in got[1].languages) == pytest.approx(1)
+    assert [x.lang for x in got[2].languages] == ["en"] and got[3].languages == []
+
+
 def test_language_with_nothing_to_learn(frame):
     assert lang_id.identify(frame([])).collect() == []
     got = lang_id.identify(frame([(1, "some text", None), (2, None, "en")])).collect()
