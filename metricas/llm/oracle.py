@@ -125,10 +125,66 @@ SELECT page_id, record_type,
 FROM made
 """
 
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.vec, b.vec)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN pair USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT lang, i, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS i,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents)),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM piece),
+gram AS (
+  SELECT lang, m AS size, array_to_string(words[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(words) >= m)),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM gram GROUP BY lang, size, phrase),
+found AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND n >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, c.k, h.n AS l, t.n AS r,
+         (1000000::HUGEINT * c.a * c.a) // (h.n::HUGEINT * t.n) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM found) AS c
+  JOIN f AS h ON h.lang = c.lang AND h.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN f AS t ON t.lang = c.lang AND t.phrase = array_to_string(c.words[c.k + 1:], ' ')),
+least AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, array_to_string(words[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM found, (SELECT unnest([1, 2]) AS i) WHERE size = 3 GROUP BY ALL),
+kept AS (
+  SELECT least.* FROM least LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM kept JOIN total USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 ORACLE = {
     "op2_ngram_join": NGRAM_JOIN,
     "op4_exact_dedup": EXACT_DEDUP,
     "op6_warc_derivatives": WARC,
     "op7_line_dedup": LINE_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, lang_id, line_dedup, ngram_join, packing, pii, substring_dedup, warc
+from . import (ann, bpe, brown_lm, collocations, exact_dedup, hard_negatives, lang_id, line_dedup, ngram_join,
+               packing, pii, substring_dedup, warc)
 from .common import table
 
 
@@ -55,6 +56,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.evaluate(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = hard_negatives.relabelled(F.col("label"), F.col("vec_id"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_ngram_join": op2_ngram_join,
@@ -66,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_brown_lm": op11_brown_lm,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
