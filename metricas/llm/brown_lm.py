@@ -348,35 +348,28 @@ def score(tokens: DataFrame, model: Model) -> DataFrame:
                                               pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words)],
                                              names=["slice", "place", "word"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
         frequent, classes, transitions, mass, total, distinct = shared.value
-        units = Units(frequent)
-        for b in batches:
-            for k in range(b.num_rows):
-                row = b.slice(k, 1).drop_columns(["known"]).to_pylist()[0]
-                words, endings, codes, n = arrays(row)
-                known = np.zeros(len(words))
-                place, times = neighbours(b.column("known"), k)
-                known[place] = times
-                klass = classes[units.of(words, endings)]
-                emitted = np.where(words == END, 0.0, np.log10((known + ADDED) / mass[klass]))
-                base = np.log10((known + ADDED) / (total + ADDED * (distinct + 1)))
-                at = klass[codes]
-                logs = transitions[np.concatenate([[END], at[:-1]]), at] + emitted[codes]
-                first = np.cumsum(n) - n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_id"], I64), pa.array(row["held_out"], pa.bool_()), pa.array(n),
-                     pa.array(np.add.reduceat((known > 0)[codes].astype(np.int64), first)),
-                     pa.array(np.full(len(n), total, np.int64)), pa.array(np.add.reduceat(base[codes], first)),
-                     pa.array(np.add.reduceat(logs, first))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        row = texts.to_pylist()[0]
+        words, endings, codes, n = arrays(row)
+        times = np.zeros(len(words))
+        times[known.column("place").to_numpy()] = known.column("n").to_numpy()
+        klass = classes[Units(frequent).of(words, endings)]
+        emitted = np.where(words == END, 0.0, np.log10((times + ADDED) / mass[klass]))
+        base = np.log10((times + ADDED) / (total + ADDED * (distinct + 1)))
+        at = klass[codes]
+        logs = transitions[np.concatenate([[END], at[:-1]]), at] + emitted[codes]
+        first = np.cumsum(n) - n
+        return pa.table(
+            [pa.array(row["doc_id"], I64), pa.array(row["held_out"], pa.bool_()), pa.array(n),
+             pa.array(np.add.reduceat((times > 0)[codes].astype(np.int64), first)),
+             pa.array(np.full(len(n), total, np.int64)), pa.array(np.add.reduceat(base[codes], first)),
+             pa.array(np.add.reduceat(logs, first))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     known = (tokens.select("slice", "words").mapInArrow(asked, "slice long, place int, word long")
-             .join(model.words.select("word", "n"), "word")
-             .groupBy("slice").agg(F.collect_list(F.struct("place", "n")).alias("known")))
-    empty = F.array().cast("array<struct<place:int,n:bigint>>")
-    return (tokens.join(known, "slice", "left").withColumn("known", F.coalesce("known", empty))
-            .mapInArrow(run, SCORES_DDL))
+             .join(model.words.select("word", "n"), "word").select("slice", "place", "n"))
+    return tokens.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, SCORES_DDL)
 
 
 def held_out_of(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
