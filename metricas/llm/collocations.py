@@ -28,6 +28,7 @@ TRIGGER = 16  # words of a chunk before its overlap, on average
 MOST_BITS = 27  # of the filter, as a power of two: 16 MB
 BITS_EACH = 16  # of the filter for each frequent pair, while it has room
 BLOCK_BITS = 16  # of the filter that one row holds
+SLICE_BYTES = 6 << 20  # of the dictionary that a task counts phrases in at once
 UNKNOWN = "und"
 U = np.uint64
 
@@ -152,8 +153,24 @@ class Chunks:
         return at
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``limit`` bytes, made of the given ones."""
+    held, size = [], 0
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= limit:
+            yield from joined()
+            held, size = [], 0
+    if held:
+        yield from joined()
+
+
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, times = keys[order], times[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(times, first) if len(first) else times
@@ -170,7 +187,7 @@ def frequent_pairs(chunks: DataFrame, least: int, overlap: int) -> bytes:
     spark = chunks.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, "chunk"):
+        for b in gathered(batches, SLICE_BYTES):
             own = Chunks(b, overlap)
             at = own.starts_of(2)
             keys, times = summed(own.pairs()[at], own.times[own.row[at]])
@@ -207,7 +224,7 @@ def phrase_counts(chunks: DataFrame, longest: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         power = len(bits).bit_length() + 2
-        for b in text_slices(batches, "chunk"):
+        for b in gathered(batches, SLICE_BYTES):
             own = Chunks(b, overlap)
             langs = b.column("lang").to_pylist()
             pair = own.pairs()
@@ -220,7 +237,7 @@ def phrase_counts(chunks: DataFrame, longest: int, least: int) -> DataFrame:
                     key = mix(key[:-1] * constants(2, 31)[0] + own.number[n - 1:])
                     for k in range(n - 1):
                         at = at[common[at + k]]
-                order = at[np.argsort(key[at], kind="stable")]
+                order = at[np.argsort(key[at])]
                 if not len(order):
                     continue
                 first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
