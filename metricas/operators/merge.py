@@ -60,6 +60,18 @@ def insert_ignore(current: DataFrame | None, batch: DataFrame, keys: Sequence[st
     return new
 
 
+def merge_versions(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], run: tuple,
+                   first: bool = False, seq_col: str = "seq") -> DataFrame:
+    """K1, K3, K4, K6 on rows with a version, ``_run_date`` and ``_run_id``: a maximum (``first``: minimum) over
+    versions, so that runs may be merged in any order."""
+    rows = latest_by_key(batch, keys, seq_col, keep_first=first).drop(seq_col) if seq_col in batch.columns else batch
+    rows = rows.select("*", F.lit(run[0]).cast("date").alias("_run_date"), F.lit(run[1]).cast("string").alias("_run_id"))
+    if current is None:
+        return rows
+    both = current.unionByName(rows).withColumn("_version", F.struct("_run_date", "_run_id"))
+    return latest_by_key(both, keys, "_version", keep_first=first).drop("_version")
+
+
 # ---- K1 ----
 
 def post_rows(posts: DataFrame) -> DataFrame:

@@ -145,10 +145,34 @@ def tiktok(pages: DataFrame, as_of, only=None) -> dict[str, DataFrame]:
 PLATFORMS = {"facebook": facebook, "instagram": instagram, "linkedin": linkedin, "tiktok": tiktok}
 
 
-def all_platforms(pages: DataFrame, as_of, only=None, platforms=None) -> dict[str, DataFrame]:
-    """Run every platform's adapter (or those named) on one run's pages and union per target table."""
-    outs = [fn(pages.where(F.col("plataforma") == p), as_of, only) for p, fn in PLATFORMS.items()
-            if platforms is None or p in platforms]
+# the endpoints of which a table's rows come; a table that a run has none of needs no plan
+DRIVERS = {
+    "facebook": {POSTS: ["posts"], DAILY: ["post_insights"], WEEKLY: ["page_insights"],
+                 SEGMENTS: ["page_demographics"], CAMPAIGNS: ["campaigns"], CAMPAIGN_DAILY: ["campaign_insights"]},
+    "instagram": {POSTS: ["media"], DAILY: ["media"], WEEKLY: ["account_insights"], SEGMENTS: ["demographics"]},
+    "linkedin": {POSTS: ["posts", "ugcPosts", "shares"], DAILY: ["posts", "ugcPosts", "shares"],
+                 WEEKLY: ["follower_statistics"], SEGMENTS: ["follower_countries"]},
+    "tiktok": {POSTS: ["videos"], DAILY: ["videos"], WEEKLY: ["account_insights"], SEGMENTS: ["audience"]},
+}
+
+
+def all_platforms(pages: DataFrame, as_of, only=None, platforms=None, held=None) -> dict[str, DataFrame]:
+    """Run every platform's adapter (or those named) on one run's pages and union per target table.
+
+    ``held``: the (platform, endpoint) pairs that the pages have (``landing.contents``); only the tables that
+    can get rows of them are planned.
+    """
+    outs = []
+    for p, fn in PLATFORMS.items():
+        if platforms is not None and p not in platforms:
+            continue
+        names = only
+        if held is not None:
+            names = {t for t, ends in DRIVERS[p].items()
+                     if (only is None or t in only) and any((p, e) in held for e in ends)}
+            if not names:
+                continue
+        outs.append(fn(pages.where(F.col("plataforma") == p), as_of, names))
     names = dict.fromkeys(t for o in outs for t in o)
     return {t: jobs.union_platforms(*[o[t] for o in outs if t in o]) for t in names}
 
@@ -156,12 +180,25 @@ def all_platforms(pages: DataFrame, as_of, only=None, platforms=None) -> dict[st
 MERGES = {POSTS: K.upsert_posts, DAILY: K.upsert_daily_metrics,
           WEEKLY: lambda cur, b: K.upsert(cur, b, S.WEEKLY_KEY), SEGMENTS: K.insert_ignore_segments,
           CAMPAIGNS: K.upsert_campaigns, CAMPAIGN_DAILY: K.upsert_campaign_daily}
+KEYS = {POSTS: S.POST_KEY, WEEKLY: S.WEEKLY_KEY, SEGMENTS: S.SEGMENT_KEY, CAMPAIGNS: S.CAMPAIGN_KEY,
+        CAMPAIGN_DAILY: S.CAMPAIGN_DAILY_KEY}
 
 
-def fold_runs(pages: DataFrame, only=None, as_of=None) -> dict[str, DataFrame]:
-    """All runs in ``pages``, each by itself and in order, merged into tables that start empty."""
+def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None = None) -> dict[str, DataFrame]:
+    """All runs in ``pages`` (or those given, which saves looking), each by itself and in order, merged into
+    tables that start empty."""
     state: dict[str, DataFrame] = {}
-    for run in L.runs(pages):
+    for run in L.runs(pages) if runs is None else runs:
         for t, rows in all_platforms(L.of_run(pages, run), run[0] or as_of, only).items():
             state[t] = MERGES[t](state.get(t), rows)
     return state
+
+
+def fold_versions(pages: DataFrame, runs: list[tuple], only) -> dict[str, DataFrame]:
+    """As ``fold_runs``, for tables whose rows have versions: ``runs`` may be in any order, and the result is that
+    of their own order. T2 needs stored deltas too and is merged by ``sources.warehouse`` only."""
+    state: dict[str, DataFrame] = {}
+    for run in runs:
+        for t, rows in all_platforms(L.of_run(pages, run), run[0], only).items():
+            state[t] = K.merge_versions(state.get(t), rows, KEYS[t], run, first=t == SEGMENTS)
+    return state

@@ -10,6 +10,10 @@ page or points a series has.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,106 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.schema(S.LANDED_PAGE).format(fmt).load(path)
 
 
+BY_RUN = "run_date=*/run_id=*"
+DONE = "_SUCCESS"  # the mark in a run's folder that all of its pages have landed
+
+
+def run_folder(spark: SparkSession, path: str, run: tuple) -> str:
+    day = run[0].isoformat() if isinstance(run[0], dt.date) else run[0]
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run[1])
+    return f"{path}/run_date={day}/run_id={name}"
+
+
+def land_run(pages: DataFrame, path: str, run: tuple, fmt: str = "parquet") -> None:
+    """Land one run's pages in its own folder, by platform and endpoint; the mark DONE comes last."""
+    (pages.drop(*S.RUN).write.partitionBy("plataforma", "endpoint")
+     .format(fmt).save(run_folder(pages.sparkSession, path, run)))
+
+
+def complete_runs(spark: SparkSession, path: str) -> list[tuple]:
+    """(run_date, run_id) of the runs landed whole in folders of their own, in order: one listing, no page is read."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(f"{path}/{BY_RUN}/{DONE}")
+    found = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jpath) or []
+    parents = [s.getPath().getParent() for s in found]
+    return sorted((dt.date.fromisoformat(p.getParent().getName().partition("=")[2]),
+                   unquote(p.getName().partition("=")[2])) for p in parents)
+
+
+def landed_by_run(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(f"{path}/run_date=*")
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jpath))
+
+
+def read_run(spark: SparkSession, path: str, run: tuple, fmt: str = "parquet") -> DataFrame:
+    """One run's pages, from its folder alone."""
+    return (spark.read.schema(S.LANDED_PAGE).option("basePath", path).format(fmt)
+            .load(run_folder(spark, path, run)))
+
+
+# ---- what a run holds, and what of it can't be used ----
+
+# the list of an endpoint's items and the fields of which one must identify an item
+ITEM_KEYS = {("facebook", "posts"): (["$.data"], ["$.id"]), ("facebook", "campaigns"): (["$.data"], ["$.id"]),
+             ("instagram", "media"): (["$.data"], ["$.id"]), ("linkedin", "posts"): (["$.elements"], ["$.urn", "$.id"]),
+             ("linkedin", "ugcPosts"): (["$.elements"], ["$.id", "$.urn"]),
+             ("linkedin", "shares"): (["$.elements"], ["$.urn", "$.id"]),
+             ("tiktok", "videos"): (["$.data.creatives", "$.data.items"], ["$.creative_id", "$.id"])}
+UNREADABLE, NO_KEY = "ilegible", "sin_clave"
+
+
+class UnreadablePages(ValueError):
+    """More pages of a run can't be read than is allowed."""
+
+
+def _unreadable() -> Column:
+    return (F.col("endpoint") != S.RUN_END) & F.try_parse_json("payload").isNull()
+
+
+def _without_key() -> Column:
+    found = F.lit(0)
+    parsed = F.try_parse_json("payload")
+    for (platform, endpoint), (lists, keys) in ITEM_KEYS.items():
+        items = F.lit(None)
+        for at in reversed(lists):  # an empty first list falls through, as in ``cursor_page_items``
+            own = F.try_variant_get(parsed, at, "array<variant>")
+            items = own if at == lists[-1] else F.when(F.size(own) > 0, own).otherwise(items)
+        blank = F.filter(items, lambda x: F.concat(*[F.coalesce(F.try_variant_get(x, k, "string"), F.lit(""))  # noqa: B023
+                                                     for k in keys]) == "")
+        found = F.when((F.col("plataforma") == platform) & (F.col("endpoint") == endpoint), F.size(blank)).otherwise(found)
+    return F.greatest(F.coalesce(found, F.lit(0)), F.lit(0))
+
+
+def rejects(pages: DataFrame) -> DataFrame:
+    """(plataforma, pagina_id, endpoint, entity_id, variant, page_seq, motivo, cantidad): pages whose payload is
+    missing or no JSON, and how many items of a page have no key and are left out (F3)."""
+    rows = pages.where(F.col("endpoint") != S.RUN_END).select(
+        *PAGE_COLS, "page_seq", F.when(_unreadable(), UNREADABLE).otherwise(NO_KEY).alias("motivo"),
+        F.when(_unreadable(), F.lit(1)).otherwise(_without_key()).cast("long").alias("cantidad"))
+    return rows.where(F.col("cantidad") > 0)
+
+
+@dataclass(frozen=True)
+class Contents:
+    """Pages of a run by (platform, endpoint), and how many of all can't be read."""
+    pages: dict[tuple[str, str], int]
+    unreadable: int
+
+    def check(self, allowed: float = 0.0) -> None:
+        """An error if a larger share than ``allowed`` of the pages can't be read."""
+        total = sum(self.pages.values())
+        if self.unreadable > allowed * total:
+            raise UnreadablePages(f"{self.unreadable} of {total} pages have no payload or one that is no JSON")
+
+
+def contents(pages: DataFrame) -> Contents:
+    """One small aggregation: a row for each endpoint."""
+    rows = (pages.where(F.col("endpoint") != S.RUN_END).groupBy("plataforma", "endpoint")
+            .agg(F.count("*").alias("n"), F.sum(_unreadable().cast("long")).alias("bad")).collect())
+    return Contents({(r["plataforma"], r["endpoint"]): r["n"] for r in rows}, sum(r["bad"] for r in rows))
+
+
 def runs(pages: DataFrame, complete: bool = False) -> list[tuple]:
     """(run_date, run_id) of the runs in ``pages``, in order: one short row for each call of the ingest.
 

@@ -1,6 +1,7 @@
-"""Keyed Parquet tables T1-T6: read, and merge a run's rows touching only affected partitions.
+"""Keyed Parquet tables T1-T6: read, and merge rows into one table touching only affected partitions.
 
-A table is a partitioned Parquet folder, and its partition is a function of its
+These are the sinks K1-K6 of a table that stands alone; the tables of runs, which change together, are in
+``sources.warehouse``, and ``KeyedTable.read`` reads those too. A table is a partitioned Parquet folder, and its partition is a function of its
 key, so the rows that a run can replace lie in the partitions of its own rows. A merge
   1. finds those partitions (their column values only, for static pruning);
   2. reads them and computes the merged rows with the pure functions of
@@ -16,7 +17,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator, Mapping
-from contextlib import ExitStack, contextmanager
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,10 @@ from metricas.session import ensure_checkpoint_dir, pin_utc
 PAGE_BUCKETS = 256  # of T1, for each platform
 
 
+def page_bucket() -> Column:
+    return F.pmod(F.xxhash64("plataforma", "pagina_id"), F.lit(PAGE_BUCKETS)).cast("int")
+
+
 def _month(c: str) -> Callable[[], Column]:
     return lambda: F.trunc(F.col(c), "month")
 
@@ -69,7 +74,15 @@ class KeyedTable:
                  for p in self.partitions if p not in self.schema.fieldNames()]
         return T.StructType(self.schema.fields + extra)
 
+    def _of_runs(self):
+        """The warehouse that this table belongs to, if runs were merged under its root."""
+        from metricas.sources import warehouse
+        return warehouse.snapshot(self.spark, os.path.dirname(self.path))
+
     def exists(self) -> bool:
+        own = self._of_runs()
+        if own is not None:
+            return os.path.basename(self.path) in own.manifest.sets
         jvm = self.spark.sparkContext._jvm
         jpath = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -78,6 +91,9 @@ class KeyedTable:
 
     def read(self, where: Column | None = None) -> DataFrame | None:
         """The stored rows; ``where`` may use partition columns (pruned at listing)."""
+        own = self._of_runs()
+        if own is not None:
+            return own.read(os.path.basename(self.path), where)
         if not self.exists():
             return None
         df = self.spark.read.schema(self._full_schema()).parquet(self.path)
@@ -112,14 +128,20 @@ class KeyedTable:
                 .select(*self.schema.fieldNames()))
 
     # ---- writing ----
+    def _alone(self) -> None:
+        if self._of_runs() is not None:
+            raise ValueError(f"{self.path} is a table of runs: use sources.warehouse")
+
     def write(self, rows: DataFrame) -> None:
         """Overwrite the partitions present in ``rows``."""
+        self._alone()
         with kept(self._with_partitions(K.conform(rows, self.schema))) as out:
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*self.partitions).parquet(self.path))
 
     def merge(self, batch: DataFrame, how: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         """Merge ``batch`` with ``how(current_touched, batch)`` and write the touched partitions."""
+        self._alone()
         self.write(how(self.read_touched(batch), batch))
 
 
@@ -131,7 +153,7 @@ def tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
         "publicaciones": KeyedTable(
             spark, os.path.join(root, "publicaciones"), S.T1_POSTS, S.POST_KEY,
             {"plataforma": lambda: F.col("plataforma"),
-             "cubo": lambda: F.pmod(F.xxhash64("plataforma", "pagina_id"), F.lit(PAGE_BUCKETS)).cast("int")}),
+             "cubo": page_bucket}),
         "metricas_publicaciones_diarias": KeyedTable(
             spark, os.path.join(root, "metricas_publicaciones_diarias"), S.T2_DAILY, S.DAILY_KEY,
             {"plataforma": lambda: F.col("plataforma"), "mes": _month("fecha_descarga")}),
@@ -207,22 +229,8 @@ def merge_campaigns(t5: KeyedTable, rows: DataFrame) -> None:
     t5.merge(rows, lambda cur, b: K.upsert(cur, b, S.CAMPAIGN_KEY))
 
 
-SINKS = {"publicaciones": merge_posts, "metricas_publicaciones_diarias": merge_daily,
-         "estadisticas_pagina_semanal": merge_weekly, "segmentacion_seguidores_semanal": merge_segments,
-         "campanias": merge_campaigns, "metricas_campanias_diarias": merge_campaign_daily}
-
-
-def merge_run(spark: SparkSession, root: str, outputs: Mapping[str, DataFrame]) -> None:
-    """Merge one run's outputs (as returned by ``plans.landed``) into the tables under ``root``.
-
-    Every output is computed and kept before the first table changes: a merge
-    looks at its batch several times, and a run that fails in its own work
-    leaves all tables as they were. Outputs without rows change nothing.
-    """
-    pin_utc(spark)
-    t = tables(spark, root)
-    with ExitStack() as stack:
-        ready = {name: stack.enter_context(kept(rows)) for name, rows in outputs.items()}
-        for name, rows in ready.items():
-            if not rows.isEmpty():
-                SINKS[name](t[name], rows)
+def merge_run(spark: SparkSession, root: str, outputs: Mapping[str, DataFrame], run: tuple | None = None,
+              rejects: DataFrame | None = None) -> None:
+    """Merge one run's outputs into the tables under ``root``, all or nothing (``sources.warehouse``)."""
+    from metricas.sources import warehouse
+    warehouse.merge_run(spark, root, outputs, run, rejects)
