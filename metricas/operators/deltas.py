@@ -8,8 +8,9 @@ row per day, so no window partition grows with the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricas import schemas as S
@@ -33,6 +34,17 @@ def recompute_deltas(daily: DataFrame) -> DataFrame:
                        *[(F.col(m) - F.lag(m).over(w)).alias(f"delta_{m}") for m in METRICS])
 
 
+def repaired_deltas(daily: DataFrame) -> DataFrame:
+    """K5 in part: the rows of ``daily`` whose deltas D2 changes, with the new ones.
+
+    A post's deltas depend on its own rows only, so ``daily`` may be limited to the posts with new rows.
+    """
+    old = [F.col(f"delta_{m}").alias(f"_old_{m}") for m in METRICS]
+    again = recompute_deltas(daily.select("*", *old))
+    same = reduce(Column.__and__, [F.col(f"delta_{m}").eqNullSafe(F.col(f"_old_{m}")) for m in METRICS])
+    return again.where(~same).select(*daily.columns)
+
+
 def ingest_deltas(batch: DataFrame, history: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Deltas of incoming rows against the latest stored row strictly before each date.
 

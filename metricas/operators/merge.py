@@ -31,18 +31,13 @@ def conform(df: DataFrame, schema) -> DataFrame:
 def upsert(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            seq_col: str = "seq") -> DataFrame:
     """Insert-or-overwrite on ``keys``, last write wins inside the batch (max ``seq``)."""
-    ranked = seq_col in batch.columns
+    new = latest_by_key(batch, keys, seq_col).drop(seq_col) if seq_col in batch.columns else batch
     if current is None:
-        return latest_by_key(batch, keys, seq_col).drop(seq_col) if ranked else batch
-    if not ranked:
-        kept = current.join(batch.select(*keys), list(keys), "left_anti")
-        return kept.unionByName(batch.select(*current.columns))
-    # one aggregation over both: a row of the batch outranks a stored one, the last of the batch its others
-    order = F.struct(F.lit(0).alias("new"), F.lit(None).cast(batch.schema[seq_col].dataType).alias("seq"))
-    both = (current.withColumn("_order", order)
-            .unionByName(batch.withColumn("_order", F.struct(F.lit(1).alias("new"), F.col(seq_col).alias("seq")))
-                         .select(*current.columns, "_order")))
-    return latest_by_key(both, keys, "_order").drop("_order")
+        return new
+    # stored rows go through no aggregation: those that the batch has a row for drop out by key
+    again = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    kept = current.join(again, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys], "left_anti")
+    return kept.unionByName(new.select(*current.columns))
 
 
 def insert_ignore(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],

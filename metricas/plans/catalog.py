@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +37,7 @@ SPLIT_DAY = "2024-01-16"        # incoming daily rows start here
 STORED_UNTIL = "2024-01-20"     # stored daily rows end before here (plus every 3rd day)
 
 RUN_DATES = {1: _dt.date(1995, 7, 1), 2: _dt.date(1995, 7, 2)}  # of the two-run queries
+RUNS = [(day, f"run_{n}") for n, day in RUN_DATES.items()]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -779,9 +779,10 @@ def q_merge_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ====================== U1 and runs ======================
 
-def all_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [f(spark, sf_dir) for f in (fb_landed_pages, ig_landed_pages, li_landed_pages, tt_landed_pages)]
-    return reduce(DataFrame.unionByName, parts)
+def all_landed_pages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    made = {"facebook": fb_landed_pages, "instagram": ig_landed_pages, "linkedin": li_landed_pages,
+            "tiktok": tt_landed_pages}
+    return {platform: pages(spark, sf_dir) for platform, pages in made.items()}
 
 
 @query("union_platforms", " UNION ALL ".join(f"SELECT * FROM ({ORACLE[n]})" for n in (
@@ -801,6 +802,10 @@ _SQL_TWO_POST_RUNS = ORACLE["upsert_posts"]
 @query("posts_two_runs", _SQL_TWO_POST_RUNS)
 def q_posts_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 over two runs with the same page numbers: the later run wins, though its pages' numbers are smaller."""
+    return landed.fold_runs(_two_post_runs(spark, sf_dir), {landed.POSTS}, runs=RUNS, platforms=["facebook"])[landed.POSTS]
+
+
+def _two_post_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     fc = _fx(spark, sf_dir, "F_C")
     edited = fc.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn(
         "message", F.concat("message", F.lit(" (editado)")))
@@ -808,8 +813,7 @@ def q_posts_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listing(df: DataFrame) -> DataFrame:
         return _item_pages(SH.fb_post_items(df), "posts", lambda items, _: F.struct(items.alias("data")))
     first = listing(fc.where(F.col("seq") % 3 != 0).withColumn("seq", F.col("seq") + 100))
-    pages = _in_run(first, 1).unionByName(_in_run(listing(edited), 2))
-    return landed.fold_runs(pages, only={landed.POSTS})[landed.POSTS]
+    return _in_run(first, 1).unionByName(_in_run(listing(edited), 2))
 
 
 def _sql_ig_audience(run: int, qty: str) -> str:
@@ -829,7 +833,7 @@ def q_instagram_audience_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame
         return _in_run(_pages(rows.withColumn("seq", F.lit(page_seq)), "demographics",
                               F.struct(F.array(F.struct("breakdowns")).alias("data")), variant=F.col("variant")), run)
     pages = asked(1000, 1, 1).unionByName(asked(0, 1, 2)).unionByName(asked(1, 2, 1))
-    return landed.fold_runs(pages, only={landed.SEGMENTS})[landed.SEGMENTS]
+    return landed.fold_runs(pages, {landed.SEGMENTS}, runs=RUNS, platforms=["instagram"])[landed.SEGMENTS]
 
 
 @query("linkedin_fallback_two_runs", ORACLE["linkedin_posts"].replace(
@@ -842,7 +846,8 @@ def q_linkedin_fallback_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 F.struct(F.lit("ugcPosts").alias("source"), F.lit(True).alias("ok")))).alias("s"), F.lit(0).alias("seq"))
     again = (pages.where(F.col("endpoint") != "source_status")
              .unionByName(_pages(status, "source_status", F.col("s"))))
-    return landed.fold_runs(_in_run(pages, 1).unionByName(_in_run(again, 2)), only={landed.POSTS})[landed.POSTS]
+    return landed.fold_runs(_in_run(pages, 1).unionByName(_in_run(again, 2)), {landed.POSTS}, runs=RUNS,
+                            platforms=["linkedin"])[landed.POSTS]
 
 
 def _landed_query(name: str, adapter: str, pages, table: str, as_of: str, oracle: str) -> None:
@@ -880,14 +885,14 @@ def _two_campaign_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     "TRY_CAST(spend AS DOUBLE)", "TRY_CAST(CASE WHEN seq % 2 = 0 THEN spend || '.5' ELSE spend END AS DOUBLE)"))
 def q_campaign_daily_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P8 / K6 from pages: the second run's days replace the stored ones."""
-    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), only={landed.CAMPAIGN_DAILY})
+    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), {landed.CAMPAIGN_DAILY}, runs=RUNS, platforms=["facebook"])
     return K.conform(out[landed.CAMPAIGN_DAILY], S.T6_CAMPAIGN_DAILY)
 
 
 @query("campaigns_two_runs", ORACLE["upsert_campaigns"])
 def q_campaigns_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 (T5) from pages, over two runs."""
-    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), only={landed.CAMPAIGNS})
+    out = landed.fold_runs(_two_campaign_runs(spark, sf_dir), {landed.CAMPAIGNS}, runs=RUNS, platforms=["facebook"])
     return K.conform(out[landed.CAMPAIGNS], S.T5_CAMPAIGNS)
 
 
@@ -911,3 +916,117 @@ def tt_audience_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _landed_query("tiktok_audience_from_pages", "tiktok", tt_audience_pages, landed.SEGMENTS, AS_OF_ACCOUNT,
               ORACLE["tiktok_audience"])
+
+
+def _series_pages(points: DataFrame, endpoint: str, name: str = "name") -> DataFrame:
+    """One Graph response with one series of one point for each point."""
+    series = F.struct(F.col(name).alias("name"), F.array(F.struct("end_time", "value")).alias("values"))
+    return _pages(points, endpoint, F.struct(F.array(series).alias("data")))
+
+
+def _element_pages(elements: DataFrame, endpoint: str) -> DataFrame:
+    fields = [c for c in elements.columns if c not in ("plataforma", "pagina_id", "seq")]
+    return _pages(elements, endpoint, F.struct(F.array(F.struct(*fields)).alias("elements")))
+
+
+def fb_week_pages(fb: DataFrame) -> DataFrame:
+    return _series_pages(SH.fb_insight_points(fb, rename=_page_metric_name), "page_insights")
+
+
+_landed_query("facebook_week_from_pages", "facebook", lambda spark, sf_dir: fb_week_pages(_fx(spark, sf_dir, "F_B")),
+              landed.WEEKLY, AS_OF_ACCOUNT, ORACLE["facebook_page_week"])
+_landed_query("instagram_week_from_pages", "instagram", lambda spark, sf_dir: _series_pages(
+    SH.ig_account_points(_fx(spark, sf_dir, "F_G")), "account_insights", "serie"),
+    landed.WEEKLY, AS_OF_ACCOUNT, ORACLE["instagram_account_week"])
+_landed_query("linkedin_week_from_pages", "linkedin", lambda spark, sf_dir: _element_pages(
+    SH.li_follower_elements(_fx(spark, sf_dir, "F_G")), "follower_statistics"),
+    landed.WEEKLY, AS_OF_ACCOUNT, ORACLE["linkedin_account_week"])
+_landed_query("facebook_audience_from_pages", "facebook", lambda spark, sf_dir: _series_pages(
+    SH.fb_demographic_points(_fx(spark, sf_dir, "F_K")), "page_demographics", "serie"),
+    landed.SEGMENTS, AS_OF_ACCOUNT, ORACLE["facebook_audience"])
+_landed_query("linkedin_audience_from_pages", "linkedin", lambda spark, sf_dir: _element_pages(
+    SH.li_country_elements(_fx(spark, sf_dir, "F_K")), "follower_countries"),
+    landed.SEGMENTS, AS_OF_ACCOUNT, ORACLE["linkedin_audience"])
+
+# The T1 columns of TikTok videos
+_landed_query("tiktok_posts_from_pages", "tiktok", tt_landed_pages, landed.POSTS, AS_OF_ALL_POSTS, _ctes(
+    {"ff": "F_F"}, ("v", _SQL_TT), final=(
+        "SELECT 'tiktok' AS plataforma, pagina_id, creative_id AS publicacion_id, "
+        "'https://tt.example/v/' || CAST(seq AS VARCHAR) AS url_publicacion, "
+        "coalesce(CAST(substr(publish_time, 1, 19) AS TIMESTAMP), CASE WHEN strpos(create_time, '-') = 0 "
+        "THEN make_timestamp(TRY_CAST(create_time AS BIGINT) * 1000000) ELSE CAST(substr(create_time, 1, 19) AS TIMESTAMP) END) "
+        "AS fecha_hora_publicacion, 'video ' || CAST(seq AS VARCHAR) AS texto_publicacion, 'video' AS formato "
+        f"FROM v WHERE cdate >= DATE_TRUNC('year', DATE '{AS_OF_ALL_POSTS}')")))
+
+
+def ig_legacy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics in the older shape, values[-1].value[dim], a map of counts; an earlier value comes first."""
+    fh = _fx(spark, sf_dir, "F_H").groupBy("pagina_id", "dim", "name").agg(F.max("cantidad").alias("cantidad"))
+    # a page has at most 200 rows of F-H, so a map is bounded
+    counts = F.map_from_entries(F.collect_list(F.struct("name", F.col("cantidad").cast("string"))))
+    maps = fh.groupBy("pagina_id", "dim").agg(counts.alias("m"))
+    earlier = F.transform_values("m", lambda _, v: F.lit("7"))
+    value = [F.struct(F.create_map("dim", m).alias("value")) for m in (earlier, F.col("m"))]
+    return _pages(maps.select("*", F.lit("instagram").alias("plataforma"), F.lit(1).alias("seq")), "demographics",
+                  F.struct(F.array(F.struct(F.array(*value).alias("values"))).alias("data")), variant=F.col("dim"))
+
+
+# The older shape
+_landed_query("instagram_audience_legacy", "instagram", ig_legacy_pages, landed.SEGMENTS, AS_OF_ACCOUNT, _ctes(
+    {"h": "F_H"}, final=("SELECT " + _sql_bucket_cols("instagram", "CAST(coalesce(max(cantidad), 0) AS BIGINT)")
+                         + " FROM h GROUP BY pagina_id, dim, name")))
+
+
+# ====================== runs that land late, unreadable pages, repaired deltas ======================
+
+@query("posts_late_run", _SQL_TWO_POST_RUNS)
+def q_posts_late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 on versions: the first run is merged after the second, and the second's rows stay."""
+    out = landed.fold_versions(_two_post_runs(spark, sf_dir), RUNS[::-1], {landed.POSTS}, ["facebook"])
+    return K.conform(out[landed.POSTS], S.T1_POSTS)
+
+
+@query("weekly_late_run", ORACLE["facebook_page_week"].replace(
+    "SELECT pagina_id, CAST(substr(end_time, 1, 10) AS DATE) AS dia, seq, value,",
+    "SELECT pagina_id, CAST(substr(end_time, 1, 10) AS DATE) AS dia, seq, "
+    "CASE WHEN extract(day FROM CAST(substr(end_time, 1, 10) AS DATE)) % 2 = 0 THEN value + 1 ELSE value END AS value,"))
+def q_weekly_late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 on versions: the second run has the even days only, one more each; the first one is merged after it."""
+    fb = _fx(spark, sf_dir, "F_B")
+    even = F.dayofmonth(E.iso_local_date("end_time")) % 2 == 0
+    pages = _in_run(fb_week_pages(fb), 1).unionByName(
+        _in_run(fb_week_pages(fb.where(even).withColumn("value", F.col("value") + 1)), 2))
+    out = landed.fold_versions(pages, RUNS[::-1], {landed.WEEKLY}, ["facebook"])
+    return K.conform(out[landed.WEEKLY], S.T3_WEEKLY)
+
+
+@query("repair_deltas", _ctes(
+    {"fa": "F_A"}, ("h", _SQL_STORED), ("b", _SQL_INCOMING),
+    ("t", f"SELECT {_T2_FROM_FA} FROM h WHERE NOT EXISTS (SELECT 1 FROM b WHERE " + PK_MATCH.format(a="b", b="h")
+     + f") UNION ALL SELECT {_T2_FROM_FA} FROM b"),
+    final=f"SELECT *, {sql_deltas(True)} FROM t {POST_WINDOW}"))
+def q_repair_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 in part: after a recompute and a run on top of it, only the run's posts are recomputed."""
+    stored, incoming = _stored_and_incoming(_fx(spark, sf_dir, "F_A"))
+    before = K.conform(D.recompute_deltas(_t2_from_fa(stored)), S.T2_DAILY)
+    table = K.upsert_daily_metrics(before, _t2_from_fa(incoming))
+    posts = incoming.select(*S.POST_KEY).distinct()
+    changed = D.repaired_deltas(table.join(posts, S.POST_KEY, "left_semi").select(*table.columns))
+    return K.conform(table.join(changed.select(*S.DAILY_KEY), S.DAILY_KEY, "left_anti").select(*table.columns)
+                     .unionByName(changed), S.T2_DAILY)
+
+
+@query("landing_rejects", _ctes({"fi": "F_I"}, (
+    "p", "SELECT page_seq, page_seq % 5 = 0 OR page_seq % 7 = 0 AS bad, sum(CASE WHEN pos % 10 = 3 THEN 1 ELSE 0 END) AS n "
+         "FROM fi GROUP BY page_seq"),
+    final=("SELECT 'facebook' AS plataforma, 'page_fb' AS pagina_id, 'posts' AS endpoint, CAST(NULL AS VARCHAR) AS entity_id, "
+           "CAST(NULL AS VARCHAR) AS variant, page_seq, CASE WHEN bad THEN 'ilegible' ELSE 'sin_clave' END AS motivo, "
+           "CAST(CASE WHEN bad THEN 1 ELSE n END AS BIGINT) AS cantidad FROM p WHERE bad OR n > 0")))
+def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth page is cut in the middle, every seventh has no payload, some items have no id."""
+    fi = _fx(spark, sf_dir, "F_I").withColumn("publicacion_id", F.when(F.col("pos") % 10 == 3, "").otherwise(
+        F.col("publicacion_id")))
+    pages = _landed(fi, lambda items, _: F.struct(items.alias("data")))
+    n, text = F.col("page_seq"), F.col("payload")
+    half = F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
+    return L.rejects(pages.withColumn("payload", F.when(n % 7 == 0, None).when(n % 5 == 0, half).otherwise(text)))

@@ -21,6 +21,7 @@ which ones are built).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -156,15 +157,17 @@ DRIVERS = {
 }
 
 
-def all_platforms(pages: DataFrame, as_of, only=None, platforms=None, held=None) -> dict[str, DataFrame]:
+def all_platforms(pages: DataFrame | Mapping[str, DataFrame], as_of, only=None, platforms=None,
+                  held=None) -> dict[str, DataFrame]:
     """Run every platform's adapter (or those named) on one run's pages and union per target table.
 
+    ``pages``: one frame, or one for each platform, which keeps the others out of a platform's plan.
     ``held``: the (platform, endpoint) pairs that the pages have (``landing.contents``); only the tables that
     can get rows of them are planned.
     """
     outs = []
     for p, fn in PLATFORMS.items():
-        if platforms is not None and p not in platforms:
+        if platforms is not None and p not in platforms or isinstance(pages, Mapping) and p not in pages:
             continue
         names = only
         if held is not None:
@@ -172,7 +175,8 @@ def all_platforms(pages: DataFrame, as_of, only=None, platforms=None, held=None)
                      if (only is None or t in only) and any((p, e) in held for e in ends)}
             if not names:
                 continue
-        outs.append(fn(pages.where(F.col("plataforma") == p), as_of, names))
+        own = pages[p] if isinstance(pages, Mapping) else pages.where(F.col("plataforma") == p)
+        outs.append(fn(own, as_of, names))
     names = dict.fromkeys(t for o in outs for t in o)
     return {t: jobs.union_platforms(*[o[t] for o in outs if t in o]) for t in names}
 
@@ -184,21 +188,22 @@ KEYS = {POSTS: S.POST_KEY, WEEKLY: S.WEEKLY_KEY, SEGMENTS: S.SEGMENT_KEY, CAMPAI
         CAMPAIGN_DAILY: S.CAMPAIGN_DAILY_KEY}
 
 
-def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None = None) -> dict[str, DataFrame]:
+def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None = None,
+              platforms=None) -> dict[str, DataFrame]:
     """All runs in ``pages`` (or those given, which saves looking), each by itself and in order, merged into
-    tables that start empty."""
+    tables that start empty; of all platforms or those given."""
     state: dict[str, DataFrame] = {}
     for run in L.runs(pages) if runs is None else runs:
-        for t, rows in all_platforms(L.of_run(pages, run), run[0] or as_of, only).items():
+        for t, rows in all_platforms(L.of_run(pages, run), run[0] or as_of, only, platforms).items():
             state[t] = MERGES[t](state.get(t), rows)
     return state
 
 
-def fold_versions(pages: DataFrame, runs: list[tuple], only) -> dict[str, DataFrame]:
+def fold_versions(pages: DataFrame, runs: list[tuple], only, platforms=None) -> dict[str, DataFrame]:
     """As ``fold_runs``, for tables whose rows have versions: ``runs`` may be in any order, and the result is that
     of their own order. T2 needs stored deltas too and is merged by ``sources.warehouse`` only."""
     state: dict[str, DataFrame] = {}
     for run in runs:
-        for t, rows in all_platforms(L.of_run(pages, run), run[0], only).items():
+        for t, rows in all_platforms(L.of_run(pages, run), run[0], only, platforms).items():
             state[t] = K.merge_versions(state.get(t), rows, KEYS[t], run, first=t == SEGMENTS)
     return state

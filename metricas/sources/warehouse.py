@@ -335,13 +335,7 @@ def recompute_deltas(spark: SparkSession, root: str, full: bool = False) -> None
                 return
             posts = c.before.raw(DAILY, new).select(*S.POST_KEY).distinct()
             rows = rows.join(posts, S.POST_KEY, "left_semi")
-        before = [F.col(f"delta_{m}").alias(f"_delta_{m}") for m in S.DELTA_METRICS]
-        again = D.recompute_deltas(rows.select("*", *before))
-        other = [~F.col(f"delta_{m}").eqNullSafe(F.col(f"_delta_{m}")) for m in S.DELTA_METRICS]
-        changed = other[0]
-        for o in other[1:]:
-            changed = changed | o
-        c.add(DAILY, again.where(changed).withColumn("_commit", F.lit(c.number).cast("long")))
+        c.add(DAILY, D.repaired_deltas(rows).withColumn("_commit", F.lit(c.number).cast("long")))
         c.repaired = c.number
 
 
