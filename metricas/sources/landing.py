@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from metricas import schemas as S
 
+LARGE_PAGE = 8 << 20  # characters of a payload whose items are spread over tasks
+SPREAD = "_spread"  # a column that says so, for all pages of a frame
 PAGE_COLS = ["plataforma", "pagina_id", "endpoint", "entity_id", "variant"]
 
 
@@ -116,6 +118,7 @@ class Contents:
     """Pages of a run by (platform, endpoint), and how many of all can't be read."""
     pages: dict[tuple[str, str], int]
     unreadable: int
+    largest: int = 0  # characters of the longest payload
 
     def check(self, allowed: float = 0.0) -> None:
         """An error if a larger share than ``allowed`` of the pages can't be read."""
@@ -127,8 +130,16 @@ class Contents:
 def contents(pages: DataFrame) -> Contents:
     """One small aggregation: a row for each endpoint."""
     rows = (pages.where(F.col("endpoint") != S.RUN_END).groupBy("plataforma", "endpoint")
-            .agg(F.count("*").alias("n"), F.sum(_unreadable().cast("long")).alias("bad")).collect())
-    return Contents({(r["plataforma"], r["endpoint"]): r["n"] for r in rows}, sum(r["bad"] for r in rows))
+            .agg(F.count("*").alias("n"), F.sum(_unreadable().cast("long")).alias("bad"),
+                 F.max(F.length("payload")).alias("length")).collect())
+    return Contents({(r["plataforma"], r["endpoint"]): r["n"] for r in rows}, sum(r["bad"] for r in rows),
+                    max((r["length"] or 0 for r in rows), default=0))
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """The same pages, whose items S1-S3 deal evenly to tasks, however many one page has (the order of arrival is
+    in ``seq``). It costs an exchange of the items, so it is for runs with a payload over LARGE_PAGE."""
+    return pages.withColumn(SPREAD, F.lit(True))
 
 
 def runs(pages: DataFrame, complete: bool = False) -> list[tuple]:
@@ -154,7 +165,10 @@ def _item_seq(pages: DataFrame, pos: Column) -> Column:
 def _explode_items(pages: DataFrame, items: Column) -> DataFrame:
     run = [c for c in S.RUN if c in pages.columns]
     exploded = pages.select(*PAGE_COLS, *run, "page_seq", F.posexplode_outer(items).alias("pos", "item"))
-    return (exploded.where(F.col("item").isNotNull())
+    found = exploded.where(F.col("item").isNotNull())
+    if SPREAD in pages.columns:  # one page's items would stay in the one task that reads it
+        found = found.hint("rebalance", F.col("page_seq"), F.col("pos"))
+    return (found
             .select(*PAGE_COLS, _item_seq(pages, F.col("pos")).alias("seq"), "item.*"))
 
 

@@ -32,14 +32,16 @@ def process_pages(spark: SparkSession, pages: DataFrame, tables_root: str, as_of
     Only what the run holds is planned. If a larger share than ``unreadable`` of its pages has no payload, or
     one that is no JSON, the run fails; what is left out otherwise is stored with its reason (``_rechazos``).
     """
-    pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         held = L.contents(pages)
         held.check(unreadable)
+        if held.largest > L.LARGE_PAGE:
+            pages = L.spread(pages)
         outputs = landed.all_platforms(pages, as_of, platforms=platforms, held=set(held.pages))
         W.merge_run(spark, tables_root, outputs, run, L.rejects(pages))
     finally:
-        pages.unpersist()
+        kept.unpersist()
 
 
 def process_runs(spark: SparkSession, pages: DataFrame, tables_root: str, todo: list[tuple], as_of=None,

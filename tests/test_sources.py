@@ -1,5 +1,9 @@
 """S1-S3 on awkward pages: malformed JSON, missing lists, empty pages, order."""
 
+import hashlib
+
+from pyspark.sql import functions as F
+
 from metricas import schemas as S
 from metricas.sources import landing as L
 
@@ -41,3 +45,25 @@ def test_series_and_pages_of_any_length(spark):
     rows = [("facebook", "pg", "post_insights", "p", None, 1, f'{{"data": [{{"name": "m", "values": [{values}]}}]}}', None, None)]
     pts = L.series_points(L.graph_page_items(spark.createDataFrame(rows, S.LANDED_PAGE), S.FB_SERIES))
     assert [r.value for r in pts.orderBy("seq").collect()] == [str(i) for i in range(6000)]
+
+
+def test_a_huge_page_feeds_many_tasks(spark):
+    items = ", ".join(f'{{"id": "{i} {hashlib.sha256(str(i).encode()).hexdigest()}"}}' for i in range(100_000))
+    rows = [("facebook", "pg", "posts", None, None, 1, f'{{"data": [{items}]}}', "r", None),
+            ("facebook", "pg", "posts", None, None, 2, '{"data": [{"id": "x"}]}', "r", None)]
+    pages = spark.createDataFrame(rows, S.LANDED_PAGE).coalesce(1)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "512k"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        many = L.graph_page_items(L.spread(pages), "id STRING")
+        by_task = many.groupBy(F.spark_partition_id()).agg(F.max("id"), F.count("*").alias("count")).collect()
+        assert len(by_task) > 4 and max(r["count"] for r in by_task) < 50_000
+        plain = L.graph_page_items(pages, "id STRING")
+        assert many.columns == plain.columns and many.exceptAll(plain).count() == 0 == plain.exceptAll(many).count()
+        assert L.contents(pages).largest > 2_000_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
