@@ -45,6 +45,18 @@ def repaired_deltas(daily: DataFrame) -> DataFrame:
     return again.where(~same).select(*daily.columns)
 
 
+def deltas_after(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """D1's deltas over a post's ``rows``: the value minus that of the row before, or the full value.
+
+    With ``carry`` also which row that was: ``_prev_date`` and ``_prev<column>`` for each column named.
+    """
+    w = _post_window()
+    came = {"_prev_date": "fecha_descarga", **{f"_prev{c}": c for c in carry}} if carry else {}
+    return rows.select(*rows.columns, *[(F.col(m) - F.coalesce(F.lag(m).over(w), F.lit(0).cast("bigint")))
+                                        .alias(f"delta_{m}") for m in METRICS],
+                       *[F.lag(c).over(w).alias(name) for name, c in came.items()])
+
+
 def ingest_deltas(batch: DataFrame, history: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Deltas of incoming rows against the latest stored row strictly before each date.
 
@@ -79,11 +91,8 @@ def ingest_deltas(batch: DataFrame, history: DataFrame | None = None, carry: Seq
              .where((F.col("_src") == 1) | (F.col("_has_new") == 0)).drop("_has_new"))
     else:
         u = b
-    w = _post_window()
-    prev = {m: F.coalesce(F.lag(m).over(w), F.lit(0).cast("bigint")) for m in METRICS}
-    came = {"_prev_date": "fecha_descarga", **{f"_prev{c}": c for c in carry}} if carry else {}
-    out = u.select(*u.columns, *[(F.col(m) - prev[m]).alias(f"delta_{m}") for m in METRICS],
-                   *[F.lag(c).over(w).alias(name) for name, c in came.items()])
+    out = deltas_after(u, carry)
+    came = ["_prev_date", *[f"_prev{c}" for c in carry]] if carry else []
     return out.where(F.col("_src") == 1).select(*cols, *extra, *[f"delta_{m}" for m in METRICS], *came)
 
 

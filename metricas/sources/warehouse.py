@@ -22,7 +22,8 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,38 +245,51 @@ def _add_keyed(c: Commit, name: str, rows: DataFrame, run: tuple) -> None:
 def _add_daily(c: Commit, batch: DataFrame, run: tuple) -> None:
     """K2 with D1 and J6: the previous row of a post is looked up in LATEST, which has one row for each post.
 
-    Only where a post's stored rows reach into the batch's days, or come from a later run, is its history in T2
-    needed; T2 isn't read at all if no post is like that. Rows of later runs whose previous row becomes one of
-    the batch's are revised, so that a late run leaves the deltas that it would have left in time.
+    The batch and the latest rows of its pages meet in one exchange by post, which serves the lookup, the deltas
+    and the posts' new latest rows. Only where a post's stored rows reach into the batch's days, or come from a
+    later run, is its history in T2 needed; T2 isn't read at all if no post is like that. Rows of later runs
+    whose previous row becomes one of the batch's are revised, so that a late run leaves the deltas that it would
+    have left in time.
     """
-    spark, metrics = c.before.spark, [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
-    own = c.versioned(_last(batch, T.StructType([S.T2_DAILY[m] for m in metrics]), S.DAILY_KEY), run)
+    given = [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
+    own = c.versioned(_last(batch, T.StructType([S.T2_DAILY[m] for m in given]), S.DAILY_KEY), run)
     with TB.kept(own) as b:
-        bounds = b.groupBy(*S.POST_KEY).agg(F.min("fecha_descarga").alias("_lo"), F.max("fecha_descarga").alias("_hi"))
-        latest = c.before.rows(LATEST, _pages_of(b)) if LATEST in c.before.manifest.sets else None
-        history, revised = None, None
-        if latest is not None:
-            known = latest.join(bounds, S.POST_KEY)
-            late = (F.col("fecha_descarga") >= F.col("_lo")) | _after(run)
-            history = known.where(~late).select(*S.DAILY_KEY, *S.DELTA_METRICS, *RUN)
-            n, lo, hi = known.where(late).agg(F.count("*"), F.min("_lo"), F.max("_hi")).first()
+        met = b.withColumn("_new", F.lit(True))
+        if LATEST in c.before.manifest.sets:
+            known = c.before.raw(LATEST).where(_pages_of(b)).select(*LATEST_ROW.fieldNames(), *[f.name for f in VERSION])
+            met = met.unionByName(known.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        met = met.repartition(*S.POST_KEY)
+        post = Window.partitionBy(*S.POST_KEY)
+        met = met.select(
+            "*", F.min(F.when(F.col("_new"), F.col("fecha_descarga"))).over(post).alias("_lo"),
+            F.max(F.when(F.col("_new"), F.col("fecha_descarga"))).over(post).alias("_hi"),
+            F.max(F.when(~F.col("_new"), _order(LATEST))).over(post).alias("_last"))
+        met = met.where(F.col("_lo").isNotNull() & (F.col("_new") | (_order(LATEST) == F.col("_last"))))
+        late = F.col("_last").isNotNull() & ((F.col("_last.fecha_descarga") >= F.col("_lo"))
+                                             | (_run("_last._run_date", "_last._run_id") > _run_of(run)))
+        met = D.deltas_after(met.withColumn("_late", F.coalesce(late, F.lit(False))), RUN).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n, lo, hi = met.where("_late").agg(F.count("*"), F.min("_lo"), F.max("_hi")).first()
+            columns = [*S.T2_DAILY.fieldNames(), *[f.name for f in _hidden(DAILY)]]
+            rows = met.where("_new and not _late").select(*columns)
             if n:
-                posts = known.where(late).select(*S.POST_KEY, "_lo", "_hi")
+                posts = met.where("_late").select(*S.POST_KEY, "_lo", "_hi").distinct()
                 stored = c.before.raw(DAILY).join(posts, S.POST_KEY)
                 # as of this run: what later runs wrote doesn't count
                 past = newest(stored.where((F.col("mes") <= F.trunc(F.lit(hi), "month"))
                                            & (F.col("fecha_descarga") < F.col("_hi")) & ~_after(run))
                               .select(*S.DAILY_KEY, *S.DELTA_METRICS, *[f.name for f in VERSION]), S.DAILY_KEY, DAILY)
-                history = history.unionByName(past.drop("_commit"))
+                again = b.join(posts.select(*S.POST_KEY), S.POST_KEY, "left_semi").select(*b.columns)
+                rows = rows.unionByName(D.ingest_deltas(again, past.drop("_commit"), carry=RUN).select(*columns))
                 newer = newest(stored.where((F.col("mes") >= F.trunc(F.lit(lo), "month"))
-                                            & (F.col("fecha_descarga") > F.col("_lo")))
-                               .select(*S.T2_DAILY.fieldNames(), *[f.name for f in _hidden(DAILY)]), S.DAILY_KEY, DAILY)
-                revised = D.revise_after_late(newer.where(_after(run)), b, RUN).withColumn("_commit", F.lit(c.number).cast("long"))
-        rows = D.ingest_deltas(b, history, carry=RUN)
-        rows = rows if revised is None else rows.unionByName(revised.select(*rows.columns))
-        if c.add(DAILY, rows):
-            c.add(LATEST, latest_by_key(b.select(*S.DAILY_KEY, *S.DELTA_METRICS, *[f.name for f in VERSION]),
-                                        S.POST_KEY, "fecha_descarga"))
+                                            & (F.col("fecha_descarga") > F.col("_lo"))).select(*columns), S.DAILY_KEY, DAILY)
+                revised = D.revise_after_late(newer.where(_after(run)), again, RUN)
+                rows = rows.unionByName(revised.withColumn("_commit", F.lit(c.number).cast("long")).select(*columns))
+            if c.add(DAILY, rows):
+                c.add(LATEST, met.where(F.col("_new") & (F.col("fecha_descarga") == F.col("_hi")))
+                      .select(*LATEST_ROW.fieldNames(), *[f.name for f in VERSION]))
+        finally:
+            met.unpersist()
 
 
 def _pages_of(batch: DataFrame) -> Column:

@@ -257,3 +257,22 @@ def test_only_what_a_run_holds_is_planned(spark):
         assert (sorted(map(str, some[t].collect())) if t in some else []) == want
     # a table is planned wherever its endpoints are there, and the endpoints are those that the adapters read
     assert {t for ends in landed.DRIVERS.values() for t in ends} == set(every)
+
+
+def test_one_exchange_by_post_serves_lookup_deltas_and_latest_rows(spark, monkeypatch):
+    root = folder()
+    merge(spark, root, {0: [(1, 0, 5), (2, 0, 7)]}, [0])
+    plans = []
+    write = W.Commit.add
+
+    def add(self, name, rows, level=0):
+        plans.append((name, "executedPlan:" + rows._jdf.queryExecution().executedPlan().toString()))
+        return write(self, name, rows, level)
+    monkeypatch.setattr(W.Commit, "add", add)
+    W.merge_run(spark, root, {W.DAILY: outputs(spark, 1, [(1, 1, 9), (2, 1, 1)])[W.DAILY]}, run(1))
+    plans = dict(plans)
+    for t in (W.DAILY, W.LATEST):
+        # a plan that has run shows its exchanges twice, as planned first and as run
+        shown = plans[t].split("executedPlan:", 1)[1].split("Initial Plan")[0]
+        assert shown.count("Exchange hashpartitioning") == 1, shown
+    assert daily(spark, root) == model({0: [(1, 0, 5), (2, 0, 7)], 1: [(1, 1, 9), (2, 1, 1)]})
