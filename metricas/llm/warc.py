@@ -155,7 +155,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     content_type, content_length, block_digest, payload_digest (the source's),
     block.
     """
-    title = F.trim(F.regexp_extract("payload", r"(?is)<title[^>]*>([^<]*)", 1))
+    title = F.trim(F.regexp_extract("shown", r"(?is)<title[^>]*>([^<]*)", 1))
     links = F.transform(F.regexp_extract_all("shown", F.lit(LINKS), F.lit(1)),
                         lambda x: F.when(x.rlike("^[\"']"), x.substr(F.lit(2), F.length(x) - 2)).otherwise(x))
     lines = F.concat_ws(
@@ -163,13 +163,14 @@ def derivatives(records: DataFrame) -> DataFrame:
         F.regexp_replace(F.regexp_replace("http", r"^HTTP/[^\r\n]*[\r\n]*", ""), r"(?m)^(?=[^\r\n])", "http-header-"),
         F.concat(F.lit("title: "), title), F.transform(links, lambda x: F.concat(F.lit("outlink: "), x)))
     rows = parsed(records)
-    both = (once(rows, *rows.columns, seen(F.col("payload")).alias("shown"))
-            .withColumn("derived", F.array(
-                F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"),
-                         lines.alias("block")),
-                F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                         plain_text(F.col("shown")).alias("block"))))
-            .drop("payload", "shown", "http").withColumn("derived", F.explode("derived")))
+    # the generator's array stands in the generator: of one in a column of its own Spark asks its size first,
+    # and so computes both blocks twice
+    both = once(rows, *rows.columns, seen(F.col("payload")).alias("shown")).select(
+        "page_id", "source_id", "target_uri", "date", "payload_digest", F.explode(F.array(
+            F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"),
+                     lines.alias("block")),
+            F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
+                     plain_text(F.col("shown")).alias("block")))).alias("derived"))
     return (both.select("page_id", "source_id", "target_uri", "date", "payload_digest", "derived.*")
             .select("page_id", "record_type", record_id(F.col("record_type"), F.col("source_id")).alias("record_id"),
                     F.col("source_id").alias("refers_to"), "target_uri", "date", "content_type",
