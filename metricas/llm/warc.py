@@ -134,7 +134,9 @@ def plain_text(shown: Column) -> Column:
     for reference, char in REFERENCES[:-1]:
         out = F.replace(out, F.lit(reference), F.lit(char))
     # the others are rare: a text is only taken apart where it has some
-    out = F.transform(F.array(out), lambda x: F.when(x.rlike("&(?!amp;)[#A-Za-z]"), resolved(x)).otherwise(x))[0]
+    def some(x: Column) -> Column:  # plain searches first: most texts have no & left but &amp;
+        return F.contains(F.replace(x, F.lit("&amp;"), F.lit("")), F.lit("&")) & x.rlike("&(?!amp;)[#A-Za-z]")
+    out = F.transform(F.array(out), lambda x: F.when(some(x), resolved(x)).otherwise(x))[0]
     out = F.replace(out, F.lit(REFERENCES[-1][0]), F.lit(REFERENCES[-1][1]))
     out = F.regexp_replace(out, r"[ \t\r\f]*+\n\s*+", "\n")
     return F.btrim(out, F.lit(" \t\n\v\f\r"))
