@@ -5,6 +5,9 @@ its own centroids; a pair of centroids is a cell, and every vector is listed in
 its cell. A query sorts the centroids of either half by distance and walks the
 pairs by summed distance with a heap, cell by cell, until the cells hold enough
 entries; all entries of the cells walked are ranked by exact distance.
+
+The lists lie in blocks, small cells together and large ones dealt by id over
+several, and a query is sent to the blocks of the cells that it walked only.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import gather, staged
 
 CENTROIDS = 64  # of each half: 4096 cells
 SAMPLE = 20_000  # vectors that the centroids are fitted on, at most
-BLOCK = 4_000  # vectors that one task takes, on average
+BLOCK = 4_000  # vectors of a block
 QUERY_BLOCK = 20_000  # queries that one task takes
 
 
@@ -108,13 +111,29 @@ def packed(df: DataFrame, dim: int) -> DataFrame:
     return df.where(F.size("vec") == dim).mapInArrow(run, "vec_id long, vec binary")
 
 
-def search(df: DataFrame, k: int = 10, query_every: int = 100, candidates: float = 0.45, least: int = 2000,
+def blocks_of(sizes: dict[int, int], cells: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each cell's list and in how many blocks it lies: neighbouring cells share a block until
+    it is full, a cell larger than a block has as many of its own as it needs."""
+    first, many, at, room = np.zeros(cells, np.int64), np.ones(cells, np.int64), 0, block
+    for c in range(cells):
+        n = sizes.get(c, 0)
+        if n > room and room < block:
+            at, room = at + 1, block
+        first[c], many[c] = at, max(1, -(-n // block))
+        if many[c] > 1:
+            at, room = at + int(many[c]), block
+        else:
+            room -= n
+    return first, many
+
+
+def search(df: DataFrame, k: int = 10, query_every: int = 100, candidates: float = 0.6,
            id_col: str = "vec_id", vec_col: str = "embedding", centroids: int = CENTROIDS) -> DataFrame:
     """The ``k`` nearest other vectors of each vector whose id is divisible by ``query_every``.
 
     Every vector is indexed; the codebooks are fitted on at most SAMPLE vectors,
     chosen by a hash of the id. A query looks at cells that hold the share
-    ``candidates`` of all vectors, and ``least`` at least. Vectors that are null,
+    ``candidates`` of all vectors, and k + 1 vectors at least. Vectors that are null,
     empty, all zero, of another dimension than the most frequent one of the
     sample, or hold null or non-finite values take no part; neither do rows
     without id. Equal vectors are ranked by id; a repeated id's rows are
@@ -142,18 +161,36 @@ def search(df: DataFrame, k: int = 10, query_every: int = 100, candidates: float
     listed = staged(packed(rows, dim).mapInArrow(assign, "vec_id long, vec binary, cell int"), "multi-index")
     sizes = {r["cell"]: r["count"] for r in listed.groupBy("cell").count().collect()}  # CENTROIDS**2 at most
     total = sum(sizes.values())
-    enough = max(least, k + 1, int(candidates * total))
-    parts, lots = -(-total // BLOCK), -(-total // (query_every * QUERY_BLOCK))
+    enough = max(k + 1, int(np.ceil(candidates * total)))
+    lots = -(-total // (query_every * QUERY_BLOCK))
     walker = spark.sparkContext.broadcast((books.value, sizes))
+    lists = spark.sparkContext.broadcast(blocks_of(sizes, len(books.value[0]) * len(books.value[1]), BLOCK))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, many = lists.value
+        for b in batches:
+            cell = b.column("cell").to_numpy()
+            spread = (b.column("vec_id").to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            block = first[cell] + (spread.astype(np.int64) % many[cell])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(block)], names=["vec_id", "vec", "cell", "block"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Index(*walker.value)
+        own, (first, many) = Index(*walker.value), lists.value
+        listed = np.zeros(len(first), bool)
+        listed[list(own.sizes)] = True
         for b in batches:
             if b.num_rows:
-                da, db = own.distances(matrix(b.column("vec"), dim))
-                reach = [own.reach(x, y, enough) for x, y in zip(da, db)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(reach, pa.float64())],
-                                                 names=["query_id", "query", "reach"])
+                to = []
+                reach = []
+                for x, y in zip(*own.distances(matrix(b.column("vec"), dim))):
+                    reach.append(own.reach(x, y, enough))
+                    walked = np.flatnonzero(((x[:, None] + y).ravel() <= reach[-1]) & listed)
+                    to.append(np.unique(gather(first[walked], many[walked])))
+                n = [len(t) for t in to]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.take(pa.array(np.repeat(np.arange(b.num_rows), n))).columns,
+                     pa.array(np.repeat(np.array(reach), n)), pa.array(np.concatenate(to).astype(np.int64))],
+                    names=["query_id", "query", "reach", "block"])
 
     def rank(queries: pa.Table, entries: pa.Table) -> pa.Table:
         own, out = Index(*walker.value), [[], [], []]
@@ -176,15 +213,12 @@ def search(df: DataFrame, k: int = 10, query_every: int = 100, candidates: float
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
                         names=["query_id", "vec_id", "score"])
 
-    # the lists are dealt by id, so that a cell with many vectors is spread over all parts;
-    # every part is asked by every query, and only ranks the cells that the query walked
     probes = (listed.where(F.col("vec_id") % query_every == 0).select("vec_id", "vec")
-              .mapInArrow(probe, "query_id long, query binary, reach double")
-              .withColumn("lot", F.pmod(F.xxhash64("query_id"), F.lit(lots)).cast("int"))
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
-    entries = (listed.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
+              .mapInArrow(probe, "query_id long, query binary, reach double, block long")
+              .withColumn("lot", F.pmod(F.xxhash64("query_id"), F.lit(lots)).cast("int")))
+    entries = (listed.mapInArrow(place, "vec_id long, vec binary, cell int, block long")
                .withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))))
-    found = (probes.groupBy("part", "lot").cogroup(entries.groupBy("part", "lot"))
+    found = (probes.groupBy("block", "lot").cogroup(entries.groupBy("block", "lot"))
              .applyInArrow(rank, "query_id long, vec_id long, score double"))
     best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return (found.withColumn("rank", best).where(F.col("rank") <= k)

@@ -56,7 +56,7 @@ def test_search_with_all_cells_is_exact(vector_table):
 
 
 def test_search_recall(vector_table):
-    got, want = found(ann.search(vector_table, least=0).collect()), exact()
+    got, want = found(ann.search(vector_table).collect()), exact()
     hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
 
@@ -262,3 +262,23 @@ def test_other_and_malformed_records_are_left_out(spark):
     twice = warc.derivatives(good.unionByName(good))
     assert twice.count() == 4 and twice.distinct().count() == 2
     assert twice.where(F.col("block").isNull()).count() == 0
+
+
+def test_lists_lie_in_blocks_of_their_cells_only():
+    sizes = {0: 3, 1: 4, 3: 25, 4: 2, 7: 9}
+    first, many = ann.blocks_of(sizes, 8, 10)
+    assert list(zip(first[[0, 1, 3, 4, 7]].tolist(), many[[0, 1, 3, 4, 7]].tolist())) == [
+        (0, 1), (0, 1), (1, 3), (4, 1), (5, 1)]
+    load = {}
+    for c, n in sizes.items():
+        for b in range(first[c], first[c] + many[c]):
+            load[b] = load.get(b, 0) + n / many[c]
+    assert max(load.values()) <= 10
+
+
+def test_a_cell_that_holds_most_vectors(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(300)] + [(i, [float(i), 0.0, 1.0, -float(i)]) for i in range(300, 400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, candidates=1.0, query_every=50, centroids=4).where("query_id < 300").collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [
+        (q, n + 1, v, 0.0) for q in range(0, 300, 50) for n, v in enumerate([v for v in range(12) if v != q][:10])]
