@@ -1,15 +1,17 @@
 """Jaccard join of documents' word shingles with set-relation skipping.
 
-The work falls into these steps; nothing grows with the square of a group:
+The work falls into these steps:
 
 1. Documents with equal shingle sets are one class; its smallest id stands for it.
 2. Shingles are grouped by hash; each class learns which of its shingles another
    class holds too. A class that shares less than the threshold of its set can
    link with nothing and leaves.
 3. The classes left order their shingles by rarity and index a prefix: two sets
-   over the threshold share an indexed shingle. A list's entries carry set size
-   and position, and entries are compared within blocks of list and size, so that
-   whole blocks are skipped; sizes and positions rule out more before any set is read.
+   over the threshold share an indexed shingle. A list's entries lie in blocks of
+   set size and position. An entry tells up to which position another one of its
+   list may stand, and meets the blocks up to there only: the others are skipped
+   whole, and entries that stand too late for each other never meet, however many
+   a list has. Sizes and positions rule out more before any set is read.
 4. A list's smallest set answers first: its exact overlap with each other set of
    the list is counted. The others' answers derive from it: sets it links with
    are one component and are not compared again, and a pair whose distances to
@@ -181,6 +183,27 @@ def _possible(x: str, y: str, percent: int) -> Column:
     return _links(bound, F.col(f"{x}.n"), F.col(f"{y}.n"), percent)
 
 
+def _room(n: Column, pos: Column, percent: int) -> Column:
+    """Up to which position another set's first shared shingle may stand, if this set's stands at ``pos``.
+
+    The shingles before it are in one of the sets only, at most n - pos are in both.
+    """
+    return F.floor((n - pos) * (100 - percent) / percent - pos + 1e-9)
+
+
+def _stretch(pos: Column) -> Column:
+    """Block of a position: 0, 1-3, 4-15, 16-63 and so on."""
+    return F.ceil(F.log(pos + 1) / math.log(4) - 1e-9).cast("int")
+
+
+def meetings(entry: DataFrame) -> DataFrame:
+    """Pairs x, y of entries of one list whose blocks may hold a pair over the threshold, x being the smaller set."""
+    x = (entry.withColumn("block", F.explode(F.array("block", F.col("block") + 1)))
+         .withColumn("stretch", F.explode(F.sequence(F.lit(0), _stretch(F.col("room"))))).alias("x"))
+    return (x.join(entry.withColumn("stretch", _stretch(F.col("pos"))).alias("y"), ["token", "block", "stretch"])
+            .where("struct(x.n, x.rep) < struct(y.n, y.rep)"))
+
+
 def _counted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Exact overlap of each pair (a, b)."""
     def side(k: str) -> DataFrame:
@@ -223,12 +246,12 @@ def link_classes(sets: DataFrame, percent: int) -> DataFrame:
              .withColumn("far", F.when(F.col("lead") == F.col("rep"), F.lit(0.0)).otherwise(F.col("far")))
              # sets of one block and the next are the only ones whose sizes may agree
              .withColumn("block", F.floor(F.log("n") / math.log(101.0 / percent)).cast("int"))
-             .select("token", "block", "rep", "n", "pos", "component", "lead", "far"))
+             .withColumn("room", _room(F.col("n"), F.col("pos"), percent)).where("room >= 0")
+             .select("token", "block", "rep", "n", "pos", "room", "component", "lead", "far"))
     entry = staged(entry, "open-lists")
     allowed = 1 - percent / 100.0 + 1e-9
-    x = entry.withColumn("block", F.explode(F.array("block", F.col("block") + 1))).alias("x")
-    pairs = (x.join(entry.alias("y"), ["token", "block"])
-             .where("x.component <> y.component and struct(x.n, x.rep) < struct(y.n, y.rep)")
+    pairs = (meetings(entry)
+             .where("x.component <> y.component and x.pos <= y.room and y.pos <= x.room")
              .where("x.rep <> x.lead and y.rep <> y.lead")  # the first set's answers are known
              .where(F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= allowed, F.lit(True)))
              .where(_possible("x", "y", percent))

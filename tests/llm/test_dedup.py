@@ -1,6 +1,7 @@
 """Exact, substring, line and near-duplicate operators against brute force."""
 
 import hashlib
+import random
 
 import pytest
 
@@ -113,3 +114,30 @@ def test_empty_tables_and_repeated_rows(frame, op):
     got = op(frame([(1, text), (1, text), (2, text), (3, None), (3, None)])).collect()
     assert sorted(r.doc_id for r in got) == [1, 1, 2, 3, 3]
     assert len({str(r) for r in got if r.doc_id == 1}) == 1
+
+
+def boilerplate(n):
+    """A line of 14 words that all documents share, and three words of their own: Jaccard 0.63, no links."""
+    shared = " ".join(f"license{i}" for i in range(14))
+    return [(d, f"{shared} a{d} b{d} c{d}") for d in range(n)]
+
+
+def test_entries_that_stand_too_late_never_meet(spark, frame, monkeypatch):
+    met = []
+    meetings = ngram_join.meetings
+    monkeypatch.setattr(ngram_join, "meetings", lambda entry: met.append((entry.count(), meetings(entry).count())) or meetings(entry))
+    got = {r.doc_id: r.component_id for r in ngram_join.join(frame(boilerplate(600))).collect()}
+    assert got == {d: d for d in range(600)}
+    assert met and all(pairs == 0 for _, pairs in met)
+
+
+def test_shared_lines_of_many_lengths_against_brute_force(spark, frame):
+    r = random.Random(8)
+    shared = [f"license{i}" for i in range(40)]
+    rows = []
+    for d in range(150):
+        own = [f"w{r.randrange(30)}" for _ in range(r.choice([0, 1, 2, 3, 5, 9, 14]))]
+        cut = r.randrange(5, 41)
+        rows.append((d, " ".join(own[:len(own) // 2] + shared[:cut] + own[len(own) // 2:])))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join(frame(rows)).collect()}
+    assert got == classes(rows)

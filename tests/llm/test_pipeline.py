@@ -15,7 +15,8 @@ spec = importlib.util.spec_from_file_location("corpus_pipeline", Path(__file__).
 corpus_pipeline = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(corpus_pipeline)
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, rep string, found string"
+COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, rep string, found string, "
+           "cut string, score string, languages string, lang_pred string, _cut_text string, component_id long")
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +37,7 @@ def docs(spark):
         rows.append((i, text, lang, "s", len(text)))
     rows += [(100, None, None, "s", None), (101, "", None, None, 0), (102, "12 !?", "en", "s", 5), (None, "no id here", "en", "s", 10)]
     rows += [rows[3]]
-    return spark.createDataFrame([(*x, "r", "f") for x in rows], COLUMNS)
+    return spark.createDataFrame([(*x, "r", "f", "c", "mine", "l", "p", "t", -7) for x in rows], COLUMNS)
 
 
 def texts(df):
@@ -74,6 +75,9 @@ def test_stages_in_order(spark, docs):
         for a, kind, b in pattern_spans(t):
             out, at = out + t[at:a] + f"<{['EMAIL', 'IP', 'CARD', 'PHONE'][kind]}>", b
         assert texts_of(masked, d) == out + t[at:]
+    for rows in (kept, cut, single, masked):  # columns that bear names of the operators' own
+        assert rows.columns == docs.columns
+        assert {(r.cut, r.score, r.languages, r.lang_pred, r.component_id) for r in rows.collect()} == {("c", "mine", "l", "p", -7)}
     packed = stages["packing"](spark, masked, "").collect()
     assert {r.doc_id for r in packed} == set(texts(masked)) and max(r.offset + r.length for r in packed) <= 4096
 
