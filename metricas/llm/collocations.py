@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import gather, staged, text_buffers, text_slices
-from .words import LOWER, Words, constants, mix
+from .words import LOWER, RADIX, RADIX_INVERSE, Words, constants, mix, powers
 
 TRIGGER = 16  # words of a chunk before its overlap, on average
 MOST_BITS = 27  # of the filter, as a power of two: 16 MB
@@ -37,6 +37,25 @@ BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 SPACED = np.where(BREAK, 0x20, LOWER).astype(np.uint8)  # as text of words only
 
 
+FACTORS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def factors(base: int, n: int) -> np.ndarray:
+    if (base, n) not in FACTORS:
+        FACTORS[base, n] = powers(base, n)
+    return FACTORS[base, n]
+
+
+def numbers_of(words: Words, seed: int) -> np.ndarray:
+    """As ``words.numbers(seed)``; the powers, the same for every batch, are made once in a task."""
+    n = len(words.data)
+    room = 1 << n.bit_length()
+    sums = np.zeros(n + 1, U)
+    np.cumsum(constants(256, seed)[words.data] * factors(RADIX, room)[:n], out=sums[1:])
+    raw = (sums[words.ends] - sums[words.starts]) * factors(RADIX_INVERSE, room)[words.starts]
+    return mix(raw + (words.ends - words.starts).astype(U) * U(RADIX))
+
+
 def stream(data: np.ndarray, offs: np.ndarray, overlap: int) -> tuple[np.ndarray, ...]:
     """The texts as one stream of tokens: words, a break between pieces, ``overlap`` breaks at a text's end.
 
@@ -52,7 +71,7 @@ def stream(data: np.ndarray, offs: np.ndarray, overlap: int) -> tuple[np.ndarray
     place = np.arange(len(rows)) + np.cumsum(apart) + overlap * rows
     n = len(rows) + int(apart.sum()) + overlap * (len(offs) - 1)
     starts, ends, number = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, U)
-    starts[place], ends[place], number[place] = words.starts, words.ends, words.numbers(seed=13)
+    starts[place], ends[place], number[place] = words.starts, words.ends, numbers_of(words, 13)
     tokens = words.counts() + np.bincount(rows[apart], minlength=len(offs) - 1) + overlap
     return starts, ends, number, np.cumsum(tokens) - tokens
 
@@ -136,7 +155,7 @@ class Chunks:
         own = Words(*text_buffers(pa.array([f"{x}" for x in langs.tolist()])))
         salt = np.array([np.bitwise_xor.reduce(n) if len(n) else U(0) for n in
                          np.split(own.numbers(seed=19), own.offs[1:-1])], U)
-        self.number = mix(words.numbers(seed=23) + mix(salt)[lang][self.row])
+        self.number = mix(numbers_of(words, 23) + mix(salt)[lang][self.row])
         self.lang = lang
         self.times = batch.column("n").to_numpy()
 
