@@ -28,7 +28,7 @@ TRIGGER = 16  # words of a chunk before its overlap, on average
 MOST_BITS = 27  # of the filter, as a power of two: 16 MB
 BITS_EACH = 16  # of the filter for each frequent pair, while it has room
 BLOCK_BITS = 16  # of the filter that one row holds
-SLICE_BYTES = 6 << 20  # of the dictionary that a task counts phrases in at once
+SLICE_BYTES = 4 << 20  # of the dictionary that a task counts phrases in at once
 UNKNOWN = "und"
 U = np.uint64
 
@@ -37,22 +37,21 @@ BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 SPACED = np.where(BREAK, 0x20, LOWER).astype(np.uint8)  # as text of words only
 
 
-FACTORS: dict[tuple[int, int], np.ndarray] = {}
+FACTORS: dict[int, np.ndarray] = {}
 
 
 def factors(base: int, n: int) -> np.ndarray:
-    if (base, n) not in FACTORS:
-        FACTORS[base, n] = powers(base, n)
-    return FACTORS[base, n]
+    if base not in FACTORS or len(FACTORS[base]) < n:
+        FACTORS[base] = powers(base, (n >> 20) + 1 << 20)
+    return FACTORS[base]
 
 
 def numbers_of(words: Words, seed: int) -> np.ndarray:
     """As ``words.numbers(seed)``; the powers, the same for every batch, are made once in a task."""
     n = len(words.data)
-    room = 1 << n.bit_length()
     sums = np.zeros(n + 1, U)
-    np.cumsum(constants(256, seed)[words.data] * factors(RADIX, room)[:n], out=sums[1:])
-    raw = (sums[words.ends] - sums[words.starts]) * factors(RADIX_INVERSE, room)[words.starts]
+    np.cumsum(constants(256, seed)[words.data] * factors(RADIX, n)[:n], out=sums[1:])
+    raw = (sums[words.ends] - sums[words.starts]) * factors(RADIX_INVERSE, n)[words.starts]
     return mix(raw + (words.ends - words.starts).astype(U) * U(RADIX))
 
 
