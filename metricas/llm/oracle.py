@@ -65,8 +65,14 @@ WITH line AS (
          unnest(range(0, len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text <> ''),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM line),
-cut AS (
-  SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS ends FROM hashed),
+hit AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER w, 0)) % 4 = 0 AS hit, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+run AS (  -- where the run of neighbouring hits begins
+  SELECT *, max(i) FILTER (hit AND NOT before) OVER (PARTITION BY doc_id ORDER BY i) AS s
+  FROM (SELECT *, coalesce(lag(hit) OVER (PARTITION BY doc_id ORDER BY i), false) AS before FROM hit)),
+cut AS (  -- chunks of two lines at least: every other hit of a run ends one, of a text's first lines from the second on
+  SELECT *, hit AND (i - s) % 2 = (s = 0)::INT AND i <> n - 2 AS ends FROM run),
 placed AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM cut),
