@@ -10,8 +10,11 @@ extensions to the full length, are grouped by a 96-bit hash to find the
 smallest document holding each.
 
 Copies never meet as pairs: of the documents in one slice of an input partition
-that share an anchor or window, only the smallest goes to the shuffle, the
-answers of the others are settled on the spot.
+that share an anchor or window, only the smallest asks in the anchor's or
+window's bucket; the answers of the others are settled on the spot and go back
+in rows dealt by slice, past that bucket. What many documents of a slice hold is
+asked once in a task, so that a passage in a third of all documents gives its
+bucket one entry for each task.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucket_count, gather, text_buffers, text_bytes, text_slices
-from .words import Words, inside, ngrams
+from .words import Words, inside, mix, ngrams
 
 PERIOD, COVER = 7, (0, 1, 3)  # differences of the cover give every residue modulo the period
+MANY = 8  # holders in a slice, from which on a task remembers an anchor or window for its later slices
 
 POSTINGS = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("at", pa.binary()), ("hashes", pa.binary()),
                       ("more", pa.binary()), ("places", pa.binary()), ("settled", pa.bool_())])
@@ -57,6 +61,11 @@ def by_bucket(bucket: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.n
             yield int(bucket[part[0]]), part
 
 
+def bucket_of_slice(docs: np.ndarray, buckets: int) -> int:
+    """Where a slice's settled answers go: any bucket, but the same one whenever the slice is made again."""
+    return int(mix(docs[:1].view(np.uint64))[0] % np.uint64(buckets))
+
+
 def runs_of_equal(*keys: np.ndarray) -> np.ndarray:
     """Start of each run of equal neighbours in sorted keys, with the total at the end."""
     n = len(keys[0])
@@ -94,6 +103,7 @@ def anchor_postings(window: int, buckets: int):
     ``more`` marks a posting whose anchor other documents of the slice hold too.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(0, np.uint64)  # anchors that many documents of an earlier slice hold
         for part in text_slices(batches):
             docs = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             w = Words(*text_buffers(part.column("text")))
@@ -107,17 +117,21 @@ def anchor_postings(window: int, buckets: int):
             h, d = h[keep], d[keep]
             ends = runs_of_equal(h)
             first, size = ends[:-1], np.diff(ends)
-            later = np.ones(len(h), bool)
-            later[first] = False
+            asks = ~np.isin(h[first], known, assume_unique=True)
+            settled = np.ones(len(h), bool)
+            settled[first[asks]] = False
+            known = np.union1d(known, h[first[asks & (size >= MANY)]])
             out = []
-            for bucket, at, settled in ((h[first], first, False), (h[later], np.flatnonzero(later), True)):
-                if not len(at):
-                    continue
-                of = ((bucket >> ANCHOR_BITS) % np.uint64(buckets)).astype(np.int32)
-                for b, i in by_bucket(of, np.lexsort((d[at], of))):
-                    ids, index = np.unique(d[at[i]], return_inverse=True)
-                    out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2), planes(h[at[i]], ANCHOR_BYTES),
-                                b"" if settled else np.packbits(size[i] > 1).tobytes(), b"", settled))
+            at, more = first[asks], size[asks] > 1
+            of = ((h[at] >> ANCHOR_BITS) % np.uint64(buckets)).astype(np.int32)
+            for b, i in by_bucket(of, np.lexsort((d[at], of))):
+                ids, index = np.unique(d[at[i]], return_inverse=True)
+                out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2), planes(h[at[i]], ANCHOR_BYTES),
+                            np.packbits(more[i]).tobytes(), b"", False))
+            if settled.any():
+                ids, index = np.unique(d[settled], return_inverse=True)
+                out.append((bucket_of_slice(docs, buckets), ids.tobytes(), planes(index.astype(np.uint16), 2),
+                            planes(h[settled], ANCHOR_BYTES), b"", b"", True))
             yield pa.RecordBatch.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
 
@@ -169,6 +183,8 @@ def window_postings(window: int, buckets: int):
     length = window - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # windows that many documents of an earlier slice hold, with the smallest holder
+        known, known_extra, known_doc = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for part in text_slices(batches):
             docs = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             w = Words(*text_buffers(part.column("text")))
@@ -198,18 +214,36 @@ def window_postings(window: int, buckets: int):
             doc = docs[row]
             order = np.lexsort((doc, extra, key))
             ends = runs_of_equal(key[order], extra[order])
-            least = np.repeat(doc[order][ends[:-1]], np.diff(ends))
+            first, size = order[ends[:-1]], np.diff(ends)
+            least = doc[first]
+            asks = np.ones(len(first), bool)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, key[first]), len(known) - 1)
+                same = known[at] == key[first]
+                asks = ~(same & (known_extra[at] == extra[first]) & (known_doc[at] < least))
+                new = ~same & (size >= MANY)
+            else:
+                new = size >= MANY
             mine = np.zeros(len(order), bool)
-            mine[order] = least == doc[order]  # the slice's smallest holder asks; the others have their answer
+            # the slice's smallest holder asks; the others have their answer
+            mine[order] = np.repeat(asks, size) & (np.repeat(least, size) == doc[order])
+            if new.any():
+                joined = np.concatenate([known, key[first[new]]])
+                known, at = np.unique(joined, return_index=True)
+                known_extra = np.concatenate([known_extra, extra[first[new]]])[at]
+                known_doc = np.concatenate([known_doc, least[new]])[at]
             out = []
-            of = (key % np.uint64(buckets)).astype(np.int32)
-            for at, settled in ((np.flatnonzero(mine), False), (np.flatnonzero(~mine), True)):
-                for b, i in by_bucket(of[at], np.lexsort((place[at], doc[at], of[at]))):
-                    i = at[i]
-                    ids, index = np.unique(doc[i], return_inverse=True)
-                    out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2),
-                                b"" if settled else key[i].tobytes(), b"" if settled else extra[i].tobytes(),
-                                planes(place[i], 4), settled))
+            at = np.flatnonzero(mine)
+            of = (key[at] % np.uint64(buckets)).astype(np.int32)
+            for b, i in by_bucket(of, np.lexsort((place[at], doc[at], of))):
+                i = at[i]
+                ids, index = np.unique(doc[i], return_inverse=True)
+                out.append((b, ids.tobytes(), planes(index.astype(np.uint16), 2), key[i].tobytes(), extra[i].tobytes(),
+                            planes(place[i], 4), False))
+            if not mine.all():
+                ids, index = np.unique(doc[~mine], return_inverse=True)
+                out.append((bucket_of_slice(docs, buckets), ids.tobytes(), planes(index.astype(np.uint16), 2), b"", b"",
+                            planes(place[~mine], 4), True))
             yield pa.RecordBatch.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
 
@@ -285,9 +319,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     def per_document(found: DataFrame) -> DataFrame:
         return found.groupBy("doc_id").agg(F.collect_list("found").alias("found"))
 
-    anchors = (texts.mapInArrow(anchor_postings(window, buckets), POSTINGS_DDL)
+    # a task that runs again must make the same slices, since their answers go to several buckets: rows in order of id
+    anchors = (texts.sortWithinPartitions("doc_id").mapInArrow(anchor_postings(window, buckets), POSTINGS_DDL)
                .groupBy("bucket").applyInArrow(shared_anchors, ANSWERS_DDL))
-    windows = (placed.join(per_document(anchors), "doc_id")
+    windows = (placed.join(per_document(anchors), "doc_id").sortWithinPartitions("doc_id")
                .mapInArrow(window_postings(window, buckets), POSTINGS_DDL)
                .groupBy("bucket").applyInArrow(later_windows, ANSWERS_DDL))
     return (placed.join(per_document(windows), "doc_id", "left")

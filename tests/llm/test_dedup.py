@@ -3,9 +3,13 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from metricas.llm import exact_dedup, line_dedup, ngram_join, substring_dedup
+from metricas.llm.common import text_buffers
+from metricas.llm.words import Words
 
 from .brute import BLANK, classes, split
 from .conftest import corpus
@@ -32,7 +36,8 @@ def test_exact_dedup_merges_over_several_rounds(frame, rows):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
 
 
-def test_substring_dedup(frame, rows):
+def without_windows(rows):
+    """(words, removed words, digest of the rest) of each document, by looking every window up."""
     words, first = {d: split(t) for d, t in rows}, {}
     for d in sorted(words):
         for i in range(len(words[d]) - 12):
@@ -41,11 +46,91 @@ def test_substring_dedup(frame, rows):
     for d, w in words.items():
         gone = {k for i in range(len(w) - 12) if first[tuple(w[i:i + 13])] < d for k in range(i, i + 13)}
         want[d] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+    return want
+
+
+def test_substring_dedup(frame, rows):
+    want = without_windows(rows)
     got = substring_dedup.digest_rows(substring_dedup.dedup(frame(rows))).collect()
     assert {r.doc_id: tuple(r)[1:] for r in got} == want and len(got) == len(rows)
     assert sum(v[1] for v in want.values()) > 500
 
 
+@pytest.fixture
+def small_batches(spark):
+    """Many slices in a task, and no broadcast joins."""
+    ours = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in ours}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def third(n, passage, sep=" "):
+    """Texts of own words, and the passage in a third of them, at places of any residue."""
+    r = random.Random(n)
+    out = []
+    for d in range(n):
+        own = [f"o{d}_{i}" if r.random() < 0.7 else f"c{r.randrange(40)}" for i in range(r.choice([3, 8, 20, 33]))]
+        if d % 3 == 0:
+            own[d % 7:d % 7] = passage
+        out.append((d, sep.join(own)))
+    r.shuffle(out)
+    return out
+
+
+def test_a_passage_in_a_third_of_the_documents(frame, small_batches):
+    rows = third(900, [f"p{i}" for i in range(25)])
+    got = substring_dedup.digest_rows(substring_dedup.dedup(frame(rows))).collect()
+    want = without_windows(rows)
+    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+    assert sum(v[1] for v in want.values()) >= 25 * 299
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join(frame(rows)).collect()}
+    assert got == classes(rows)
+
+
+def test_lines_in_a_third_of_the_documents(frame, small_batches):
+    rows = third(900, [f"license line {i}" for i in range(12)], "\n")
+    seen, want = set(), {}
+    for d, t in sorted(rows):
+        own = line_dedup.chunks(t)
+        gone = [c for c in own if len(c) > 1 and tuple(c) in seen]
+        want[d] = sum(map(len, gone))
+        seen |= {tuple(c) for c in own}
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup(frame(rows)).collect()} == want
+    assert sum(want.values()) > 299 * 4
+
+
+def test_a_task_asks_once_for_what_many_documents_hold():
+    rows = sorted(third(900, [f"p{i}" for i in range(25)]))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows[i:i + 90]], "text": [t for _, t in rows[i:i + 90]]})
+               for i in range(0, 900, 90)]
+    found = [b.append_column("found", pa.array([[substring_dedup.planes(h, 5)] if len(h) else [] for h in anchors_of(b)],
+                                              pa.list_(pa.binary())))
+             for b in batches]
+
+    def asked(run, tasks):
+        return sum(len(substring_dedup.unplanes(r["at"], 2, np.uint16)) for own in tasks
+                   for out in run(iter(own)) for r in out.to_pylist() if not r["settled"])
+    for step, own, least in ((substring_dedup.anchor_postings, batches, 15), (substring_dedup.window_postings, found, 13)):
+        one, many = asked(step(13, 4), [own]), asked(step(13, 4), [[b] for b in own])
+        assert many - one >= least * 9  # nine further slices needn't ask for the passage's anchors and windows
+
+
+def anchors_of(batch):
+    """The hashes of the anchors of each row that hold nothing but words of the passage."""
+    out = []
+    for text in batch.column("text").to_pylist():
+        w = Words(*text_buffers(pa.array([text])))
+        places, hashes = substring_dedup.cover_anchors(w, w.numbers(), 13)
+        words = split(text)
+        out.append(hashes[[all(x[0] == "p" for x in words[p:p + 7]) for p in places]] if len(places) else hashes)
+    return out
+
+
 def test_every_pair_of_positions_shares_an_anchor():
     for i in range(substring_dedup.PERIOD):
         for j in range(substring_dedup.PERIOD):
