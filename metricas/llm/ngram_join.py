@@ -3,9 +3,13 @@
 The work falls into these steps:
 
 1. Documents with equal shingle sets are one class; its smallest id stands for it.
-2. Shingles are grouped by hash; each class learns which of its shingles another
-   class holds too. A class that shares less than the threshold of its set can
-   link with nothing and leaves.
+2. Texts lie in slices of some megabytes, by id. A slice counts its shingles and
+   sends each once, whatever number of its documents holds it, to the bucket of
+   its hash; the bucket adds the slices' counts up and answers each slice with one
+   byte a shingle. So a passage in a third of all documents gives its bucket one
+   entry a slice, and each class learns which of its shingles another one holds
+   too. A class that shares less than the threshold of its set can link with
+   nothing and leaves.
 3. The classes left order their shingles by rarity and index a prefix: two sets
    over the threshold share an indexed shingle. A list's entries lie in blocks of
    set size and position. An entry tells up to which position another one of its
@@ -31,14 +35,16 @@ from pyspark.sql import functions as F
 
 from .common import bucket_count, staged, text_buffers, text_bytes, text_slices
 from .components import components
+from .substring_dedup import planes, unplanes
 from .words import Words, constants, inside, mix, ngrams
 
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
 SETS_DDL = "doc_id long, n long, d1 long, d2 long"
-POSTINGS = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
-POSTINGS_DDL = "bucket int, docs binary, counts binary, hashes binary"
-SHARED = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary()), ("ranks", pa.binary())])
-SHARED_DDL = "doc_id long, hashes binary, ranks binary"
+POSTINGS = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
+POSTINGS_DDL = "slice int, bucket int, hashes binary, counts binary"
+RANKS = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("ranks", pa.binary())])
+RANKS_DDL = "slice int, bucket int, ranks binary"
+PER_SLICE = 4 << 20  # bytes of text in a slice, on average
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,83 +92,90 @@ def describe(size: int):
     return run
 
 
+def slice_shingles(group: pa.Table, size: int, buckets: int):
+    """A slice's sets, of equal ones only the smallest id's, and its distinct shingles in order of bucket and hash.
+
+    Returns ids; size and digests of their sets; set number and shingle number of each entry; the shingles; where
+    each bucket's begin.
+    """
+    docs = group.column("doc_id").to_numpy().astype(np.int64)
+    row, h = shingle_sets(Words(*text_buffers(group.column("text"))), size)
+    n, d1, d2 = set_digests(row, h, len(docs))
+    order = np.lexsort((docs, d2, d1, n))
+    first = np.ones(len(order), bool)
+    first[1:] = np.any([k[order][1:] != k[order][:-1] for k in (n, d1, d2)], axis=0)
+    stays = np.zeros(len(order), bool)
+    stays[order[first]] = True
+    stays &= n > 0
+    row, h = np.cumsum(stays)[row[stays[row]]] - 1, h[stays[row]]
+    distinct, at = np.unique(h, return_inverse=True)
+    of = (distinct % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(of, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    begins = np.searchsorted(of[order], np.arange(buckets + 1))
+    return docs[stays], (n[stays], d1[stays], d2[stays]), row, place[at], distinct[order], begins
+
+
 def postings(size: int, buckets: int):
-    """(doc_id, text) -> hashes by bucket; of equal sets in a slice only the smallest id's are sent."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            docs = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            row, h = shingle_sets(Words(*text_buffers(part.column("text"))), size)
-            _, d1, d2 = set_digests(row, h, len(docs))
-            order = np.lexsort((docs, d2, d1))
-            first = np.ones(len(order), bool)
-            first[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
-            stays = np.zeros(len(order), bool)
-            stays[order[first]] = True
-            row, h = row[stays[row]], h[stays[row]]
-            of = (h % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(buckets + 1))
-            out = []
-            for b in np.flatnonzero(np.diff(ends)):
-                i = order[ends[b]:ends[b + 1]]
-                ids, counts = np.unique(row[i], return_counts=True)
-                out.append((int(b), docs[ids].tobytes(), counts.astype(np.uint32).tobytes(), h[i].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), POSTINGS.types)],
-                                                 schema=POSTINGS)
+    """A slice (slice, doc_id, text) -> its distinct shingles by bucket, with the number of sets that hold each."""
+    def run(group: pa.Table) -> pa.Table:
+        _, _, _, at, distinct, begins = slice_shingles(group, size, buckets)
+        counts = np.bincount(at, minlength=len(distinct)).astype(np.uint32)
+        own = group.column("slice")[0].as_py()
+        out = [(own, int(b), distinct[i:j].tobytes(), planes(counts[i:j], 4))
+               for b, i, j in ((b, begins[b], begins[b + 1]) for b in np.flatnonzero(np.diff(begins)))]
+        return pa.Table.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
 
 
 def shared_shingles(group: pa.Table) -> pa.Table:
-    """A bucket's postings -> for each document the hashes that another one holds too, with log2 of their count."""
-    docs, hashes = [], []
-    for d, c, h in zip(*(group.column(k).to_pylist() for k in ("docs", "counts", "hashes"))):
-        docs.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32)))
-        hashes.append(np.frombuffer(h, np.uint64))
-    d, h = np.concatenate(docs), np.concatenate(hashes)
+    """A bucket's postings -> a byte for each: 0 if no other set holds the shingle, else 1 + log2 of their number."""
+    hashes = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
+    h = np.concatenate(hashes)
+    counts = np.concatenate([unplanes(x, 4, np.uint32) for x in group.column("counts").to_pylist()]).astype(np.int64)
     order = np.argsort(h)
     s = h[order]
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
     starts = np.flatnonzero(new)
-    size = np.diff(np.append(starts, len(s)))
-    each = np.repeat(size, size)
-    keep = each > 1
-    d, s, rank = d[order][keep], s[keep], np.log2(each[keep]).astype(np.uint8)
-    order = np.argsort(d, kind="stable")
-    d, s, rank = d[order], s[order], rank[order]
-    new = np.ones(len(d), bool)
-    new[1:] = d[1:] != d[:-1]
-    cuts = np.append(np.flatnonzero(new), len(d))
-    spans = list(zip(cuts[:-1], cuts[1:]))
-    return pa.table([pa.array(d[cuts[:-1]], pa.int64()), pa.array([s[a:b].tobytes() for a, b in spans], pa.binary()),
-                     pa.array([rank[a:b].tobytes() for a, b in spans], pa.binary())], schema=SHARED)
+    total = np.add.reduceat(counts[order], starts)
+    rank = np.where(total > 1, 1 + np.log2(total).astype(np.uint8), 0).astype(np.uint8)
+    ranks = np.empty(len(h), np.uint8)
+    ranks[order] = np.repeat(rank, np.diff(np.append(starts, len(s))))
+    cuts = np.append(0, np.cumsum([len(x) for x in hashes]))
+    return pa.table([group.column("slice"), group.column("bucket"),
+                     pa.array([ranks[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], schema=RANKS)
 
 
-ORDERED = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("common", pa.float64()),
-                     ("tokens", pa.list_(pa.int64()))])
-ORDERED_DDL = "rep long, n long, alone long, common double, tokens array<long>"
+ORDERED = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("alone", pa.int64()),
+                     ("common", pa.float64()), ("tokens", pa.list_(pa.int64()))])
+ORDERED_DDL = "rep long, n long, d1 long, d2 long, alone long, common double, tokens array<long>"
 
 
-def order_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed shared hashes of each set -> one array, rarest first.
+def ordered_sets(size: int, percent: int, buckets: int):
+    """A slice and its answers -> the shared shingles of each set that shares enough, rarest first.
 
     ``alone``: how many others no set shares; ``common``: mean log2 count of all
     the set's shingles. Among near copies the text they were made from has the
     largest, since all of its shingles occur in most of them.
     """
-    for batch in batches:
-        tokens, common = [], []
-        for hs, rs in zip(batch.column("hashes").to_pylist(), batch.column("ranks").to_pylist()):
-            h, r = np.frombuffer(b"".join(hs), np.uint64), np.frombuffer(b"".join(rs), np.uint8)
-            h, at = np.unique(h, return_index=True)  # rows that repeat an id repeat its hashes
-            tokens.append(h[np.lexsort((h, r[at]))].view(np.int64))
-            common.append(float(r[at].sum(dtype=np.int64)))
-        n = batch.column("n")
-        alone = n.to_numpy() - np.array([len(t) for t in tokens], np.int64)
-        common = np.array(common, float) / n.to_numpy()
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), n, pa.array(alone), pa.array(common),
-                                          pa.array(tokens, pa.list_(pa.int64()))], schema=ORDERED)
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        if not group.num_rows or not answers.num_rows:
+            return ORDERED.empty_table()
+        docs, (n, d1, d2), row, at, distinct, _ = slice_shingles(group, size, buckets)
+        ranks = np.frombuffer(b"".join(answers.sort_by("bucket").column("ranks").to_pylist()), np.uint8)[at]
+        row, h, rank = row[ranks > 0], distinct[at[ranks > 0]], ranks[ranks > 0] - 1
+        shared = np.bincount(row, minlength=len(docs))
+        common = np.bincount(row, rank, minlength=len(docs)) / n
+        stays = shared * 100 >= n * percent
+        keep = stays[row]
+        row, h, rank = row[keep], h[keep], rank[keep]
+        tokens = h[np.lexsort((h, rank, row))].view(np.int64)
+        ends = np.append(0, np.cumsum(shared[stays])).astype(np.int32)
+        return pa.table([docs[stays], n[stays], d1[stays], d2[stays], (n - shared)[stays], common[stays],
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))], schema=ORDERED)
+    return run
 
 
 def _least(n: Column, percent: int) -> Column:
@@ -278,17 +291,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     """
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
              .where("doc_id is not null"))
-    buckets = bucket_count(text_bytes(texts))
+    n_bytes = text_bytes(texts)
+    buckets = bucket_count(n_bytes)
     described = staged(texts.mapInArrow(describe(size), SETS_DDL), "shingle-sets")
     classes = (described.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")))
-    shared = (texts.mapInArrow(postings(size, buckets), POSTINGS_DDL)
-              .groupBy("bucket").applyInArrow(shared_shingles, SHARED_DDL)
-              .groupBy(F.col("doc_id").alias("rep"))
-              .agg(F.collect_list("hashes").alias("hashes"), F.collect_list("ranks").alias("ranks"),
-                   F.sum(F.octet_length("ranks")).alias("shared")))
-    sets = staged(shared.join(classes.select("rep", "n"), "rep")
-                  .where(F.col("shared") >= _least(F.col("n"), percent))
-                  .mapInArrow(order_tokens, ORDERED_DDL), "shared-sets")
+    # one exchange of the texts serves both looks at a slice
+    placed = texts.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(bucket_count(n_bytes, PER_SLICE))).cast("int"))
+    ranks = (placed.groupBy("slice").applyInArrow(postings(size, buckets), POSTINGS_DDL)
+             .groupBy("bucket").applyInArrow(shared_shingles, RANKS_DDL))
+    shared = (placed.groupBy("slice").cogroup(ranks.groupBy("slice"))
+              .applyInArrow(ordered_sets(size, percent, buckets), ORDERED_DDL))
+    sets = staged(shared.join(classes, ["rep", "n", "d1", "d2"], "left_semi")
+                  .select("rep", "n", "alone", "common", "tokens"), "shared-sets")
     linked = link_classes(sets, percent)
     # a table of its own, so that in the join with it Spark can split a class that holds most of the documents
     named = staged(classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
