@@ -45,6 +45,10 @@ POSTINGS_DDL = "slice int, bucket int, hashes binary, counts binary"
 RANKS = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("ranks", pa.binary())])
 RANKS_DDL = "slice int, bucket int, ranks binary"
 PER_SLICE = 4 << 20  # bytes of text in a slice, on average
+# a shingle's key: its bucket, chosen by the upper bits of its hash, and its lowest 40 bits, which are what the bucket
+# gets. A bucket holds some million shingles, so few of one key differ; they count as shared, which adds candidates only
+KEY_BYTES, KEY_BITS, KEY_MASK = 5, np.uint64(40), np.uint64((1 << 40) - 1)
+MOST_BUCKETS = 1 << 24
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +97,9 @@ def describe(size: int):
 
 
 def slice_shingles(group: pa.Table, size: int, buckets: int):
-    """A slice's sets, of equal ones only the smallest id's, and its distinct shingles in order of bucket and hash.
+    """A slice's sets, of equal ones only the smallest id's, and the distinct keys of their shingles in order.
 
-    Returns ids; size and digests of their sets; set number and shingle number of each entry; the shingles; where
+    Returns ids; size and digests of their sets; set number, hash and key number of each entry; the keys; where
     each bucket's begin.
     """
     docs = group.column("doc_id").to_numpy().astype(np.int64)
@@ -108,22 +112,18 @@ def slice_shingles(group: pa.Table, size: int, buckets: int):
     stays[order[first]] = True
     stays &= n > 0
     row, h = np.cumsum(stays)[row[stays[row]]] - 1, h[stays[row]]
-    distinct, at = np.unique(h, return_inverse=True)
-    of = (distinct % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(of, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    begins = np.searchsorted(of[order], np.arange(buckets + 1))
-    return docs[stays], (n[stays], d1[stays], d2[stays]), row, place[at], distinct[order], begins
+    keys, at = np.unique((((h >> KEY_BITS) % np.uint64(buckets)) << KEY_BITS) | (h & KEY_MASK), return_inverse=True)
+    begins = np.searchsorted(keys >> KEY_BITS, np.arange(buckets + 1, dtype=np.uint64))
+    return docs[stays], (n[stays], d1[stays], d2[stays]), row, h, at, keys, begins
 
 
 def postings(size: int, buckets: int):
     """A slice (slice, doc_id, text) -> its distinct shingles by bucket, with the number of sets that hold each."""
     def run(group: pa.Table) -> pa.Table:
-        _, _, _, at, distinct, begins = slice_shingles(group, size, buckets)
-        counts = np.bincount(at, minlength=len(distinct)).astype(np.uint32)
+        _, _, _, _, at, keys, begins = slice_shingles(group, size, buckets)
+        counts = np.bincount(at, minlength=len(keys)).astype(np.uint32)
         own = group.column("slice")[0].as_py()
-        out = [(own, int(b), distinct[i:j].tobytes(), planes(counts[i:j], 4))
+        out = [(own, int(b), planes(keys[i:j], KEY_BYTES), planes(counts[i:j], 4))
                for b, i, j in ((b, begins[b], begins[b + 1]) for b in np.flatnonzero(np.diff(begins)))]
         return pa.Table.from_pylist([dict(zip(POSTINGS.names, x)) for x in out], POSTINGS)
     return run
@@ -131,7 +131,7 @@ def postings(size: int, buckets: int):
 
 def shared_shingles(group: pa.Table) -> pa.Table:
     """A bucket's postings -> a byte for each: 0 if no other set holds the shingle, else 1 + log2 of their number."""
-    hashes = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
+    hashes = [unplanes(x, KEY_BYTES, np.uint64) for x in group.column("hashes").to_pylist()]
     h = np.concatenate(hashes)
     counts = np.concatenate([unplanes(x, 4, np.uint32) for x in group.column("counts").to_pylist()]).astype(np.int64)
     order = np.argsort(h)
@@ -163,9 +163,9 @@ def ordered_sets(size: int, percent: int, buckets: int):
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows or not answers.num_rows:
             return ORDERED.empty_table()
-        docs, (n, d1, d2), row, at, distinct, _ = slice_shingles(group, size, buckets)
+        docs, (n, d1, d2), row, h, at, _, _ = slice_shingles(group, size, buckets)
         ranks = np.frombuffer(b"".join(answers.sort_by("bucket").column("ranks").to_pylist()), np.uint8)[at]
-        row, h, rank = row[ranks > 0], distinct[at[ranks > 0]], ranks[ranks > 0] - 1
+        row, h, rank = row[ranks > 0], h[ranks > 0], ranks[ranks > 0] - 1
         shared = np.bincount(row, minlength=len(docs))
         common = np.bincount(row, rank, minlength=len(docs)) / n
         stays = shared * 100 >= n * percent
@@ -292,7 +292,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
              .where("doc_id is not null"))
     n_bytes = text_bytes(texts)
-    buckets = bucket_count(n_bytes)
+    buckets = min(bucket_count(n_bytes), MOST_BUCKETS)
     described = staged(texts.mapInArrow(describe(size), SETS_DDL), "shingle-sets")
     classes = (described.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")))
     # one exchange of the texts serves both looks at a slice
