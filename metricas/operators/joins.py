@@ -9,6 +9,8 @@ hot join key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def facebook_daily_metrics(posts: DataFrame, reactions: DataFrame, insights: Dat
     A post without insight days yields no row; post totals and reactions
     repeat on every day; guardados is 0; ctr from clicks / impressions.
     """
-    p = latest_by_key(posts.select(*PK, "seq", "reacciones", "comentarios", "compartidos"), PK).drop("seq")
+    p = latest_by_key(posts.select(*PK, "seq", "reacciones", "comentarios", "compartidos"), PK, drop_seq=True)
     df = (p.join(reactions, PK, "left")
           .join(insights.withColumnRenamed("dia", "fecha_descarga"), PK, "inner"))
     return daily_rows(
@@ -59,7 +61,8 @@ def facebook_daily_metrics(posts: DataFrame, reactions: DataFrame, insights: Dat
 
 def instagram_media_metrics(media: DataFrame, insights: DataFrame) -> DataFrame:
     """Media (P2) left-join lifetime insights (A4); dated by the publication date."""
-    m = latest_by_key(media.select(*PK, "seq", "dia", "me_gusta", "comentarios", "video_view_count", "video_views"), PK)
+    m = latest_by_key(media.select(*PK, "seq", "dia", "me_gusta", "comentarios", "video_view_count", "video_views"), PK,
+                      drop_seq=True)
     df = m.join(insights.withColumnRenamed("video_views", "ins_video_views"), PK, "left")
     views = E.or_numbers("video_view_count", "video_views", _nz("ins_video_views"))
     return daily_rows(
@@ -80,15 +83,17 @@ def linkedin_social_counts(actions: DataFrame) -> DataFrame:
     likes_raw = F.coalesce(F.col("likesSummary.totalLikes"), F.lit("0"))
     comments_raw = F.coalesce(F.col("commentsSummary.totalFirstLevelComments"), F.lit("0"))
     shares_raw = F.coalesce(_truthy_text("totalShareStatistics"), _truthy_text("shares"), F.lit("0"))
-    ok = (E.int_or_none(likes_raw).isNotNull() & E.int_or_none(comments_raw).isNotNull()
-          & E.int_or_none(shares_raw).isNotNull())
-    last = latest_by_key(
-        actions.select("plataforma", F.col("entity_id").alias("activity_urn"), "seq",
-                       F.when(ok, E.int_or_zero(likes_raw)).otherwise(0).alias("likes"),
-                       F.when(ok, E.int_or_zero(comments_raw)).otherwise(0).alias("comments"),
-                       F.when(ok, E.int_or_zero(shares_raw)).otherwise(0).alias("shares")),
-        ["plataforma", "activity_urn"])
-    return last.drop("seq")
+    read = actions.select("plataforma", F.col("entity_id").alias("activity_urn"), "seq",
+                          E.int_or_none(likes_raw).alias("likes"), E.int_or_none(comments_raw).alias("comments"),
+                          E.int_or_none(shares_raw).alias("shares"))
+    return latest_by_key(_all_or_zero(read, ("likes", "comments", "shares")), ["plataforma", "activity_urn"],
+                         drop_seq=True)
+
+
+def _all_or_zero(df: DataFrame, counters) -> DataFrame:
+    """Counters of a response, all 0 if one is NULL."""
+    ok = reduce(Column.__and__, [F.col(c).isNotNull() for c in counters])
+    return df.withColumns({c: F.when(ok, F.col(c)).otherwise(F.lit(0).cast("bigint")) for c in counters})
 
 
 def _truthy_text(c: str) -> Column:
@@ -105,7 +110,7 @@ def linkedin_post_metrics(posts: DataFrame, counts: DataFrame) -> DataFrame:
     the post id), so they spread over the join partitions instead of all
     hashing to one (a hot empty key).
     """
-    p = latest_by_key(posts.select(*PK, "seq", "dia", "activity_urn"), PK)
+    p = latest_by_key(posts.select(*PK, "seq", "dia", "activity_urn"), PK, drop_seq=True)
     urn = F.coalesce(F.col("activity_urn"), F.lit(""))
     key = F.when(urn != "", urn).otherwise(F.concat(F.lit("\u0000none:"), F.col("pagina_id"),
                                                      F.lit("/"), F.col("publicacion_id")))
@@ -129,15 +134,11 @@ def tiktok_video_metrics(videos: DataFrame, insights: DataFrame) -> DataFrame:
     An insights response with any counter that is not a number counts as no
     response (all six 0), as the reference discards it whole.
     """
-    v = latest_by_key(videos.select(*PK, "seq", "dia", "like_count", "comment_count", "share_count", "view_count"), PK)
-    raw = {c: F.coalesce(_truthy_text(c), F.lit("0")) for c in TT_INSIGHTS}
-    ok = F.lit(True)
-    for c in TT_INSIGHTS:
-        ok = ok & E.int_or_none(raw[c]).isNotNull()
-    ins = latest_by_key(
-        insights.select(*PK, "seq", *[F.when(ok, E.int_or_zero(raw[c])).otherwise(0).alias(f"i_{c}")
-                                      for c in TT_INSIGHTS]),
-        PK).drop("seq")
+    v = latest_by_key(videos.select(*PK, "seq", "dia", "like_count", "comment_count", "share_count", "view_count"), PK,
+                      drop_seq=True)
+    read = insights.select(*PK, "seq", *[E.int_or_none(F.coalesce(_truthy_text(c), F.lit("0"))).alias(f"i_{c}")
+                                         for c in TT_INSIGHTS])
+    ins = latest_by_key(_all_or_zero(read, [f"i_{c}" for c in TT_INSIGHTS]), PK, drop_seq=True)
     df = v.join(ins, PK, "left")
     likes = E.or_numbers("like_count", _nz("i_likes"))
     return daily_rows(

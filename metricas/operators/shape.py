@@ -52,31 +52,31 @@ def last_wins_pivot(df: DataFrame, keys: Sequence[str], name_col: str, value: Co
     Rows with names outside ``mapping`` still create the key's row (with zeros),
     as an unknown metric does in the reference.
     """
-    name = F.col(name_col)
-    seq = F.col(seq_col)
+    name = F.col(name_col) if where is None else F.when(where, F.col(name_col))
+    # once for each row: the aggregates below would repeat these expressions, and Java compiles no method so long
+    rows = df.select(*keys, name.alias("_name"), value.alias("_value"), F.col(seq_col).alias("_order"))
     aggs = []
     for metric, out in mapping:
-        hit = name == F.lit(metric)
-        if where is not None:
-            hit = hit & where
-        aggs.append(F.coalesce(F.max_by(F.when(hit, value), F.when(hit, seq)),
+        hit = F.col("_name") == F.lit(metric)
+        aggs.append(F.coalesce(F.max_by(F.when(hit, F.col("_value")), F.when(hit, F.col("_order"))),
                                F.lit(0).cast("bigint")).alias(out))
-    return df.groupBy(*keys).agg(*aggs)
+    return rows.groupBy(*keys).agg(*aggs)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq_col: str = "seq",
-                  keep_first: bool = False) -> DataFrame:
+                  keep_first: bool = False, drop_seq: bool = False) -> DataFrame:
     """Deduplicate on ``keys`` keeping the row with the greatest (or smallest) ``seq``.
 
     One pass over ``df`` and one row per key whatever the ties: the whole row is
     carried by ``max_by``, which is partially aggregated before the shuffle, so
     a key holding a large share of the rows costs one row per task. Select the
-    columns needed before calling. Keys may be NULL.
+    columns needed before calling, and say so (``drop_seq``) if ``seq`` is not: the rows
+    that a task sorts then hold it once, not twice. Keys may be NULL.
     """
     pick = F.min_by if keep_first else F.max_by
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and not (drop_seq and c == seq_col)]
     return (df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in rest]), F.col(seq_col)).alias("_row"))
-            .select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in df.columns]))
+            .select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in df.columns if c in keys or c in rest]))
 
 
 # ---- A1 / A2 / A3 / A4 ----

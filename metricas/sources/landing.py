@@ -205,7 +205,8 @@ def page_object(pages: DataFrame, ddl: str, at: str | None = None) -> DataFrame:
         parsed = F.from_json(F.col("payload"), f"`{at}` STRUCT<{fields}>")
         obj = F.col(f"_p.`{at}`")
     return (pages.withColumn("_p", parsed)
-            .select(*PAGE_COLS, _item_seq(pages, F.lit(0)).alias("seq"), obj.alias("item"))
+            # a filter on a plain column would be moved below it and parse each payload again
+            .select(*PAGE_COLS, _item_seq(pages, F.lit(0)).alias("seq"), F.explode_outer(F.array(obj)).alias("item"))
             .where(F.col("item").isNotNull())
             .select(*PAGE_COLS, "seq", "item.*"))
 

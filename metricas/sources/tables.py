@@ -189,7 +189,7 @@ def merge_daily(t2: KeyedTable, batch: DataFrame) -> None:
     history = t2.read((F.col("mes") <= F.trunc(F.lit(latest), "month")) & (F.col("fecha_descarga") <= F.lit(latest)))
     metric_cols = [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
     if "seq" in batch.columns:
-        b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY).drop("seq")
+        b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY, drop_seq=True)
     else:
         b = batch.select(*metric_cols)
     with_deltas = K.conform(D.ingest_deltas(b, history), S.T2_DAILY)
