@@ -8,6 +8,7 @@ writes that back for the touched partitions only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def insert_ignore(current: DataFrame | None, batch: DataFrame, keys: Sequence[st
 
     Keys may be NULL (T4's dimension columns): the anti-join is null-safe.
     """
-    new = latest_by_key(batch, keys, seq_col, keep_first=True).drop(seq_col) \
+    new = latest_by_key(batch, keys, seq_col, keep_first=True, drop_seq=True) \
         if seq_col in batch.columns else batch
     if current is not None:
         cond = [new[k].eqNullSafe(current[k]) for k in keys]
@@ -59,12 +60,29 @@ def merge_versions(current: DataFrame | None, batch: DataFrame, keys: Sequence[s
                    first: bool = False, seq_col: str = "seq") -> DataFrame:
     """K1, K3, K4, K6 on rows with a version, ``_run_date`` and ``_run_id``: a maximum (``first``: minimum) over
     versions, so that runs may be merged in any order."""
-    rows = latest_by_key(batch, keys, seq_col, keep_first=first).drop(seq_col) if seq_col in batch.columns else batch
+    rows = latest_by_key(batch, keys, seq_col, keep_first=first, drop_seq=True) \
+        if seq_col in batch.columns else batch
     rows = rows.select("*", F.lit(run[0]).cast("date").alias("_run_date"), F.lit(run[1]).cast("string").alias("_run_id"))
     if current is None:
         return rows
     both = current.unionByName(rows).withColumn("_version", F.struct("_run_date", "_run_id"))
-    return latest_by_key(both, keys, "_version", keep_first=first).drop("_version")
+    return latest_by_key(both, keys, "_version", keep_first=first, drop_seq=True)
+
+
+def merge_all_versions(batches: Sequence[tuple[DataFrame, tuple]], keys: Sequence[str], first: bool = False,
+                       seq_col: str = "seq") -> DataFrame:
+    """``merge_versions`` of every (batch, run), from an empty table, in one pass: the greatest version, then the
+    last row of its batch (``first``: the smallest, the first)."""
+    versions = sorted({run for _, run in batches}, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1]))
+    rows = reduce(DataFrame.unionByName, [
+        b.withColumns({"_run": F.lit(n), seq_col: F.struct(F.lit(n), *[c for c in b.columns if c == seq_col])})
+        for b, n in ((b, versions.index(run)) for b, run in batches)])
+    found = latest_by_key(rows, keys, seq_col, keep_first=first, drop_seq=True)
+
+    def of(k: int, kind: str):
+        return F.get(F.array(*[F.lit(v[k]).cast(kind) for v in versions]), F.col("_run"))
+    return found.select(*[c for c in found.columns if c != "_run"], of(0, "date").alias("_run_date"),
+                        of(1, "string").alias("_run_id"))
 
 
 # ---- K1 ----
@@ -85,7 +103,7 @@ def upsert_daily_metrics(current: DataFrame | None, batch: DataFrame) -> DataFra
     """Ingest deltas (D1) against ``current``, then overwrite on the four keys."""
     metric_cols = [f.name for f in S.T2_DAILY.fields if not f.name.startswith("delta_")]
     if "seq" in batch.columns:
-        b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY).drop("seq")
+        b = latest_by_key(batch.select(*metric_cols, "seq"), S.DAILY_KEY, drop_seq=True)
     else:
         b = batch.select(*metric_cols)
     with_deltas = conform(ingest_deltas(b, current), S.T2_DAILY)

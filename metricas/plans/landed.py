@@ -188,6 +188,16 @@ KEYS = {POSTS: S.POST_KEY, WEEKLY: S.WEEKLY_KEY, SEGMENTS: S.SEGMENT_KEY, CAMPAI
         CAMPAIGN_DAILY: S.CAMPAIGN_DAILY_KEY}
 
 
+def _of_each_run(pages: DataFrame, runs: list[tuple], as_of, only, platforms) -> dict[str, list[tuple]]:
+    """Each table's (rows, run), in the order of ``runs``; a run's own pages need not say of which run they are."""
+    found: dict[str, list[tuple]] = {}
+    for run in runs:
+        own = L.of_run(pages, run).drop(*S.RUN)
+        for t, rows in all_platforms(own, run[0] or as_of, only, platforms).items():
+            found.setdefault(t, []).append((rows, run))
+    return found
+
+
 def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None = None,
               platforms=None) -> dict[str, DataFrame]:
     """All runs in ``pages`` (or those given, which saves looking), each by itself and in order, merged into
@@ -202,8 +212,5 @@ def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None
 def fold_versions(pages: DataFrame, runs: list[tuple], only, platforms=None) -> dict[str, DataFrame]:
     """As ``fold_runs``, for tables whose rows have versions: ``runs`` may be in any order, and the result is that
     of their own order. T2 needs stored deltas too and is merged by ``sources.warehouse`` only."""
-    state: dict[str, DataFrame] = {}
-    for run in runs:
-        for t, rows in all_platforms(L.of_run(pages, run), run[0], only, platforms).items():
-            state[t] = K.merge_versions(state.get(t), rows, KEYS[t], run, first=t == SEGMENTS)
-    return state
+    found = _of_each_run(pages, runs, None, only, platforms)
+    return {t: K.merge_all_versions(batches, KEYS[t], first=t == SEGMENTS) for t, batches in found.items()}

@@ -41,3 +41,15 @@ def test_social_counters_are_read_once_each(spark):
     out = J.linkedin_social_counts(df)
     assert plan(out).count("decimal(38,6)") == 3
     assert sorted(tuple(r) for r in out.collect()) == [("l", "u1", 7, 8, 1), ("l", "u2", 0, 0, 0)]
+
+
+def test_versions_of_all_runs_are_merged_in_one_pass(spark, pages):
+    def posts(text, *ids):
+        return {"data": [{"id": i, "message": text, "created_time": "2024-02-01T00:00:00Z"} for i in ids]}
+    pg = pages([("facebook", "pg", "posts", None, None, 9, posts("first", "a", "b"), "r1", D1),
+                ("facebook", "pg", "posts", None, None, 1, posts("older", "a"), "r2", D2),
+                ("facebook", "pg", "posts", None, None, 2, posts("second", "a", "c"), "r2", D2)])
+    out = landed.fold_versions(pg, [(D2, "r2"), (D1, "r1")], {landed.POSTS}, ["facebook"])[landed.POSTS]
+    assert plan(out).count("max_by(") == 1
+    assert sorted((r.publicacion_id, r.texto_publicacion, r._run_date, r._run_id) for r in out.collect()) == [
+        ("a", "second", D2, "r2"), ("b", "first", D1, "r1"), ("c", "second", D2, "r2")]
