@@ -607,7 +607,8 @@ def _pages(df: DataFrame, endpoint: str, payload, entity=None, variant=None, pag
     return df.select(F.col("plataforma"), F.col("pagina_id"), F.lit(endpoint).alias("endpoint"),
                      (entity if entity is not None else F.lit(None).cast("string")).alias("entity_id"),
                      (variant if variant is not None else F.lit(None).cast("string")).alias("variant"),
-                     F.col(page_seq).cast("bigint").alias("page_seq"), F.to_json(payload).alias("payload"))
+                     F.col(page_seq).cast("bigint").alias("page_seq"), F.to_json(payload).alias("payload"),
+                     *[c for c in S.RUN if c in df.columns])
 
 
 def fb_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -876,9 +877,14 @@ def campaign_pages(fj: DataFrame) -> DataFrame:
 
 
 def _two_campaign_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fj = _fx(spark, sf_dir, "F_J")
-    later = fj.where(F.col("seq") % 2 == 0).withColumn("spend", F.concat("spend", F.lit(".5")))
-    return _in_run(campaign_pages(fj), 1).unionByName(_in_run(campaign_pages(later), 2))
+    runs = F.when(F.col("seq") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    asked = _fx(spark, sf_dir, "F_J").select("*", F.explode(runs).alias("_run"))  # F-J is computed once for both runs
+    later = F.col("_run") == 2
+    return campaign_pages(asked.select(
+        *[c for c in asked.columns if c not in ("spend", "_run")],
+        F.when(later, F.concat("spend", F.lit(".5"))).otherwise(F.col("spend")).alias("spend"),
+        F.when(later, "run_2").otherwise("run_1").alias("run_id"),
+        F.when(later, RUN_DATES[2]).otherwise(RUN_DATES[1]).alias("run_date")))
 
 
 @query("campaign_daily_two_runs", ORACLE["campaign_daily"].replace(

@@ -198,14 +198,33 @@ def _of_each_run(pages: DataFrame, runs: list[tuple], as_of, only, platforms) ->
     return found
 
 
+def _all_runs(pages: DataFrame, runs: list[tuple]) -> DataFrame:
+    """The pages of ``runs``, whose number in the list stands for their ``run_id`` (and for all of ``seq`` before the page)."""
+    n = F.lit(None).cast("int")
+    for k, (day, name) in reversed(list(enumerate(runs))):
+        n = F.when(F.col("run_date").eqNullSafe(F.lit(day)) & F.col("run_id").eqNullSafe(F.lit(name)), k).otherwise(n)
+    return pages.withColumn("run_id", n).drop("run_date").where(F.col("run_id").isNotNull())
+
+
 def fold_runs(pages: DataFrame, only=None, as_of=None, runs: list[tuple] | None = None,
               platforms=None) -> dict[str, DataFrame]:
     """All runs in ``pages`` (or those given, which saves looking), each by itself and in order, merged into
-    tables that start empty; of all platforms or those given."""
+    tables that start empty; of all platforms or those given.
+
+    A campaign's day depends on its own page alone and the latest stays, so T6's rows of all runs, with the run
+    first in ``seq``, are one batch: none is computed again to drop the stored rows that it replaces.
+    """
+    runs = L.runs(pages) if runs is None else runs
     state: dict[str, DataFrame] = {}
-    for run in L.runs(pages) if runs is None else runs:
-        for t, rows in all_platforms(L.of_run(pages, run), run[0] or as_of, only, platforms).items():
-            state[t] = MERGES[t](state.get(t), rows)
+    if len(runs) > 1 and (only is None or CAMPAIGN_DAILY in only):
+        days = all_platforms(_all_runs(pages, runs), None, {CAMPAIGN_DAILY}, [p for p in ("facebook",) if platforms is None
+                                                                              or p in platforms])
+        state.update({t: MERGES[t](None, rows) for t, rows in days.items()})
+        only = set(only or MERGES) - {CAMPAIGN_DAILY}
+    if only is None or only:
+        for t, batches in _of_each_run(pages, runs, as_of, only, platforms).items():
+            for rows, _ in batches:
+                state[t] = MERGES[t](state.get(t), rows)
     return state
 
 

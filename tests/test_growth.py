@@ -53,3 +53,26 @@ def test_versions_of_all_runs_are_merged_in_one_pass(spark, pages):
     assert plan(out).count("max_by(") == 1
     assert sorted((r.publicacion_id, r.texto_publicacion, r._run_date, r._run_id) for r in out.collect()) == [
         ("a", "second", D2, "r2"), ("b", "first", D1, "r1"), ("c", "second", D2, "r2")]
+
+
+def test_campaign_days_of_all_runs_are_one_batch(spark, pages):
+    def day(spend):
+        return {"data": [{"date_start": "2024-02-01", "spend": spend}]}
+    pg = pages([("facebook", "act", "campaign_insights", "c1", None, 9, day("1"), "r1", D1),
+                ("facebook", "act", "campaign_insights", "c2", None, 9, day("2"), "r1", D1),
+                ("facebook", "act", "campaign_insights", "c1", None, 1, day("3.5"), "r2", D2),
+                ("facebook", "act", "campaign_insights", "c1", None, 1, day("9"), "r3", D2)])
+    for only in ({landed.CAMPAIGN_DAILY}, None):
+        out = landed.fold_runs(pg, only, runs=[(D1, "r1"), (D2, "r2")], platforms=["facebook"])[landed.CAMPAIGN_DAILY]
+        assert " Join " not in plan(out) and plan(out).count("max_by(") == 1
+        assert sorted((r.campania_id, r.presupuesto_invertido) for r in out.collect()) == [("c1", 3.5), ("c2", 2.0)]
+
+
+def test_two_campaign_runs_compute_their_days_once(spark, tmp_path):
+    rows = [(n, n, n % 3, 1, 2.0, 5.0, dt.datetime(2024, 1, 1 + n % 4)) for n in range(24)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_extendedprice double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = catalog.run("campaign_daily_two_runs", spark, str(tmp_path))
+    assert len(re.findall(r"Relation \[", plan(out))) == 1
+    found = {(r.campania_id, r.fecha_descarga.day): r.presupuesto_invertido for r in out.collect()}
+    assert len(found) == 12 and found["camp_0", 1] == 10.5 and found["camp_1", 2] == 10.0
