@@ -32,7 +32,7 @@ def conform(df: DataFrame, schema) -> DataFrame:
 def upsert(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            seq_col: str = "seq") -> DataFrame:
     """Insert-or-overwrite on ``keys``, last write wins inside the batch (max ``seq``)."""
-    new = latest_by_key(batch, keys, seq_col).drop(seq_col) if seq_col in batch.columns else batch
+    new = latest_by_key(batch, keys, seq_col, drop_seq=True) if seq_col in batch.columns else batch
     if current is None:
         return new
     # stored rows go through no aggregation: those that the batch has a row for drop out by key

@@ -76,3 +76,14 @@ def test_two_campaign_runs_compute_their_days_once(spark, tmp_path):
     assert len(re.findall(r"Relation \[", plan(out))) == 1
     found = {(r.campania_id, r.fecha_descarga.day): r.presupuesto_invertido for r in out.collect()}
     assert len(found) == 12 and found["camp_0", 1] == 10.5 and found["camp_1", 2] == 10.0
+
+
+def test_the_order_is_held_once(spark, pages):
+    pg = pages([("facebook", "act", "campaigns", None, None, n, {"data": [{"id": "c1", "name": f"n{n}"}]}, f"r{n}", D1)
+                for n in (1, 2)])
+    out = landed.fold_runs(pg, {landed.CAMPAIGNS}, runs=[(D1, "r1")], platforms=["facebook"])[landed.CAMPAIGNS]
+    assert "seq" not in re.search(r"max_by\(struct\((.*?)\)", plan(out))[1] and out.collect()[0].nombre_campania == "n1"
+    assert "run_id" not in re.search(r"struct\(page_seq.*?\)", plan(out))[0]
+    rows = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b")], "k string, seq long, v string")
+    assert [tuple(r) for r in K.latest_by_key(rows, ["k"], drop_seq=True).collect()] == [("k", "b")]
+    assert [tuple(r) for r in K.latest_by_key(rows, ["k"], keep_first=True).collect()] == [("k", 1, "a")]
