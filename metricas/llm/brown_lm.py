@@ -8,8 +8,10 @@ a word never seen in training has a class too. Everything whose size is bounded
 (their bigram counts, the class of each) may be broadcast; the counts of single words, which grow with the
 corpus, are a table that documents are joined with.
 
-Texts are tokenised once into slices: a row holds the distinct words of some documents and each token's place
-among them, and later steps read these rows.
+Texts are tokenised once into slices: a row holds the distinct words of some documents, the frequent ones first,
+and each token's place among them, and later steps read these rows. They are some megabytes each, so places and
+endings are compressed, and a row group of the table holds one row: what a task holds at once doesn't depend on
+how much text it has.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ CLASSES = 64  # class 0 holds the end of a text and nothing else
 ROUNDS = 10  # of exchange at most; a round may move half of the units
 ADDED = 0.5  # to every count
 SLICE_BYTES = 8 << 20  # text of a slice, about
-PAIRS = 1 << 22  # bigrams that a task counts before it sends them on, about
+PAIRS = 1 << 20  # bigrams that a task counts before it sends them on, about
+UNIT_ROWS = 128  # units read at once, each with all units that follow and precede it
 
 END = 0  # the end token: its word number, its unit and its class
 U = np.uint64
@@ -45,6 +48,19 @@ TOKENS = pa.schema([("slice", I64), ("doc_id", pa.list_(I64)), ("held_out", pa.l
                     ("codes", pa.binary())])
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """The numbers' lowest bytes, then the next ones and so on, compressed."""
+    planes = numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize)
+    return pa.compress(planes.T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    """``n`` numbers from ``packed``."""
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
+
+
 def tokens_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, ending) of each token, every text closed by an end token, and tokens per text."""
     data, offs = text_buffers(batch.column("text"))
@@ -71,13 +87,17 @@ def slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> pa.RecordBatch:
         number = np.concatenate([p[0] for p in parts])
-        words, first, codes = np.unique(number, return_index=True, return_inverse=True)
-        endings = np.concatenate([p[1] for p in parts])[first]
+        words, first, codes, times = np.unique(number, return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")  # small places for frequent words compress well
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        endings = np.concatenate([p[1] for p in parts])[first[order]]
         lists = [pa.array([[v for p in parts for v in p[k]]], TOKENS.field(f).type)
                  for k, f in ((2, "doc_id"), (3, "held_out"), (4, "n_tokens"))]
         return pa.RecordBatch.from_arrays(
             [pa.array([(part << 32) + made], I64), *lists,
-             *[pa.array([x.tobytes()], pa.binary()) for x in (words, endings, codes.astype(np.int32))]], schema=TOKENS)
+             *[pa.array([x], pa.binary()) for x in (words[order].tobytes(), packed(endings), packed(place[codes]))]],
+            schema=TOKENS)
     for b in text_slices(batches):
         number, ending, n = tokens_of(b)
         parts.append((number, ending, b.column("doc_id").to_pylist(), b.column("held_out").to_pylist(), n.tolist()))
@@ -92,13 +112,13 @@ def slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tokenise(docs: DataFrame, id_col: str, text_col: str, held_out: Column) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
-    return staged(rows.mapInArrow(slice_rows, TOKENS_DDL), "lm-tokens")
+    return staged(rows.mapInArrow(slice_rows, TOKENS_DDL), "lm-tokens", rows_at_once=1)
 
 
 def arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A slice's words, endings, codes and tokens per text."""
-    return (np.frombuffer(row["words"], U), np.frombuffer(row["endings"], np.int16),
-            np.frombuffer(row["codes"], np.int32), np.array(row["n_tokens"], np.int64))
+    words, n = np.frombuffer(row["words"], U), np.array(row["n_tokens"], np.int64)
+    return words, unpacked(row["endings"], len(words), np.int16), unpacked(row["codes"], int(n.sum()), np.int32), n
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -186,7 +206,8 @@ def unit_bigrams(tokens: DataFrame, units: Units) -> DataFrame:
         F.struct(F.col("b").alias("unit"), F.lit(False).alias("out"), F.col("a").alias("other"), "n"))).alias("x"))
     one = F.struct("x.other", "x.n")
     return staged(both.groupBy("x.unit").agg(F.collect_list(F.when(F.col("x.out"), one)).alias("outs"),
-                                             F.collect_list(F.when(~F.col("x.out"), one)).alias("ins")), "lm-units")
+                                             F.collect_list(F.when(~F.col("x.out"), one)).alias("ins")),
+                  "lm-units", rows_at_once=UNIT_ROWS)
 
 
 def neighbours(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,15 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, rows_at_once: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage: later stages, and stages run again after an executor is
-    lost, read the table instead of recomputing it.
+    lost, read the table instead of recomputing it. Parquet's writer and Spark's
+    reader hold a hundred rows at least, however large; ``rows_at_once`` rows at
+    most where it is given, for tables of large rows.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    if rows_at_once:
+        out = out.option("parquet.block.row.count.limit", rows_at_once)  # of a row group
+    out.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,40 @@ def test_exchange_moves_to_the_most_likely_class_and_never_lowers_the_likelihood
     assert seen == sorted(seen) and seen[-1] > seen[0]
 
 
+def test_a_task_holds_few_slices_at_once(spark, frame, monkeypatch):
+    """However many slices a task makes, a row group, which Parquet's writer and Spark's reader hold whole, has one."""
+    groups = lambda df: [f.metadata.row_group(i).num_rows for f in map(pq.ParquetFile, sorted(
+        x.removeprefix("file://") for x in df.inputFiles())) for i in range(f.num_row_groups)]
+    docs, held = frame(grammar(400), parts=1), brown_lm.held_out_of(F.col("doc_id"))
+    one = brown_lm.evaluate(docs).orderBy("doc_id").collect()
+    monkeypatch.setattr(brown_lm, "SLICE_BYTES", 2000)
+    monkeypatch.setattr(brown_lm, "UNIT_ROWS", 5)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 20)
+    try:
+        tokens = brown_lm.tokenise(docs, "doc_id", "text", held)
+    finally:
+        spark.conf.set(batch, before)
+    assert len(groups(tokens)) > 10 and set(groups(tokens)) == {1}
+    units = brown_lm.Units([x.word for x in brown_lm.count_words(tokens).where("word != 0").collect()])
+    assert max(groups(brown_lm.unit_bigrams(tokens, units))) == 5
+    many = brown_lm.score(tokens, brown_lm.train(tokens)).orderBy("doc_id").collect()
+    assert [r[:5] for r in many] == [r[:5] for r in one]
+    assert np.allclose([r[5:] for r in many], [r[5:] for r in one])
+
+
+def test_packed_numbers_come_back(spark):
+    r = np.random.default_rng(2)
+    for kind, most in ((np.int16, 2047), (np.int32, (1 << 31) - 1)):
+        for n in (0, 1, 2, 1000):
+            x = r.integers(0, most, n, endpoint=True).astype(kind)
+            assert (brown_lm.unpacked(brown_lm.packed(x), n, kind) == x).all()
+    small = np.zeros(1000, np.int32)
+    small[::50] = 70000
+    assert len(brown_lm.packed(small)) < small.nbytes / 4
+
+
 # ---- hard negatives ----
 
 def brute_negatives(rows, positives=5, negatives=10):
